@@ -1,0 +1,194 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from aeromart import schemas as S
+from aeromart.operators.flatten import flatten
+from aeromart.operators.metrics import quarantine_counts
+from aeromart.operators.validate import apply_rules
+from aeromart.sources import envelope as E
+from aeromart.sources import payloads as P
+from aeromart.sources.staging import stage
+from tests.conftest import rows
+
+GOOD = {
+    "locationId": 1, "location": "Site A", "parameter": "pm25", "value": 12.5, "unit": "ug/m3",
+    "country": "AA", "city": None, "isMobile": False, "isAnalysis": None, "entity": "x",
+    "sensorType": "y",
+    "date": {"utc": "2023-12-19T10:00:00+00:00", "local": "2023-12-19T07:00:00-03:00"},
+    "coordinates": {"latitude": 1.0, "longitude": 2.0},
+}
+
+
+def body(*found):
+    return json.dumps({"results": list(found)})
+
+
+def bodies(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "body string")
+
+
+def reasons(extracted):
+    return sorted(r for (found,) in rows(extracted, "_reasons") for r in found)
+
+
+def test_sample_measurement(spark):
+    got = P.good(P.extract_measurements(bodies(spark, body(GOOD)))).first().asDict()
+    assert got == {
+        "locationid": 1, "location": "Site A", "parameter": "pm25", "value": 12.5,
+        "unit": "ug/m3", "country": "AA", "city": None, "ismobile": False, "isanalysis": None,
+        "entity": "x", "sensortype": "y", "date_utc": datetime(2023, 12, 19, 10),
+        "date_local": datetime(2023, 12, 19, 7), "coordinates_latitude": 1.0,
+        "coordinates_longitude": 2.0,
+    }
+
+
+def test_schemas_of_the_four_extracts_also_when_empty(spark):
+    nothing = bodies(spark, '{"results":[]}')
+    for extract, rules in (
+        (P.extract_locations, S.STG_LOCATIONS),
+        (P.extract_countries, S.STG_COUNTRIES),
+        (P.extract_parameters, S.STG_PARAMETERS),
+        (P.extract_measurements, S.STG_MEASUREMENTS),
+    ):
+        got = P.good(extract(nothing))
+        assert got.dtypes == [(r.name, r.sql_type) for r in rules]
+        assert got.count() == 0
+        assert P.quarantined(extract(nothing)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        ("garbage", E.UNPARSABLE),
+        ("", E.UNPARSABLE),
+        ("[1, 2]", E.UNPARSABLE),
+        ('{"results": "x"}', E.UNPARSABLE),
+        ('{"results": {"id": 1}}', E.UNPARSABLE),
+        ('{"results": [{"locationId": 1}', E.UNPARSABLE),
+        ('{"detail": "x"}', E.NO_RESULTS),
+        ('{"results": null}', E.NO_RESULTS),
+        ('{"results": [5]}', E.NOT_AN_OBJECT),
+        ('{"results": [null]}', E.NOT_AN_OBJECT),
+        ('{"results": [[{"locationId": 1}]]}', E.NOT_AN_OBJECT),
+    ],
+)
+def test_unreadable_bodies_and_elements(spark, text, reason):
+    extracted = P.extract_measurements(bodies(spark, text, body(GOOD)))
+    assert reasons(extracted) == [reason]
+    assert P.good(extracted).count() == 1
+    with pytest.raises(PySparkException, match=reason):
+        P.good(P.extract_measurements(bodies(spark, text), fail_fast=True)).collect()
+
+
+@pytest.mark.parametrize(
+    ("change", "reason"),
+    [
+        ({"locationId": "x"}, "locationid: not a int"),
+        ({"locationId": 1.5}, "locationid: not a int"),
+        ({"locationId": 2**40}, "locationid: not a int"),
+        ({"locationId": None}, "locationid: missing"),
+        ({"country": "ABC"}, "country: longer than 2"),
+        ({"parameter": "p" * 21}, "parameter: longer than 20"),
+        ({"date": {"utc": "bad"}}, "date_utc: not a timestamp_ntz"),
+        ({"date": None}, "date_utc: missing"),
+        ({"date": "2023"}, "date_utc: missing"),
+        ({"isMobile": "perhaps"}, "ismobile: not a boolean"),
+        ({"value": "high"}, "value: not a double"),
+    ],
+)
+def test_one_bad_element_leaves_the_others(spark, change, reason):
+    extracted = P.extract_measurements(bodies(spark, body({**GOOD, **change}, GOOD)))
+    assert reasons(extracted) == [reason]
+    assert P.good(extracted).count() == 1
+    assert P.quarantined(extracted).where("_raw is not null").count() == 1
+
+
+def test_harmless_differences(spark):
+    changed = [
+        {**GOOD, "coordinates": None},
+        {**GOOD, "unknown": [1, 2]},
+        {**GOOD, "locationId": "7"},
+        {k: v for k, v in GOOD.items() if k != "coordinates"},
+    ]
+    extracted = P.extract_measurements(bodies(spark, body(*changed)))
+    assert reasons(extracted) == []
+    assert [r[0] for r in rows(P.good(extracted), "coordinates_latitude")] == [1.0, 1.0, None, None]
+
+
+def test_limits_count_characters_or_bytes(spark):
+    df = spark.createDataFrame([("é" * 30,)], "name string").withColumn("code", F.lit("AA"))
+    assert reasons(apply_rules(df, S.STG_COUNTRIES)) == []
+    assert reasons(apply_rules(df, S.STG_COUNTRIES, in_bytes=True)) == ["name: longer than 50"]
+
+
+def test_location_lists_and_dropped_fields(spark):
+    found = {
+        "id": 3, "name": "n", "country": "AA", "isMobile": True, "sensorType": "s",
+        "sources": [{"id": "a", "name": "b"}], "lastUpdated": "2023-12-19T10:00:00+00:00",
+        "coordinates": {"latitude": 1.5, "longitude": -2},
+        "parameters": [{"id": 1}], "measurements": 5, "manufacturers": [], "bounds": [1, 2],
+    }
+    got = P.good(P.extract_locations(bodies(spark, body(found)))).first()
+    assert got.sources == '[{"id":"a","name":"b"}]'
+    assert (got.ismobile, got.coordinates_longitude) == (True, -2.0)
+    assert not set(S.LOCATIONS_DROPPED) & set(got.asDict())
+
+
+def test_row_cap(spark):
+    many = bodies(spark, body(*[{"code": f"{i:02}", "name": "n"} for i in range(30)]))
+    assert P.extract_countries(many, limit=12).count() == 12
+    assert P.extract_countries(many).count() == 30
+
+
+def test_window_keeps_quarantine(spark):
+    late = {**GOOD, "date": {"utc": "2023-12-19T11:00:00+00:00"}}
+    extracted = P.extract_measurements(
+        bodies(spark, body(GOOD, late), "garbage"), "2023-12-19T10:00:00", "2023-12-19T11:00:00"
+    )
+    assert P.good(extracted).count() == 1
+    assert reasons(extracted) == [E.UNPARSABLE]
+    counted = dict(rows(quarantine_counts(extracted)))
+    assert counted == {"ok": 1, E.UNPARSABLE: 1}
+
+
+def test_files_by_line_and_whole(spark, tmp_path):
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text(body(GOOD) + "\n\n" + body(GOOD, GOOD) + "\n")
+    assert P.good(P.extract_measurements(E.read_bodies(spark, str(tmp_path / "lines")))).count() == 3
+    (tmp_path / "pretty").mkdir()
+    (tmp_path / "pretty" / "a.json").write_text(json.dumps({"results": [GOOD]}, indent=2))
+    pretty = E.read_bodies(spark, str(tmp_path / "pretty"), whole_files=True)
+    assert P.good(P.extract_measurements(pretty)).count() == 1
+
+
+def test_flatten(spark):
+    df = spark.createDataFrame(
+        [(1, {"b": {"c": 2}, "l": [3]}), (2, None)], "a int, S struct<b: struct<c: int>, l: array<int>>"
+    )
+    assert flatten(df).columns == ["a", "S_b_c", "S_l"]
+    text = flatten(df, sep=".", lower=True, arrays_as_text=True)
+    assert text.columns == ["a", "s.b.c", "s.l"]
+    assert rows(text) == [(1, 2, "[3]"), (2, None, None)]
+    assert flatten(df.limit(0)).columns == ["a", "S_b_c", "S_l"]
+
+
+def test_staging_is_truncated_and_counts(spark, tmp_path):
+    where = str(tmp_path / "stage")
+    first = stage(
+        P.extract_measurements(bodies(spark, body(GOOD, GOOD), "garbage")), where, S.STG_MEASUREMENTS
+    )
+    assert first.counts == {"good": 2, "quarantine": 1}
+    assert first.quarantined().first()["_raw"] == "garbage"
+    second = stage(
+        P.extract_measurements(bodies(spark, body(GOOD))), where, S.STG_MEASUREMENTS
+    )
+    assert second.counts == {"good": 1, "quarantine": 0}
+    assert (second.good().count(), second.quarantined().count()) == (1, 0)
+    empty = stage(
+        P.extract_measurements(bodies(spark, '{"results":[]}')), where, S.STG_MEASUREMENTS
+    )
+    assert (empty.good().count(), empty.quarantined().count()) == (0, 0)
