@@ -170,6 +170,7 @@ class FactStore:
         present = [v for v in touched if exists(self.spark, self._folder(v))]
         fresh = [v for v in touched if v not in set(present)]
         options = {"keys": keys, "action": _ACTION, **options}
+        self.create_if_absent()
         stored = self.read()
         columns = {DAY: F.to_date(ts), HOUR: F.hour(ts)}
         parts = []
