@@ -20,12 +20,20 @@ def _leaves(schema: T.StructType, at: Column | None, prefix: str, sep: str, arra
 
 
 def flatten(
-    df: DataFrame, sep: str = "_", lower: bool = False, arrays_as_text: bool = False
+    df: DataFrame,
+    sep: str = "_",
+    lower: bool = False,
+    arrays_as_text: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``date.utc`` becomes ``date_utc``, at any depth.
 
     The schema drives it, so a row whose object is null gets null columns and an empty input keeps
-    all its columns. Arrays stay as they are, or become JSON text with ``arrays_as_text``.
+    all its columns. Arrays stay as they are, or become JSON text with ``arrays_as_text``. The
+    columns in ``keep`` come first, as they are.
     """
-    flat = df.select(*_leaves(df.schema, None, "", sep, arrays_as_text))
-    return flat.toDF(*[c.lower() for c in flat.columns]) if lower else flat
+    rest = T.StructType([f for f in df.schema.fields if f.name not in keep])
+    flat = df.select(*keep, *_leaves(rest, None, "", sep, arrays_as_text))
+    if not lower:
+        return flat
+    return flat.toDF(*keep, *[c.lower() for c in flat.columns[len(keep):]])

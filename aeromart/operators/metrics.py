@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .merge import INSERTED, KEPT, UPDATED
+from .validate import REASONS, SEPARATOR
 
 
 def action_counts(merged: DataFrame, action: str) -> DataFrame:
@@ -18,9 +19,9 @@ def action_counts(merged: DataFrame, action: str) -> DataFrame:
     )
 
 
-def quarantine_counts(extracted: DataFrame, reasons: str = "_reasons") -> DataFrame:
+def quarantine_counts(extracted: DataFrame, reasons: str = REASONS) -> DataFrame:
     """Rows per reason; good rows count under ``ok``, a row with two reasons under both."""
-    listed = F.when(F.size(reasons) == 0, F.array(F.lit("ok"))).otherwise(F.col(reasons))
-    return extracted.select(F.explode(listed).alias("reason")).groupBy("reason").agg(
+    listed = F.coalesce(reasons, F.lit("ok"))
+    return extracted.select(F.explode(F.split(listed, SEPARATOR)).alias("reason")).groupBy("reason").agg(
         F.count(F.lit(1)).alias("rows")
     )

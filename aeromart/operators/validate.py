@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.times import utc_clock
 from ..schemas import Rule
 
+# Whether all checks passed, and the reasons as text. The flag is a column of its own because a
+# filter on the text would build that text for every row.
+OK = "_ok"
 REASONS = "_reasons"
+SEPARATOR = "; "
 
 
 def typed(text: Column, rule: Rule) -> Column:
@@ -38,7 +44,7 @@ def problems(text: Column, rule: Rule, in_bytes: bool = False) -> Iterable[Colum
 def apply_rules(
     df: DataFrame, rules: tuple[Rule, ...], keep: tuple[str, ...] = (), in_bytes: bool = False
 ) -> DataFrame:
-    """Cast every ruled column and add ``_reasons``; no row is dropped.
+    """Cast every ruled column and add ``_ok`` and ``_reasons``; no row is dropped.
 
     Missing columns become NULL. ``in_bytes`` counts text limits in bytes instead of characters.
     """
@@ -48,8 +54,10 @@ def apply_rules(
         return F.col(rule.name).cast("string") if rule.name in present else F.lit(None).cast("string")
 
     checks = [reason for rule in rules for reason in problems(text(rule), rule, in_bytes)]
+    ok = reduce(and_, [check.isNull() for check in checks], F.lit(True))
     return df.select(
         *keep,
         *[typed(text(rule), rule).cast(rule.sql_type).alias(rule.name) for rule in rules],
-        F.array_compact(F.array(*checks)).alias(REASONS),
+        ok.alias(OK),
+        F.when(~ok, F.concat_ws(SEPARATOR, *checks)).alias(REASONS),
     )

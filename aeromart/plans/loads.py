@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -58,12 +60,19 @@ def load_bodies(
     start: datetime | str | None = None,
     end: datetime | str | None = None,
     as_of: datetime | Column | None = None,
+    merge_options: Mapping[str, Any] | None = None,
     **options,
 ) -> LoadReport:
-    """Parse, check and stage once; merge what is good. Repeating it adds no rows."""
+    """Parse, check and stage once; merge what is good. Repeating it adds no rows.
+
+    ``merge_options`` go to the merge (other keys, ``stamp_inserts``, ``only_if_changed``), all
+    other options to the extract (``in_bytes``, ``fail_fast``).
+    """
     extracted = P.extract_measurements(bodies, start, end, **options)
     staged = stage(extracted, stage_dir, S.STG_MEASUREMENTS)
-    counts = store.merge(staged.good(), as_of=as_of, on_duplicate="dedupe")
+    counts = store.merge(
+        staged.good(), as_of=as_of, **{"on_duplicate": "dedupe", **(merge_options or {})}
+    )
     return LoadReport(staged.counts[GOOD], staged.counts[QUARANTINE], **counts)
 
 

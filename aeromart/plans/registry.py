@@ -457,7 +457,9 @@ def text_limits(spark: SparkSession, folder: str) -> DataFrame:
         F.col("text").alias("description"),
     )
     by_bytes = apply_rules(rows, S.STG_PARAMETERS, in_bytes=True)
-    too_long = F.array_contains(REASONS, "description: longer than 256")
+    too_long = F.coalesce(
+        F.contains(F.col(REASONS), F.lit("description: longer than 256")), F.lit(False)
+    )
     by_characters = apply_rules(rows, S.STG_PARAMETERS)
     return by_characters.select("id", too_long.alias("too_many_characters")).join(
         by_bytes.select("id", too_long.alias("too_many_bytes")), "id"

@@ -10,6 +10,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("aeromart")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

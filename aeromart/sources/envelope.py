@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BODY = "body"
-ELEMENT = "element"
+ELEMENT = "_element"
 PROBLEM = "_problem"
 RAW = "_raw"
 
@@ -33,7 +33,7 @@ def _parse(text: Column, schema: str) -> Column:
 
 
 def elements(bodies: DataFrame, element_schema: str, fail_fast: bool = False) -> DataFrame:
-    """One row per element: ``element``, ``_problem`` (NULL when readable) and ``_raw`` (its text
+    """One row per element: ``_element``, ``_problem`` (NULL when readable) and ``_raw`` (its text
     when not). A body that cannot be read at all is one row of its own; an empty list is no row.
 
     Bodies are parsed once with the element type. Only where that fails is the list parsed again

@@ -1,6 +1,6 @@
 """The four extracts: bodies to typed staging rows.
 
-Each returns every element with its ``_reasons``; ``good`` and ``quarantined`` tell them apart.
+Each returns every element and whether it is ``_ok``; ``good`` and ``quarantined`` tell them apart.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.times import in_window
 from ..operators.flatten import flatten
-from ..operators.validate import REASONS, apply_rules
+from ..operators.validate import OK, REASONS, apply_rules
 from .envelope import ELEMENT, PROBLEM, RAW, elements
 
 
@@ -25,29 +25,28 @@ def extract(
     in_bytes: bool = False,
     fail_fast: bool = False,
 ) -> DataFrame:
-    """Staging rows plus ``_reasons`` and, for rows with a reason, the ``_raw`` text."""
+    """Staging rows plus ``_ok`` and, for rows that are not, ``_reasons`` and the ``_raw`` text."""
     found = elements(bodies, element_schema, fail_fast)
     if limit is not None:
         found = found.limit(limit)
-    text = F.coalesce(F.col(RAW), F.to_json(ELEMENT)).alias(RAW)
-    flat = flatten(
-        found.select(F.col(PROBLEM), text, f"{ELEMENT}.*"), lower=True
-    )
-    checked = apply_rules(flat, rules, keep=(PROBLEM, RAW), in_bytes=in_bytes)
-    reasons = F.when(F.col(PROBLEM).isNotNull(), F.array(PROBLEM)).otherwise(F.col(REASONS))
+    origin = (ELEMENT, PROBLEM, RAW)
+    flat = flatten(found.select(*origin, f"{ELEMENT}.*"), lower=True, keep=origin)
+    checked = apply_rules(flat, rules, keep=origin, in_bytes=in_bytes)
+    ok = F.col(PROBLEM).isNull() & F.col(OK)
     return checked.select(
         *[r.name for r in rules],
-        reasons.alias(REASONS),
-        F.when(F.size(reasons) > 0, F.col(RAW)).alias(RAW),
+        ok.alias(OK),
+        F.coalesce(PROBLEM, REASONS).alias(REASONS),
+        F.when(~ok, F.coalesce(F.col(RAW), F.to_json(ELEMENT))).alias(RAW),
     )
 
 
 def good(extracted: DataFrame) -> DataFrame:
-    return extracted.where(F.size(REASONS) == 0).drop(REASONS, RAW)
+    return extracted.where(OK).drop(OK, REASONS, RAW)
 
 
 def quarantined(extracted: DataFrame) -> DataFrame:
-    return extracted.where(F.size(REASONS) > 0)
+    return extracted.where(~F.col(OK)).drop(OK)
 
 
 def extract_locations(bodies: DataFrame, limit: int | None = None, **options) -> DataFrame:
@@ -74,4 +73,4 @@ def extract_measurements(
     if start is None and end is None:
         return rows
     inside = in_window(F.col("date_utc"), start or datetime.min, end or datetime.max)
-    return rows.where((F.size(REASONS) > 0) | inside)
+    return rows.where(~F.col(OK) | inside)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.validate import REASONS
+from ..operators.validate import OK, REASONS
 from ..schemas import Rule, staging_schema
 from .envelope import RAW
 
@@ -31,7 +31,7 @@ class Staged:
         return self._rows(GOOD, staging_schema(self.rules))
 
     def quarantined(self) -> DataFrame:
-        schema = staging_schema(self.rules).add(REASONS, T.ArrayType(T.StringType()))
+        schema = staging_schema(self.rules).add(REASONS, T.StringType())
         return self._rows(QUARANTINE, schema.add(RAW, T.StringType()))
 
     def _rows(self, status: str, schema: T.StructType) -> DataFrame:
@@ -44,11 +44,13 @@ class Staged:
 def stage(extracted: DataFrame, path: str, rules: tuple[Rule, ...]) -> Staged:
     """Truncate and write; the counts are taken on the way, without another pass."""
     seen = Observation()
-    bad = F.size(REASONS) > 0
-    rows = extracted.withColumn(STATUS, F.when(bad, QUARANTINE).otherwise(GOOD)).observe(
+    status = F.when(F.col(OK), GOOD).otherwise(QUARANTINE).alias(STATUS)
+    rows = extracted.select(*[c for c in extracted.columns if c != OK], status).observe(
         seen,
-        F.coalesce(F.count_if(~bad), F.lit(0)).alias(GOOD),
-        F.coalesce(F.count_if(bad), F.lit(0)).alias(QUARANTINE),
+        *[
+            F.coalesce(F.count_if(F.col(STATUS) == name), F.lit(0)).alias(name)
+            for name in (GOOD, QUARANTINE)
+        ],
     )
     (
         rows.write.mode("overwrite")

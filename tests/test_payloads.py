@@ -32,7 +32,7 @@ def bodies(spark, *texts):
 
 
 def reasons(extracted):
-    return sorted(r for (found,) in rows(extracted, "_reasons") for r in found)
+    return sorted(r for (found,) in rows(extracted, "_reasons") if found for r in found.split("; "))
 
 
 def test_sample_measurement(spark):
