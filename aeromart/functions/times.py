@@ -25,7 +25,10 @@ def utc_clock(text: Column) -> Column:
         + F.coalesce(F.regexp_extract(text, _OFFSET, 3).try_cast("int"), F.lit(0))
     )
     signed = F.when(F.regexp_extract(text, _OFFSET, 1) == "-", -minutes).otherwise(minutes)
-    return wall_clock(text) - F.make_dt_interval(mins=signed)
+    moved = wall_clock(text) - F.make_dt_interval(mins=signed)
+    # Text that is UTC already, the usual case, takes no pattern matching.
+    is_utc = text.endswith("+00:00") | text.endswith("Z")
+    return F.when(is_utc, wall_clock(text)).otherwise(moved)
 
 
 def hour_of(ts: Column) -> Column:

@@ -26,9 +26,10 @@ from ..functions.times import ntz
 from ..plans.sizing import fits_broadcast
 
 ON_DUPLICATE = ("error", "insert_all", "dedupe")
+STRATEGIES = ("auto", "broadcast", "shuffle")
 KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 
-_HIT, _COPIES, _PICK, _SPREAD = "_hit", "_copies", "_pick", "_spread"
+_COPIES, _PICK, _SPREAD, _TARGET_SPREAD = "_copies", "_pick", "_spread", "_to_spread"
 
 
 def stamp_of(as_of: datetime | Column | None) -> Column:
@@ -37,10 +38,12 @@ def stamp_of(as_of: datetime | Column | None) -> Column:
     return ntz(as_of) if isinstance(as_of, datetime) else as_of.cast("timestamp_ntz")
 
 
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # An extra join column makes Spark shuffle an aggregated side once more, for the join alone.
-    # AQE splits hot partitions only between plain shuffles, never on top of an aggregate.
-    return df.withColumn(_SPREAD, F.xxhash64(*keys))
+def _one_per_key(rows: DataFrame, keys: Sequence[str], rest: Sequence[str]) -> DataFrame:
+    """The largest row of each key and how many there were, partly found before the shuffle."""
+    copies = F.count(F.lit(1)).alias(_COPIES)
+    picked = [F.max(F.struct(*rest)).alias(_PICK)] if rest else []
+    grouped = rows.groupBy(*keys).agg(copies, *picked)
+    return grouped.select(*keys, _COPIES, *([f"{_PICK}.*"] if rest else []))
 
 
 def scd1_merge(
@@ -70,56 +73,55 @@ def scd1_merge(
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+    dedupe = on_duplicate == "dedupe"
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
     insert_map = set_map if insert_map is None else insert_map
     now = stamp_of(as_of)
     key_names = [f"_k{i}" for i in range(len(keys))]
-    wanted = list(dict.fromkeys([*order_by, *set_map.values(), *insert_map.values()]))
-    held = {name: f"_s{i}" for i, name in enumerate(wanted)}
+    key_of = dict(zip(keys, key_names))
+    # A column that only repeats a key is read from the key instead of being carried twice.
+    used = [*order_by, *[m[to] for m in (set_map, insert_map) for to in m if m[to] != keys.get(to)]]
+    held = {name: f"_s{i}" for i, name in enumerate(dict.fromkeys(used))}
     rows = source.select(
-        *[
-            F.col(name).cast(target.schema[to].dataType).alias(key)
-            for key, (to, name) in zip(key_names, keys.items())
-        ],
+        *[F.col(name).cast(target.schema[to].dataType).alias(key_of[to]) for to, name in keys.items()],
         *[F.col(name).alias(alias) for name, alias in held.items()],
     )
-
+    small = strategy == "broadcast" or (strategy == "auto" and fits_broadcast(rows))
+    keyless = rows.where(reduce(or_, [F.col(k).isNull() for k in key_names]))
     keyed = rows.where(reduce(and_, [F.col(k).isNotNull() for k in key_names]))
-    single = (
-        keyed.groupBy(*key_names)
-        .agg(F.max(F.struct(*held.values())).alias(_PICK), F.count(F.lit(1)).alias(_COPIES))
-        .select(*key_names, f"{_PICK}.*", _COPIES)
-    )
-    if on_duplicate == "dedupe":
-        keyless = rows.where(reduce(or_, [F.col(k).isNull() for k in key_names]))
-        to_insert = single.drop(_COPIES).unionByName(keyless)
-    else:
-        to_insert = rows
+    single = _one_per_key(keyed, key_names, list(held.values()))
+    target_keys = target.select(*[F.col(to).alias(k) for to, k in key_of.items()])
 
-    if strategy not in ("auto", "broadcast", "shuffle"):
-        raise ValueError("strategy must be auto, broadcast or shuffle")
-    small = strategy == "broadcast" or (strategy == "auto" and fits_broadcast(rows))
-    marked = single.withColumn(_HIT, F.lit(True))
-    target_keys = target.select(*[F.col(to).alias(k) for k, to in zip(key_names, keys)])
+    same_key = [F.col(to) == F.col(k) for to, k in key_of.items()]
     if small:
-        on = [F.col(to) == F.col(k) for k, to in zip(key_names, keys)]
-        joined = target.join(F.broadcast(marked), on, "left")
+        joined = target.join(F.broadcast(single), same_key, "left")
         # Never more keys than the source has, so this side is bounded by the same check.
         present = target_keys.join(
             F.broadcast(single.select(*key_names)), key_names, "left_semi"
         ).distinct()
-        new = to_insert.join(F.broadcast(present), key_names, "left_anti")
+        candidates = single.drop(_COPIES).unionByName(keyless) if dedupe else rows
+        new = candidates.join(F.broadcast(present), key_names, "left_anti")
     else:
-        on_names = [_SPREAD, *key_names]
-        joined = (
-            target.withColumns({k: F.col(to) for k, to in zip(key_names, keys)})
-            .withColumn(_SPREAD, F.xxhash64(*key_names))
-            .join(_spread(marked, key_names), on_names, "left")
-        )
-        new = _spread(to_insert, key_names).join(
-            _spread(target_keys.distinct(), key_names), on_names, "left_anti"
+        # AQE splits hot partitions only where a join sits on plain shuffles, not on aggregates.
+        # A hash as one more join column makes Spark shuffle the aggregated side again, for the join
+        # alone; it also gives the sort a first column that decides.
+        joined = target.withColumn(_TARGET_SPREAD, F.xxhash64(*keys)).join(
+            single.withColumn(_SPREAD, F.xxhash64(*key_names)),
+            [F.col(_TARGET_SPREAD) == F.col(_SPREAD), *same_key],
+            "left",
         )
+        known = target_keys.distinct()
+        if dedupe:
+            # One row per key on both sides, shuffled alike already: nothing to split or move.
+            new = single.drop(_COPIES).join(known, key_names, "left_anti").unionByName(keyless)
+        else:
+            spread = F.xxhash64(*key_names)
+            new = rows.withColumn(_SPREAD, spread).join(
+                known.withColumn(_SPREAD, spread), [_SPREAD, *key_names], "left_anti"
+            )
 
-    hit = F.coalesce(F.col(_HIT), F.lit(False))
+    hit = F.col(key_names[0]).isNotNull()
     if on_duplicate == "error":
         # A filter, so that no later projection can prune the check away.
         message = F.concat(
@@ -133,6 +135,8 @@ def scd1_merge(
         )
 
     def from_source(to: str, mapping: Mapping[str, str]) -> Column:
+        if mapping[to] == keys.get(to):
+            return F.col(key_of[to])
         return F.col(held[mapping[to]]).cast(target.schema[to].dataType)
 
     if only_if_changed:
@@ -152,7 +156,7 @@ def scd1_merge(
         value = now if to == stamp and stamp_inserts else F.lit(None)
         return value.cast(target.schema[to].dataType).alias(to)
 
-    names = [c for c in target.columns]
+    names = target.columns
     old_action = [] if action is None else [F.when(hit, UPDATED).otherwise(KEPT).alias(action)]
     new_action = [] if action is None else [F.lit(INSERTED).alias(action)]
     return joined.select(*[merged(c) for c in names], *old_action).unionByName(
@@ -237,14 +241,16 @@ def update_country_names(
         named = named.where(
             F.when(F.col(_COPIES) > 1, F.raise_error(message).cast("boolean")).otherwise(True)
         )
-    marked = _spread(named.drop(_COPIES).withColumn(_HIT, F.lit(True)), ["_code"])
     code = F.col("country_code").cast(countries.schema["code"].dataType)
-    joined = (
-        dim.withColumn("_code", code)
-        .withColumn(_SPREAD, F.xxhash64("_code"))
-        .join(marked, [_SPREAD, "_code"], "left")
+    # A hash beside the code, for the same reason as in the merge: a country may hold most rows.
+    joined = dim.withColumn(_TARGET_SPREAD, F.xxhash64(code)).join(
+        named.drop(_COPIES).withColumn(_SPREAD, F.xxhash64("_code")),
+        [F.col(_TARGET_SPREAD) == F.col(_SPREAD), code == F.col("_code")],
+        "left",
+    )
+    name = F.when(
+        F.col("_code").isNotNull(), F.col("_name").cast(dim.schema["country_name"].dataType)
     )
-    name = F.when(F.col(_HIT), F.col("_name").cast(dim.schema["country_name"].dataType))
     return joined.select(
         *[
             name.otherwise(F.col(c)).alias(c) if c == "country_name" else F.col(c)
