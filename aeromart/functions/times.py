@@ -32,7 +32,9 @@ def utc_clock(text: Column) -> Column:
 
 
 def hour_of(ts: Column) -> Column:
-    return F.date_trunc("HOUR", ts).cast("timestamp_ntz")
+    """The start of the hour. ``date_trunc`` would pass through the session zone, which has no
+    02:30 on one day of the year."""
+    return ts.cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
 
 
 def previous_hour_of(as_of: Column) -> tuple[Column, Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Any
@@ -15,7 +15,7 @@ from ..operators import alerts as A
 from ..operators.merge import merge_locations, merge_parameters, update_country_names
 from ..sources import payloads as P
 from ..sources.envelope import read_bodies
-from ..sources.staging import GOOD, QUARANTINE, stage
+from ..sources.staging import GOOD, QUARANTINE, Staged, stage
 from ..sources.tables import Dimension, FactStore
 from .sizing import shared_dir
 
@@ -36,12 +36,16 @@ def refresh_locations(
     locations: DataFrame,
     countries: DataFrame,
     as_of: datetime | Column | None = None,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Merge locations first and name their countries after it, in one write.
 
-    The other order would leave the old country's name on a location that has moved.
+    The other order would leave the old country's name on a location that has moved. ``order_by``
+    decides which of several rows for one location counts: the largest.
     """
-    merged = merge_locations(dim.current(), locations, as_of=as_of, on_duplicate="dedupe")
+    merged = merge_locations(
+        dim.current(), locations, as_of=as_of, on_duplicate="dedupe", order_by=order_by
+    )
     return dim.publish(update_country_names(merged, countries))
 
 
@@ -103,6 +107,43 @@ def load_window(
     )
 
 
+def load_all(
+    spark: SparkSession,
+    landing: str,
+    tables: tuple[Dimension, Dimension, FactStore],
+    start: datetime | str,
+    end: datetime | str,
+    as_of: datetime | Column | None = None,
+) -> dict[str, dict[str, int] | LoadReport]:
+    """One whole run over ``<landing>/locations``, ``countries``, ``parameters``, ``measurements``.
+
+    Locations come before the names of their countries; the rest could run in any order. All four
+    are staged in folders of this run. Returns what was staged, and the report of the fact.
+    """
+    dim_location, dim_parameter, fact = tables
+    folder = shared_dir(spark, "staging")
+
+    def staged(name: str, extract, rules) -> Staged:
+        return stage(extract(read_bodies(spark, f"{landing}/{name}")), f"{folder}/{name}", rules)
+
+    locations = staged("locations", P.extract_locations, S.STG_LOCATIONS)
+    countries = staged("countries", P.extract_countries, S.STG_COUNTRIES)
+    parameters = staged("parameters", P.extract_parameters, S.STG_PARAMETERS)
+    refresh_locations(
+        dim_location, locations.good(), countries.good(), as_of, order_by=["lastupdated"]
+    )
+    refresh_parameters(dim_parameter, parameters.good(), as_of)
+    report = load_window(
+        spark, f"{landing}/measurements", fact, start, end, f"{folder}/measurements", as_of
+    )
+    return {
+        "locations": locations.counts,
+        "countries": countries.counts,
+        "parameters": parameters.counts,
+        "measurements": report,
+    }
+
+
 def load_range(
     spark: SparkSession,
     path: str | list[str],

@@ -571,6 +571,31 @@ STORED_SQL = """
   FROM events e JOIN customer c ON c.c_custkey = e.user_id"""
 
 
+@query(f"""SELECT s.location_id, s.parameter_code, s.value, s.date_utc, c.c_name AS location_name,
+       c.c_mktsegment AS city, n.n_name AS country_name, 'type ' || s.parameter_code AS parameter_name,
+       'units' AS preferredunit
+FROM ({STORED_SQL}) s JOIN customer c ON c.c_custkey = s.location_id
+                      JOIN nation n ON n.n_nationkey = c.c_nationkey""")
+def whole_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Four folders of responses into empty tables, then the star join of what is stored."""
+    first, last = _span(spark, folder)
+    landing = shared_dir(spark, "landing")
+    for name, bodies in (
+        ("locations", D.location_bodies(spark, folder)),
+        ("countries", D.country_bodies(spark, folder)),
+        ("parameters", D.event_type_bodies(spark, folder)),
+        ("measurements", D.measurement_bodies(D.located_events(spark, folder))),
+    ):
+        bodies.write.text(f"{landing}/{name}")
+    tables = create_star_schema(spark, shared_dir(spark, "star"))
+    L.load_all(spark, landing, tables, first, last + timedelta(hours=1), as_of=D.AS_OF)
+    locations, parameters, store = tables
+    return star.star_join(store.read(), locations.current(), parameters.current()).select(
+        "location_id", "parameter_code", "value", "date_utc", "location_name", "city",
+        "country_name", "parameter_name", "preferredunit",
+    )
+
+
 @query(f"""SELECT measure_date, CAST(hour(date_utc) AS INTEGER) AS measure_hour,
        count(*) AS measurements, min(date_utc) AS first_at
 FROM ({STORED_SQL}) GROUP BY ALL""")

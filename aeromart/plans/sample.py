@@ -118,6 +118,19 @@ def event_types(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_type_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same parameters as a payload; their first letters differ and serve as ids."""
+    kinds = event_types(spark, folder)
+    return kinds.select(
+        _body(
+            F.ascii("code").alias("id"),
+            F.col("code").alias("name"),
+            F.col("displayname").alias("displayName"),
+            F.col("preferredunit").alias("preferredUnit"),
+        )
+    )
+
+
 def countries(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select(
         F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("name")

@@ -213,6 +213,44 @@ def test_fact_files_are_sorted(spark, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_a_hot_day_is_written_by_many_tasks(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"))
+    store.create_if_absent()
+    hot = spark.range(60_000, numPartitions=8).selectExpr(
+        "cast(id as int) as location_id", "'AA' as country_code", "sha1(cast(id as string)) as parameter_code",
+        "rand(1) as value", "cast(null as timestamp_ntz) as date_local",
+        "timestamp_ntz'2023-12-19 00:00:00' + make_dt_interval(if(id % 3 = 0, cast(id % 20 as int), 0)) as date_utc",
+        "cast(null as timestamp_ntz) as updated_at")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "300KB")
+    try:
+        store.write(hot)
+    finally:
+        spark.conf.set(key, old)
+    assert sum("2023-12-19" in name for name in files(store)) > 4
+    assert store.read().count() == 60_000
+
+
+def test_a_whole_run_twice(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    newer, older = ({"id": 1, "name": n, "country": c, "lastUpdated": f"2023-12-{d}T00:00:00+00:00"}
+                    for n, c, d in (("a", "AA", 19), ("z", "BB", 18)))
+    land(landing / "locations", "a", [newer, older], [{"id": "x"}])
+    land(landing / "countries", "a", [{"code": "AA", "name": "Aland"}])
+    land(landing / "parameters", "a", [{"id": 2, "name": "pm25", "displayName": "PM2.5"}])
+    land(landing / "measurements", "a", [measurement(FIRST, 1.0), measurement(FIRST, 2.0)])
+    tables = create_star_schema(spark, str(tmp_path / "star"))
+    for run in range(2):
+        got = L.load_all(spark, str(landing), tables, FIRST, FIRST + timedelta(hours=1), AS_OF)
+        assert got["locations"] == {"good": 2, "quarantine": 1}
+        assert got["measurements"] == L.LoadReport(2, 0, 0, 2 * run, 2 * (1 - run))
+        assert rows(tables[0].current(), "id", "name", "country_name") == [(1, "a", "Aland")]
+        assert rows(tables[1].current(), "id", "code", "displayname") == [(2, "pm25", "PM2.5")]
+        assert tables[2].read().count() == 2
+
+
 def test_dimension_snapshots(spark, tmp_path):
     dim = Dimension(spark, str(tmp_path / "dim"), S.DIM_PARAMETER)
     dim.create_if_absent()

@@ -42,6 +42,20 @@ def test_offset_can_move_the_day(spark):
     assert got == datetime(2023, 12, 20, 2, 30)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_hours_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:15.5' as ts")
+        start, end = H.previous_hour_of(F.col("ts"))
+        assert rows(df, H.hour_of(F.col("ts")), start, end) == [
+            (datetime(2024, 3, 10, 2), datetime(2024, 3, 10, 1), datetime(2024, 3, 10, 2))
+        ]
+        assert rows(H.in_days(df.withColumn("date_utc", F.col("ts")), "2024-03-10", "2024-03-10"), "ts")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_previous_hour():
     assert H.previous_hour(datetime(2023, 12, 19, 10, 25)) == (
         datetime(2023, 12, 19, 9),
