@@ -100,7 +100,7 @@ def scd1_merge(
         present = target_keys.join(
             F.broadcast(single.select(*key_names)), key_names, "left_semi"
         ).distinct()
-        candidates = single.drop(_COPIES).unionByName(keyless) if dedupe else rows
+        candidates = single.drop(_COPIES) if dedupe else rows
         new = candidates.join(F.broadcast(present), key_names, "left_anti")
     else:
         # AQE splits hot partitions only where a join sits on plain shuffles, not on aggregates.
@@ -114,13 +114,16 @@ def scd1_merge(
         known = target_keys.distinct()
         if dedupe:
             # One row per key on both sides, shuffled alike already: nothing to split or move.
-            new = single.drop(_COPIES).join(known, key_names, "left_anti").unionByName(keyless)
+            new = single.drop(_COPIES).join(known, key_names, "left_anti")
         else:
             spread = F.xxhash64(*key_names)
             new = rows.withColumn(_SPREAD, spread).join(
                 known.withColumn(_SPREAD, spread), [_SPREAD, *key_names], "left_anti"
             )
 
+    if dedupe:
+        new = new.unionByName(keyless)
+
     hit = F.col(key_names[0]).isNotNull()
     if on_duplicate == "error":
         # A filter, so that no later projection can prune the check away.

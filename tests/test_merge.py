@@ -198,8 +198,14 @@ def final_plan(df, tmp_path):
     return found, counted._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("side", ["target", "target_null", "source", "source_null"])
-def test_hot_keys_are_split_over_tasks(spark, tmp_path, side):
+@pytest.mark.parametrize(
+    ("side", "on_duplicate"),
+    [
+        ("target", "error"), ("target_null", "error"), ("source", "error"), ("source_null", "error"),
+        ("target", "dedupe"), ("target_null", "dedupe"), ("source", "dedupe"),
+    ],
+)
+def test_hot_keys_are_split_over_tasks(spark, tmp_path, side, on_duplicate):
     """A third of all rows with one key, or without one, does not end up in one task."""
     hot = F.lit(None).cast("int") if side.endswith("null") else F.lit(-1)
     many = spark.range(150_000).select(
@@ -216,13 +222,19 @@ def test_hot_keys_are_split_over_tasks(spark, tmp_path, side):
     for key, setting in HOT.items():
         spark.conf.set(key, setting)
     try:
-        found, text = final_plan(merge(big, other, strategy="shuffle"), tmp_path)
+        found, text = final_plan(
+            merge(big, other, strategy="shuffle", on_duplicate=on_duplicate), tmp_path
+        )
     finally:
         for key, setting in old.items():
             spark.conf.set(key, setting)
     # 20,000 of the 30,000 keys below 30,000 occur in the larger table.
     if side.startswith("target"):
         assert found == {"updated": 20_000, "kept": 130_000, "inserted": 10_000}
+    elif on_duplicate == "dedupe":
+        # The hot key is one row before the shuffle already: nothing is left to split.
+        assert found == {"updated": 20_000, "kept": 10_000, "inserted": 80_001}
+        return
     else:
         assert found == {"updated": 20_000, "kept": 10_000, "inserted": 130_000}
     assert "skew=true" in text
