@@ -15,7 +15,7 @@ from ..operators import alerts as A
 from ..operators import merge as M
 from ..operators import metrics, star
 from ..operators.flatten import flatten
-from ..operators.validate import REASONS, apply_rules
+from ..operators.validate import problems
 from ..sources import envelope as E
 from ..sources import payloads as P
 from ..sources.staging import stage
@@ -436,7 +436,7 @@ def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
     labels = D.table(spark, folder, "labels")
     labels = labels.select(F.to_json(F.struct(*labels.columns)).alias("body"))
     bad = D.table(spark, folder, "customer").select(
-        D._body(
+        D.body_of(
             F.col("c_custkey").alias("locationId"),
             F.lit("pm25").alias("parameter"),
             F.col("c_mktsegment").alias("country"),
@@ -451,18 +451,16 @@ def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
        strlen(text) > 256 AS too_many_bytes FROM documents""")
 def text_limits(spark: SparkSession, folder: str) -> DataFrame:
     """Documents against the text limit of a parameter's description, in characters and bytes."""
-    rows = D.table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.col("source").alias("name"),
-        F.col("text").alias("description"),
-    )
-    by_bytes = apply_rules(rows, S.STG_PARAMETERS, in_bytes=True)
-    too_long = F.coalesce(
-        F.contains(F.col(REASONS), F.lit("description: longer than 256")), F.lit(False)
-    )
-    by_characters = apply_rules(rows, S.STG_PARAMETERS)
-    return by_characters.select("id", too_long.alias("too_many_characters")).join(
-        by_bytes.select("id", too_long.alias("too_many_bytes")), "id"
+    rule = next(rule for rule in S.STG_PARAMETERS if rule.name == "description")
+
+    def too_long(in_bytes: bool):
+        (check,) = problems(F.col("text"), rule, in_bytes)
+        return check.isNotNull()
+
+    return D.table(spark, folder, "documents").select(
+        F.col("doc_id").cast("int").alias("id"),
+        too_long(in_bytes=False).alias("too_many_characters"),
+        too_long(in_bytes=True).alias("too_many_bytes"),
     )
 
 
@@ -478,7 +476,7 @@ def landing_files(spark: SparkSession, folder: str) -> DataFrame:
 def staging_truncates(spark: SparkSession, folder: str) -> DataFrame:
     """Staging twice into one folder leaves the second load only."""
     where = shared_dir(spark, "countries")
-    regions = D.region_names(spark, folder).select(D._body(F.col("code"), F.col("name")))
+    regions = D.region_names(spark, folder).select(D.body_of(F.col("code"), F.col("name")))
     stage(P.extract_countries(regions), where, S.STG_COUNTRIES)
     again = stage(
         P.extract_countries(D.country_bodies(spark, folder)), where, S.STG_COUNTRIES

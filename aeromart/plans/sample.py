@@ -122,7 +122,7 @@ def event_type_bodies(spark: SparkSession, folder: str) -> DataFrame:
     """The same parameters as a payload; their first letters differ and serve as ids."""
     kinds = event_types(spark, folder)
     return kinds.select(
-        _body(
+        body_of(
             F.ascii("code").alias("id"),
             F.col("code").alias("name"),
             F.col("displayname").alias("displayName"),
@@ -144,7 +144,7 @@ def region_names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _body(*fields: Column) -> Column:
+def body_of(*fields: Column) -> Column:
     return F.to_json(F.struct(F.array(F.struct(*fields)).alias("results"))).alias("body")
 
 
@@ -154,7 +154,7 @@ def iso(ts: Column, offset: str = "") -> Column:
 
 def location_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
-        _body(
+        body_of(
             F.col("c_custkey").alias("id"),
             F.col("c_mktsegment").alias("city"),
             F.col("c_name").alias("name"),
@@ -177,7 +177,7 @@ def location_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 def country_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select(
-        _body(
+        body_of(
             F.col("n_nationkey").cast("string").alias("code"),
             F.col("n_name").alias("name"),
             F.col("n_regionkey").alias("locations"),
@@ -187,7 +187,7 @@ def country_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 def parameter_bodies(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
-        _body(
+        body_of(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("name"),
             F.col("p_brand").alias("displayName"),
@@ -200,7 +200,7 @@ def parameter_bodies(spark: SparkSession, folder: str) -> DataFrame:
 def measurement_bodies(rows: DataFrame) -> DataFrame:
     """One body per located event."""
     return rows.select(
-        _body(
+        body_of(
             F.col("user_id").alias("locationId"),
             F.col("c_name").alias("location"),
             F.col("event_type").alias("parameter"),

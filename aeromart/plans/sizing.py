@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Plan nodes whose output Catalyst sizes like their input, however many rows they make of it.
+_MULTIPLIERS = ("Generate ", "Expand ", "MapIn", "FlatMap", "MapPartitions", "ScriptTransformation")
+
 
 @cache
 def _local_base() -> str:
@@ -31,9 +34,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def expected_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size of the optimised plan; None where it cannot be trusted (exploded rows)."""
+    """Catalyst's size of the optimised plan; None where a step may multiply rows unseen by it."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
+    text = plan.toString()
+    if any(step in text for step in _MULTIPLIERS):
         return None
     return int(str(plan.stats().sizeInBytes()))
 

@@ -36,26 +36,27 @@ class Dimension:
     schema: T.StructType
     sort: str = "id"
 
-    def _committed(self) -> list[int]:
-        found = [n.split("=")[1] for n in child_names(self.spark, self.path) if "snapshot=" in n]
-        return sorted(
-            int(n)
-            for n in found
-            if exists(self.spark, f"{self.path}/snapshot={n}/_SUCCESS")
-        )
+    def _newest(self) -> int | None:
+        """Looked for from the newest down, as old snapshots pile up until someone deletes them."""
+        names = child_names(self.spark, self.path)
+        numbers = (int(n.split("=")[1]) for n in names if n.startswith("snapshot="))
+        for number in sorted(numbers, reverse=True):
+            if exists(self.spark, f"{self.path}/snapshot={number}/_SUCCESS"):
+                return number
+        return None
 
     def create_if_absent(self) -> None:
-        if not self._committed():
+        if self._newest() is None:
             self.publish(self.spark.createDataFrame([], self.schema))
 
     def current(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(
-            f"{self.path}/snapshot={self._committed()[-1]}"
+            f"{self.path}/snapshot={self._newest()}"
         )
 
     def publish(self, rows: DataFrame) -> DataFrame:
         """Write the next snapshot; the one that is being read stays untouched."""
-        number = max(self._committed(), default=0) + 1
+        number = (self._newest() or 0) + 1
         (
             rows.select(*self.schema.names)
             .hint("rebalance")
@@ -127,12 +128,21 @@ class FactStore:
         days = self._with_partitions(staged.select(ts), ts).select(*self.partitions).distinct()
         return [tuple(row) for row in days.collect()]
 
-    def _folder(self, values: tuple) -> str:
-        parts = [
-            f"{name}={_NULL_PARTITION if value is None else value}"
-            for name, value in zip(self.partitions, values)
-        ]
-        return "/".join([self.path, *parts])
+    def _present(self, touched: list[tuple]) -> list[tuple]:
+        """Those that exist already: one listing, or one per touched day of an hourly table."""
+
+        def folder(name: str, value) -> str:
+            return f"{name}={_NULL_PARTITION if value is None else value}"
+
+        days = set(child_names(self.spark, self.path))
+        found = [v for v in touched if folder(DAY, v[0]) in days]
+        if not self.hourly:
+            return found
+        hours = {
+            day: set(child_names(self.spark, f"{self.path}/{folder(DAY, day)}"))
+            for day in {v[0] for v in found}
+        }
+        return [v for v in found if folder(HOUR, v[1]) in hours[v[0]]]
 
     def _among(self, values: list[tuple], columns: dict[str, Column]) -> Column:
         """Whether a row lies in one of the partitions; plain IN lists, which prune folders."""
@@ -167,8 +177,9 @@ class FactStore:
         touched = self._touched(staged, ts)
         if not touched:
             return {KEPT: 0, UPDATED: 0, INSERTED: 0}
-        present = [v for v in touched if exists(self.spark, self._folder(v))]
-        fresh = [v for v in touched if v not in set(present)]
+        present = self._present(touched)
+        known = set(present)
+        fresh = [v for v in touched if v not in known]
         options = {"keys": keys, "action": _ACTION, **options}
         self.create_if_absent()
         stored = self.read()
