@@ -10,7 +10,9 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_OFFSET = r"[T ]\d{2}:.*([+-])(\d{2}):?(\d{2})?$"
+_PLAIN = r"^[+-]?[\d-]+([T ][\d:.]*)?$"
+_UTC = r"\d ?(Z|UTC|GMT)$"
+_OFFSET = r"^[+-]?[\d-]+[T ][\d:.]+ ?([+-])(\d{1,2}):?(\d{2})?$"
 
 
 def wall_clock(text: Column) -> Column:
@@ -19,16 +21,19 @@ def wall_clock(text: Column) -> Column:
 
 
 def utc_clock(text: Column) -> Column:
-    """ISO text to the UTC wall clock; text without an offset is taken as UTC already."""
+    """ISO text to the UTC wall clock; text without an offset is taken as UTC already.
+
+    The name of a region is no offset: such text becomes NULL, rather than a wrong time.
+    """
     minutes = (
-        F.coalesce(F.regexp_extract(text, _OFFSET, 2).try_cast("int"), F.lit(0)) * 60
+        F.regexp_extract(text, _OFFSET, 2).try_cast("int") * 60
         + F.coalesce(F.regexp_extract(text, _OFFSET, 3).try_cast("int"), F.lit(0))
     )
     signed = F.when(F.regexp_extract(text, _OFFSET, 1) == "-", -minutes).otherwise(minutes)
-    moved = wall_clock(text) - F.make_dt_interval(mins=signed)
-    # Text that is UTC already, the usual case, takes no pattern matching.
-    is_utc = text.endswith("+00:00") | text.endswith("Z")
-    return F.when(is_utc, wall_clock(text)).otherwise(moved)
+    # "+00:00", the usual case, takes no pattern matching.
+    return F.when(
+        text.endswith("+00:00") | text.rlike(_UTC) | text.rlike(_PLAIN), wall_clock(text)
+    ).otherwise(F.try_subtract(wall_clock(text), F.make_dt_interval(mins=signed)))
 
 
 def hour_of(ts: Column) -> Column:

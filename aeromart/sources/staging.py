@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.validate import OK, REASONS
-from ..schemas import Rule, staging_schema
+from ..schemas import Rule, no_rows, staging_schema
 from .envelope import RAW
 
 STATUS = "_status"
@@ -37,7 +37,7 @@ class Staged:
     def _rows(self, status: str, schema: T.StructType) -> DataFrame:
         # A status without rows has no folder.
         if not self.counts[status]:
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(f"{self.path}/{STATUS}={status}")
 
 

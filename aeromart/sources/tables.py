@@ -47,7 +47,7 @@ class Dimension:
 
     def create_if_absent(self) -> None:
         if self._newest() is None:
-            self.publish(self.spark.createDataFrame([], self.schema))
+            self.publish(S.no_rows(self.spark, self.schema))
 
     def current(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(

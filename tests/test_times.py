@@ -20,6 +20,14 @@ def one(spark, column, text):
         ("2023-12-19T07:00:00Z", 7.0, 7.0),
         ("2023-12-19 07:00:00", 7.0, 7.0),
         ("2023-12-19T07:00:00", 7.0, 7.0),
+        ("2023-12-19T07:00:00+5:30", 7.0, 1.5),
+        ("2023-12-19T07:00:00-00:30", 7.0, 7.5),
+        ("2023-12-19T07:00:00 UTC", 7.0, 7.0),
+        ("2023-12-19", 0.0, 0.0),
+        ("2023-12-19T07:00:00 Europe/Paris", 7.0, None),
+        ("2023-12-19T07:00:00 NZ", 7.0, None),
+        ("2023-12-19T07:00:00 Etc/GMT+5", 7.0, None),
+        ("2023-12-19T07:00:00+99:99", None, None),
         ("bad", None, None),
         (None, None, None),
     ],
@@ -37,6 +45,10 @@ def test_clocks_do_not_depend_on_the_session_zone(spark, text, wall, utc, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_a_time_beyond_the_range_is_no_time(spark):
+    assert one(spark, H.utc_clock(F.col("t")), "+294247-01-10T04:00:54.775807-05:00") is None
+
+
 def test_offset_can_move_the_day(spark):
     got = one(spark, H.utc_clock(F.col("t")), "2023-12-19T23:30:00-03:00")
     assert got == datetime(2023, 12, 20, 2, 30)
