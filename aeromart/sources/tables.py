@@ -167,6 +167,7 @@ class FactStore:
     ) -> dict[str, int]:
         """Merge staged measurements and return how many rows were kept, updated and inserted.
 
+        ``staged`` is read several times and must give the same rows each time, as files do.
         Partitions that do not exist yet need no join: their rows go through the same merge
         against an empty target.
         """

@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = local_session(
         8,
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

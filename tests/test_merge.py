@@ -127,7 +127,7 @@ ROWS = st.lists(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(t=ROWS, s=ROWS)
 @pytest.mark.parametrize("on_duplicate", M.ON_DUPLICATE)
 @BOTH
