@@ -1,0 +1,71 @@
+import hashlib
+import re
+
+import pytest
+
+import check
+from aeromart.llm import decontaminate as D
+from aeromart.llm.queries import SQL, op8_decontaminate
+from tests.conftest import rows
+from tests.llm.data import frame, odd_rows, words
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute(docs, items):
+    """Every window of every item at every place of every text."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    found = []
+    for doc_id, text in docs:
+        w, hit, ids = cut(text), set(), set()
+        for item_id, item in items:
+            v = cut(item)
+            n = min(10, len(v))
+            for i in range(len(v) - n + 1 if v else 0):
+                for j in range(len(w) - n + 1):
+                    if w[j : j + n] == v[i : i + n]:
+                        hit.update(range(j, j + n))
+                        if item_id is not None:
+                            ids.add(item_id)
+        digest = hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
+        found.append((doc_id, len(w), len(hit), len(ids), digest, bool(hit)))
+    return sorted(found, key=repr)
+
+
+ITEMS = [(1, words(1, 25)), (10, words(9, 12)), (2, "one"), (3, "w1 w2"), (4, ""), (5, None), (6, "Déjà VU, ça"), (7, words(1, 12))]
+
+
+def benchmark(spark, items):
+    return spark.createDataFrame([(i, t, 0) for i, t in items], "item_id bigint, text string, doc_id int")
+
+
+@pytest.mark.parametrize("block_bytes", [1, 32 << 20])
+def test_odd_rows_equal_brute_force(spark, block_bytes):
+    docs = [r for r in odd_rows() if r[0] != 10] + [(20, "x " + words(9, 12).upper() + " y"), (21, "oneone w1w2 w1 w2w")]
+    made = D.scan(frame(spark, docs), benchmark(spark, ITEMS), block_bytes=block_bytes)
+    assert rows(made) == brute(docs, ITEMS)
+
+
+def test_whole_table_equals_sql(spark):
+    made = op8_decontaminate(spark, FOLDER)
+    want = check.connect(FOLDER).sql(SQL["op8_decontaminate"])
+    assert check.row_set([tuple(r) for r in made.collect()], made.columns) == check.row_set(want.fetchall(), want.columns)
+
+
+def test_spans_point_into_the_original(spark):
+    text = "Ça VA!  Déjà -- vu, ça... end"
+    made = D.scan(frame(spark, [(1, text)]), benchmark(spark, [(6, "Déjà VU, ça")]), spans=True).first()
+    assert [text[a:b] for a, b in made.spans] == ["Déjà -- vu, ça"]
+
+
+def test_dropping_keeps_columns_and_clean_rows(spark):
+    docs = frame(spark, [(1, words(9, 12)), (2, "clean"), (3, None), (None, words(9, 30)), (4, "")])
+    kept = D.drop_contaminated(docs, benchmark(spark, [(10, words(9, 12))]))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
+
+
+def test_empty_tables(spark):
+    assert D.scan(frame(spark, []), benchmark(spark, ITEMS)).count() == 0
+    made = D.scan(frame(spark, [(1, "a b")]), benchmark(spark, [])).first()
+    assert (made.n_words, made.n_hit, made.contaminated) == (2, 0, False)
+    assert D.drop_contaminated(frame(spark, [(1, "a b")]), benchmark(spark, [])).count() == 1

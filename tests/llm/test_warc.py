@@ -1,0 +1,81 @@
+import gzip
+import hashlib
+
+import check
+from aeromart.llm import warc as W
+from aeromart.llm.queries import SQL, op10_warc
+from tests.conftest import rows
+
+FOLDER = "/root/testdata/sf0.001"
+LONG = "<p>" + "same " * 40 + "\r\n\r\nWARC/1.1\r\n"
+PAGES = [
+    (1, "http://a.org/x", LONG), (2, "https://www.a.org/x#f", LONG), (3, None, None), (4, "", ""), (5, "http://b.org", "short"),
+    (6, "http://b.org", "short"), (7, "http://u:p@B.org:80/é?q=1 2", "é" * 200_000), (None, "http://n.org", LONG),
+    (8, "http://a.org/x", "é" * 200_000), (1, "http://a.org/x", LONG), (9, "not a url\nat all", "z" * 100),
+]
+
+
+def pages(spark, given=PAGES):
+    schema = "page_id bigint, url string, html string, digest int, first int, key int, file int"
+    return spark.createDataFrame([(*r, 1, 2, 3, 4) for r in given], schema).repartition(3)
+
+
+def expected(given):
+    first = {}
+    for i, _, h in given:
+        if h is not None and len(h.encode()) >= 100 and i is not None:
+            first[h] = min(i, first.get(h, i))
+    made = []
+    for i, _, h in given:
+        payload = (h or "").encode()
+        refers = first.get(h) if len(payload) >= 100 and i != first.get(h) else None
+        made.append((i, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if refers else "response", refers))
+    return sorted(made, key=repr)
+
+
+def test_whole_table_equals_sql(spark):
+    made = op10_warc(spark, FOLDER)
+    want = check.connect(FOLDER).sql(SQL["op10_warc"])
+    assert check.row_set([tuple(r) for r in made.collect()], made.columns) == check.row_set(want.fetchall(), want.columns)
+
+
+def test_odd_rows(spark):
+    archive = W.build(pages(spark))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert rows(archive.read_all(), *names) == expected(PAGES)
+    stored = {bytes(r.payload) for r in archive.read_all(payload=True).where("record_type = 'response'").collect()}
+    assert stored == {(h or "").encode() for _, _, h in PAGES}
+
+
+def test_lookup_finds_the_captures_of_an_address(spark):
+    archive = W.build(pages(spark))
+    found = archive.lookup(spark.createDataFrame([("http://a.org/x",), ("http://nowhere.org/",)], "url string"))
+    assert sorted(r.page_id for r in found.collect()) == [1, 1, 2, 8]
+
+
+def test_lookup_across_many_blocks(spark):
+    given = [(i, f"http://h{i % 7}.org/{i % 50}", f"body {i}") for i in range(400)]
+    captures = W.build(pages(spark, given))
+    base = captures.records.removesuffix("records")
+    small = W.Archive(captures.records, f"{base}/small", W.written(W.write_index(captures.captures(), f"{base}/small", 5)))
+    assert small.directory.count() >= 80
+    urls = spark.createDataFrame([(u,) for _, u, _ in given], "url string")
+    assert sorted(r.page_id for r in small.lookup(urls).collect()) == list(range(400))
+
+
+def test_records_are_plain_warc():
+    member = W.record(3, "http://a.org/", b"body", None)
+    text = gzip.decompress(member)
+    assert text.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and text.endswith(b"body\r\n\r\n")
+    assert W.parse(W.record(4, "u", b"x" * 200, 3))["refers_to"] == 3
+
+
+def test_keys_sort_by_reversed_host():
+    assert W.capture_key("https://www.News.example.co.uk:8080/a?b#c") == "uk,co,example,news)/a?b"
+    assert W.capture_key(None) == ")/" and W.capture_key("http://a.org") == W.capture_key("http://a.org/")
+
+
+def test_empty_table(spark):
+    archive = W.build(pages(spark, []))
+    assert archive.read_all().count() == 0
+    assert archive.lookup(spark.createDataFrame([("http://a.org",)], "url string")).count() == 0
