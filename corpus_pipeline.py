@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromart.llm import bpe, decontaminate, simhash
+from aeromart.llm import bpe, decontaminate, language, simhash, toxicity
 from aeromart.llm.common import table, written
 from aeromart.llm.queries import vocabulary
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language is found go: null texts and texts without letters."""
+    return language.drop_unknown(docs, language.learn(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.keep_one(docs)
@@ -25,6 +35,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic),
+    ("language", languages),
     ("near_duplicates", near_duplicates),
     ("benchmark", benchmark),
     ("tokens", tokens),
