@@ -28,7 +28,6 @@ PAIRS = 3
 LEVEL = 3
 DICT_BYTES = 110 << 10
 TEXTS, TEXT_BYTES = 1500, 8000
-FIT_ROWS = 20_000
 WIDTH = 3
 
 
@@ -68,7 +67,7 @@ def _dictionary(texts: list[bytes]) -> bytes | None:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Dictionaries from three quarters of the labelled rows (bounded), the score from the other quarter (bounded)."""
+    """Dictionaries from three quarters of the labelled rows (bounded), the score from the other quarter."""
     known = labelled(docs, labels, "quality", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
     begin = F.expr(f"substring(encode(text, 'utf-8'), 1, {TEXT_BYTES})")
@@ -87,8 +86,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
         return pa.RecordBatch.from_arrays([made, batch.column(1)], names=["x", "label"])
 
     rows = map_texts(known.where(fits).select("text", "label"), features, "x array<double>, label int")
-    rows = rows.limit(FIT_ROWS).collect()
-    return Classifier(pairs, Logistic([tuple(r.x) for r in rows], [r.label for r in rows], WIDTH))
+    rows = rows.toArrow()  # a quarter of the sample of labels, a few numbers each
+    return Classifier(pairs, Logistic(rows["x"].to_pylist(), rows["label"].to_pylist(), WIDTH))
 
 
 _CODECS: dict[int, Codecs] = {}

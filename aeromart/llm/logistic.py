@@ -8,7 +8,7 @@ import numpy as np
 class Logistic:
     """Weights over standardised features; with one class only, a constant."""
 
-    def __init__(self, rows: list[tuple[float, ...]], labels: list[int], width: int, ridge: float = 1e-2):
+    def __init__(self, rows: list[list[float]], labels: list[int], width: int, ridge: float = 1e-2):
         x, y = np.asarray(rows, float).reshape(-1, width), np.asarray(labels, float)
         self.mean, self.scale = np.zeros(width), np.ones(width)
         self.weights = np.zeros(width + 1)
