@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +48,23 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Spark cut Arrow batches at ``BATCH_BYTES``, if the session's bound is larger.
+
+    Two tasks of an executor hold several copies of a batch, on both sides of the pipe; there is no setting for one query alone.
+    """
+    now = spark.conf.get(BATCH_LIMIT).strip().lower().removesuffix("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    size = int(now.rstrip("kmgt")) * unit
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def map_texts(
     df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str
 ) -> DataFrame:
     """One result batch per Arrow batch of ``df``. Spark bounds a batch by rows and by bytes."""
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
