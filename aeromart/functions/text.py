@@ -27,12 +27,14 @@ def html_escape(text: Column) -> Column:
     return text
 
 
-def row_key(*columns: Column) -> Column:
-    """Hex SHA-1 over the columns as text.
-
-    The separator keeps ``1, 2pm`` apart from ``12, pm``; a NULL has a mark of its own, so that
-    it differs from an empty text.
-    """
-    return F.sha1(
-        F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns])
+def text_key(*columns: Column) -> Column:
+    """The columns as one text that no other row shares: each with its length before it, NULL as ``-``."""
+    texts = [c.cast("string") for c in columns]
+    return F.concat(
+        *[F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     )
+
+
+def row_key(*columns: Column) -> Column:
+    """Hex SHA-1 over the columns as text; rows that differ in any column, or in what is NULL, differ."""
+    return F.sha1(text_key(*columns))

@@ -10,6 +10,9 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: UTC times outside these days are taken for errors, which bounds the partitions that a load can touch.
+FIRST_DAY, LAST_DAY = date(1970, 1, 1), date(2099, 12, 31)
+
 _PLAIN = r"^[+-]?[\d-]+([T ][\d:.]*)?$"
 _UTC = r"\d ?(Z|UTC|GMT)$"
 _OFFSET = r"^[+-]?[\d-]+[T ][\d:.]+ ?([+-])(\d{1,2}):?(\d{2})?$"

@@ -2,8 +2,8 @@
 
 One pass finds the alerts of any number of days and parameters: rows shrink to one (sum, count) per
 country, day and parameter before the first shuffle, and the overall mean is a window over those.
-Country mean and overall mean come from the same partial sums, so a country that is alone on its
-day can never exceed "the others" by a rounding error.
+Sums are exact decimals and means are compared crosswise, so that neither the order of the rows nor
+rounding decides: equal values never alert, and a country alone on its day is never above itself.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import html_escape, name_list
-from ..functions.times import as_day, in_days
+from ..functions.numbers import exact, greater_mean, mean
+from ..functions.text import html_escape, name_list, text_key
+from ..functions.times import in_days
 
 _DAY_AND_PARAMETER = ("measure_date", "parameter_code")
 
@@ -42,25 +43,24 @@ def country_partials(
     rows = select_parameters(in_days(fact, start_day, end_day), parameters)
     return rows.groupBy(
         "country_code", F.to_date("date_utc").alias("measure_date"), "parameter_code"
-    ).agg(F.sum("value").alias("value_sum"), F.count("value").alias("value_count"))
-
-
-def _mean(total: Column, count: Column) -> Column:
-    return F.try_divide(total, count)
+    ).agg(
+        F.sum(exact(F.col("value"))).alias("value_sum"),
+        F.count(exact(F.col("value"))).alias("value_count"),
+    )
 
 
 def country_means(partials: DataFrame) -> DataFrame:
     return partials.select(
         "country_code",
         *_DAY_AND_PARAMETER,
-        _mean(F.col("value_sum"), F.col("value_count")).alias("avg_value"),
+        mean(F.col("value_sum"), F.col("value_count")).alias("avg_value"),
     )
 
 
 def overall_means(partials: DataFrame) -> DataFrame:
     """Mean over all rows of a day and parameter, not the mean of the country means."""
     return partials.groupBy(*_DAY_AND_PARAMETER).agg(
-        _mean(F.sum("value_sum"), F.sum("value_count")).alias("base_value")
+        mean(F.sum("value_sum"), F.sum("value_count")).alias("base_value")
     )
 
 
@@ -73,12 +73,19 @@ def above_average(
     """Countries whose daily mean is above (strictly) the overall daily mean, with both means."""
     day = Window.partitionBy(*_DAY_AND_PARAMETER)
     partials = country_partials(fact, start_day, end_day, parameters)
-    return partials.select(
+    both = partials.select(
+        "*", F.sum("value_sum").over(day).alias("base_sum"), F.sum("value_count").over(day).alias("base_count")
+    )
+    return both.where(_above()).select(
         "country_code",
         *_DAY_AND_PARAMETER,
-        _mean(F.col("value_sum"), F.col("value_count")).alias("avg_value"),
-        _mean(F.sum("value_sum").over(day), F.sum("value_count").over(day)).alias("base_value"),
-    ).where(F.col("avg_value") > F.col("base_value"))
+        mean(F.col("value_sum"), F.col("value_count")).alias("avg_value"),
+        mean(F.col("base_sum"), F.col("base_count")).alias("base_value"),
+    )
+
+
+def _above() -> Column:
+    return greater_mean(F.col("value_sum"), F.col("value_count"), F.col("base_sum"), F.col("base_count"))
 
 
 def above_average_of_day(
@@ -86,29 +93,16 @@ def above_average_of_day(
     day: date | str | None = None,
     parameters: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """The same for one day (by default the newest), as HAVING against a scalar subquery.
+    """The same for one day, by default the newest one, without the overall mean.
 
-    It reads the fact twice; ``above_average`` is the form for many days at once.
+    The newest day comes from the partition column if the fact has one, so no measurement is read for it.
     """
-    chosen = select_parameters(in_days(fact, day, day), parameters)
-    wanted, args = "(SELECT max(to_date(date_utc)) FROM {fact})", None
-    if day is not None:
-        wanted, args = ":day", {"day": as_day(day)}
-    return fact.sparkSession.sql(
-        f"""
-        SELECT country_code, to_date(date_utc) AS measure_date, parameter_code,
-               avg(value) AS avg_value
-        FROM {{chosen}} AS f
-        WHERE to_date(date_utc) = {wanted}
-        GROUP BY country_code, to_date(date_utc), parameter_code
-        HAVING avg(value) > (SELECT avg(value) FROM {{chosen}} AS o
-                             WHERE to_date(o.date_utc) = {wanted}
-                               AND o.parameter_code = f.parameter_code)
-        """,
-        args,
-        chosen=chosen,
-        **({"fact": fact} if day is None else {}),
-    )
+    if day is None:
+        column = F.col("measure_date") if "measure_date" in fact.columns else F.to_date("date_utc")
+        day = fact.agg(F.max(column)).first()[0]
+        if day is None:
+            fact = fact.limit(0)
+    return above_average(fact, day, day, parameters).drop("base_value")
 
 
 def alert_outcomes(
@@ -120,11 +114,12 @@ def alert_outcomes(
     """Per day and parameter with data: countries seen, alerts found, and whether to send."""
     day = Window.partitionBy(*_DAY_AND_PARAMETER)
     partials = country_partials(fact, start_day, end_day, parameters)
-    base = _mean(F.sum("value_sum").over(day), F.sum("value_count").over(day))
-    above = _mean(F.col("value_sum"), F.col("value_count")) > base
+    both = partials.select(
+        "*", F.sum("value_sum").over(day).alias("base_sum"), F.sum("value_count").over(day).alias("base_count")
+    )
     alerts = F.count_if("_above")
     return (
-        partials.select(*_DAY_AND_PARAMETER, F.coalesce(above, F.lit(False)).alias("_above"))
+        both.select(*_DAY_AND_PARAMETER, F.coalesce(_above(), F.lit(False)).alias("_above"))
         .groupBy(*_DAY_AND_PARAMETER)
         .agg(
             F.count(F.lit(1)).alias("countries"),
@@ -151,7 +146,7 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
             F.lit("    <tr>\n"),
             _cell(F.coalesce(alert["country_code"].cast("string"), F.lit("None"))),
             _cell(F.col("measure_date").cast("string")),
-            _cell(F.col("parameter_code")),
+            _cell(F.coalesce("parameter_code", F.lit("None"))),
             _cell(F.format_string("%.6f", alert["avg_value"])),
             F.lit("    </tr>\n"),
         )
@@ -159,16 +154,15 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
     grouped = alerts.groupBy(*_DAY_AND_PARAMETER).agg(
         F.array_sort(F.collect_list(F.struct("country_code", "avg_value"))).alias("found")
     )
-    heading = F.format_string(
-        HEADING, html_escape(F.col("parameter_code")), F.col("measure_date").cast("string")
-    )
+    parameter = F.coalesce("parameter_code", F.lit("None"))
+    heading = F.format_string(HEADING, html_escape(parameter), F.col("measure_date").cast("string"))
     return grouped.select(
         *_DAY_AND_PARAMETER,
         F.size("found").alias("countries"),
         F.array_join(
             F.transform("found", lambda alert: alert["country_code"].cast("string")), ", ", "None"
         ).alias("country_list"),
-        F.format_string(SUBJECT, F.col("parameter_code")).alias("subject"),
+        F.format_string(SUBJECT, parameter).alias("subject"),
         F.concat(
             F.lit("<html><head></head><body>\n<p>"),
             heading,
@@ -184,16 +178,17 @@ def alert_messages(alerts: DataFrame) -> DataFrame:
 
 
 def address(messages: DataFrame, recipients: str | Sequence[str]) -> DataFrame:
-    """One row per message and recipient, with an id that is the same in every run."""
-    people = F.explode(F.array(*[F.lit(r) for r in name_list(recipients)]))
+    """One row per message and recipient, with an id that is the same in every run.
+
+    Empty items and repeated ones do not count; without any recipient the call is refused, as every alert would be lost.
+    """
+    names = [r for r in dict.fromkeys(name_list(recipients)) if r]
+    if not names:
+        raise ValueError("no recipients")
+    people = F.explode(F.array(*[F.lit(r) for r in names]))
     return messages.withColumn("recipient", people).withColumn(
         "alert_id",
-        F.sha2(
-            F.concat_ws(
-                "|", F.col("measure_date").cast("string"), "parameter_code", "recipient"
-            ),
-            256,
-        ),
+        F.sha2(text_key(F.col("measure_date"), F.col("parameter_code"), F.col("recipient")), 256),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import exact, mean
+
 
 def _location_side(dim_location: DataFrame) -> DataFrame:
     return dim_location.select(
@@ -44,14 +46,14 @@ def mean_by_country_and_parameter(
     """
     partials = fact.groupBy("location_id", "parameter_code").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count("value").alias("_count"),
-        F.sum("value").alias("_sum"),
+        F.count(exact(F.col("value"))).alias("_count"),
+        F.sum(exact(F.col("value"))).alias("_sum"),
     )
     return (
         star_join(partials, dim_location, dim_parameter)
         .groupBy("country_name", "parameter_name")
         .agg(
             F.sum("_rows").alias("measurements"),
-            F.try_divide(F.sum("_sum"), F.sum("_count")).alias("avg_value"),
+            mean(F.sum("_sum"), F.sum("_count")).alias("avg_value"),
         )
     )

@@ -9,7 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import utc_clock
+from ..functions.numbers import LIMIT
+from ..functions.times import FIRST_DAY, LAST_DAY, utc_clock
 from ..schemas import Rule
 
 # Whether all checks passed, and the reasons as text. The flag is a column of its own because a
@@ -34,6 +35,16 @@ def problems(text: Column, rule: Rule, in_bytes: bool = False) -> Iterable[Colum
             text.isNotNull() & typed(text, rule).isNull(),
             F.lit(f"{rule.name}: not a {rule.sql_type}"),
         )
+    if rule.type == "double":
+        value = typed(text, rule)
+        finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+        yield F.when(~finite, F.lit(f"{rule.name}: not finite"))
+        if rule.required:
+            yield F.when(finite & (F.abs(value) >= LIMIT), F.lit(f"{rule.name}: out of range"))
+    if rule.type == "utc" and rule.required:
+        day = typed(text, rule).cast("date")
+        outside = (day < F.lit(FIRST_DAY)) | (day > F.lit(LAST_DAY))
+        yield F.when(outside, F.lit(f"{rule.name}: not between {FIRST_DAY} and {LAST_DAY}"))
     if rule.max_length is not None:
         length = F.octet_length(text) if in_bytes else F.char_length(text)
         yield F.when(

@@ -52,7 +52,6 @@ MEASUREMENTS_ELEMENT = (
     + ", date: struct<" + _texts("utc", "local") + ">"
     + ", coordinates: struct<" + _texts("latitude", "longitude") + ">>"
 )
-LOCATIONS_DROPPED = ("parameters", "measurements", "manufacturers", "bounds")
 
 # --- Fixed values: column names, types and text limits of the staging tables. --------------------
 STG_LOCATIONS = (
@@ -65,8 +64,8 @@ STG_LOCATIONS = (
     Rule("ismobile", "boolean"),
     Rule("isanalysis", "boolean"),
     Rule("sensortype", max_length=256),
-    Rule("lastupdated", "timestamp_ntz"),
-    Rule("firstupdated", "timestamp_ntz"),
+    Rule("lastupdated", "utc"),
+    Rule("firstupdated", "utc"),
     Rule("coordinates_latitude", "double"),
     Rule("coordinates_longitude", "double"),
 )

@@ -58,6 +58,9 @@ def test_both_forms_agree_on_every_day(spark, folder):
     [
         [("AA", 0.1), ("AA", 0.2), ("AA", 0.3)],
         [("AA", 2.0), ("BB", 2.0)],
+        [("AA", 0.1), ("AA", 0.1), ("AA", 0.1), ("BB", 0.1)],
+        [("AA", 0.1)] * 3 + [("BB", 0.1)] * 7,
+        [("AA", float("nan")), ("AA", 1.0), ("BB", 1.0)],
         [("AA", None)],
         [],
     ],
@@ -70,11 +73,74 @@ def test_no_alert_no_message(spark, found):
 
 def test_a_lone_country_is_never_above_itself(spark):
     # 0.1 added up in any order is rarely a round number; both means must share the same sum.
-    df = spark.range(100_000, numPartitions=7).select(
+    df = spark.range(20_000, numPartitions=7).select(
         F.lit(1).alias("location_id"), F.lit("AA").alias("country_code"), F.lit("p").alias("parameter_code"),
-        (F.rand(3) * 0.1).alias("value"), F.lit(NOON).cast("timestamp_ntz").alias("date_utc"),
+        (F.rand(3) * F.pow(F.lit(10.0), F.col("id") % 8)).alias("value"), F.lit(NOON).cast("timestamp_ntz").alias("date_utc"),
     )
-    assert A.above_average(df).count() == 0
+    for n in range(1, 9):
+        assert A.above_average(df.repartition(n)).count() == 0
+        assert A.above_average_of_day(df.repartition(n)).count() == 0
+
+
+def test_equal_values_alert_in_no_layout(spark):
+    df = fact(spark, *[("AA", 0.1)] * 30, *[("BB", 0.1)] * 7, *[("CC", 0.1)] * 41)
+    for n in range(1, 9):
+        assert A.above_average(df.repartition(n)).count() == 0
+        assert A.above_average_of_day(df.repartition(n), DAY).count() == 0
+        assert rows(A.alert_outcomes(df.repartition(n)), "alerts") == [(0,)]
+
+
+@pytest.mark.parametrize("values", [
+    [(1, 10**10 - 1), (2, 10**10), (3, 1)], [(0.000000001, 1), (0.000000002, 1)], [(-0.1, 3), (-0.1, 1), (-0.3, 2)], [(999_999_999.999999, 5)],
+])
+def test_comparison_equals_fractions(spark, values):
+    from decimal import Decimal
+    from fractions import Fraction
+
+    from aeromart.functions.numbers import greater_mean
+
+    data = [(Decimal(str(v)) * n, n, Decimal(str(w)) * m, m) for v, n in values for w, m in [*values, (0.1, 7)]]
+    df = spark.createDataFrame(data, "a decimal(38,9), n bigint, b decimal(38,9), m bigint")
+    found = df.select("a", "n", "b", "m", greater_mean(*[F.col(c) for c in "anbm"]).alias("above")).collect()
+    assert [r.above for r in found] == [Fraction(r.a) / r.n > Fraction(r.b) / r.m for r in found]
+
+
+def test_values_beyond_the_range_are_an_error(spark):
+    with pytest.raises(Exception, match="value out of range"):
+        A.above_average(fact(spark, ("AA", 1e12))).collect()
+
+
+def test_recipients_are_refused_or_cleaned(spark):
+    df = fact(spark, *SAMPLE)
+    for nobody in ([], "", " , "):
+        with pytest.raises(ValueError, match="no recipients"):
+            daily_alerts(df, DAY, recipients=nobody)
+    once = daily_alerts(df, DAY, recipients="a@x, a@x,")
+    assert rows(once, "recipient") == [("a@x",)]
+
+
+def test_ids_keep_their_parts_apart(spark):
+    messages = spark.createDataFrame([(DAY, "a|b"), (DAY, "a"), (DAY, None)], "measure_date date, parameter_code string")
+    found = A.address(messages, ["c", "b|c", "1:c"])
+    assert len(set(rows(found, "alert_id"))) == 9
+
+
+def test_a_parameter_without_a_name_has_a_table(spark):
+    message = A.alert_messages(A.above_average(fact(spark, ("AA", 1.0, None), ("BB", 2.0, None)))).first()
+    assert message.body.count("<tr>") == 2 and message.subject.endswith("None")
+
+
+def test_the_newest_day_prunes_folders(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"), hourly=False)
+    store.write(D.fact(spark, "/root/testdata/sf0.001").withColumn("location_id", F.col("location_id").cast("int")))
+    found = A.above_average_of_day(store.read())
+    assert f"measure_date#" in plan(found).split("PartitionFilters")[1][:200]
+    assert store.newest_day() == store.read().agg(F.max("measure_date")).first()[0]
+    day = store.newest_day()
+    assert rows(found) == rows(A.above_average_of_day(store.read(day, day), day))
+    assert {f.split("measure_date=")[1][:10] for f in store.read(day, day).inputFiles()} == {str(day)}
+    assert store.read("1999-01-01", "1999-01-02").count() == 0 and store.read("1999-01-01", "1999-01-02").columns == store.read().columns
+    assert store.read(day).count() == store.read().where(F.col("measure_date") == day).count()
 
 
 def test_outcomes_name_the_silent_days_too(spark):
@@ -148,7 +214,7 @@ def test_one_scan_and_two_exchanges(spark):
 
 
 def test_pruning_on_the_stored_fact(spark, tmp_path):
-    store = FactStore(spark, str(tmp_path / "fact"))
+    store = FactStore(spark, str(tmp_path / "fact"), hourly=False)
     store.write(D.fact(spark, "/root/testdata/sf0.001").withColumn("location_id", F.col("location_id").cast("int")))
     found = A.above_average(store.read(), "2024-01-05", "2024-01-06", ["click"])
     text = plan(found)

@@ -135,13 +135,30 @@ def test_location_lists_and_dropped_fields(spark):
     got = P.good(P.extract_locations(bodies(spark, body(found)))).first()
     assert got.sources == '[{"id":"a","name":"b"}]'
     assert (got.ismobile, got.coordinates_longitude) == (True, -2.0)
-    assert not set(S.LOCATIONS_DROPPED) & set(got.asDict())
+    assert not {"parameters", "measurements", "manufacturers", "bounds"} & set(got.asDict())
 
 
-def test_row_cap(spark):
-    many = bodies(spark, body(*[{"code": f"{i:02}", "name": "n"} for i in range(30)]))
-    assert P.extract_countries(many, limit=12).count() == 12
-    assert P.extract_countries(many).count() == 30
+def test_numbers_must_be_finite_and_in_range(spark):
+    odd = [{**GOOD, "value": v} for v in ("NaN", "Infinity", "-1e9", 999999999.5)]
+    odd.append({**GOOD, "coordinates": {"latitude": "NaN", "longitude": "-Infinity"}})
+    extracted = P.extract_measurements(bodies(spark, body(*odd)))
+    assert reasons(extracted) == [
+        "coordinates_latitude: not finite", "coordinates_longitude: not finite", "value: not finite", "value: not finite",
+        "value: out of range",
+    ]
+    assert rows(P.good(extracted), "value") == [(999999999.5,)]
+
+
+def test_times_must_be_plausible(spark):
+    at = lambda utc: {**GOOD, "date": {"utc": utc}}
+    extracted = P.extract_measurements(bodies(spark, body(at("1969-12-31T23:59:59+00:00"), at("2100-01-01T00:00:00Z"), at("2099-12-31T23:59:59Z"))))
+    assert reasons(extracted) == ["date_utc: not between 1970-01-01 and 2099-12-31"] * 2
+
+
+def test_the_newest_location_is_found_by_utc(spark):
+    found = [{"id": 1, "name": n, "lastUpdated": t} for n, t in (("old", "2023-12-19T10:00:00+05:00"), ("new", "2023-12-19T09:00:00+00:00"))]
+    got = P.good(P.extract_locations(bodies(spark, body(*found))))
+    assert got.orderBy("lastupdated").collect()[-1]["name"] == "new"
 
 
 def test_window_keeps_quarantine(spark):

@@ -25,7 +25,10 @@ def test_row_key_keeps_neighbours_and_nulls_apart(spark):
     key = X.row_key(F.col("c0"), F.col("c1"))
     keys = {
         value(spark, key, *pair)
-        for pair in [("1", "2pm"), ("12", "pm"), ("", "x"), (None, "x"), ("x", None), ("x", "")]
+        for pair in [
+            ("1", "2pm"), ("12", "pm"), ("", "x"), (None, "x"), ("x", None), ("x", ""), ("a|b", "c"), ("a", "b|c"),
+            ("\u0000", "x"), ("-", "x"), ("1:1", "1:1"), ("1", "1:11:1"),
+        ]
     }
-    assert len(keys) == 6
+    assert len(keys) == 12
     assert all(len(k) == 40 for k in keys)
