@@ -8,8 +8,10 @@ Rules of the generic merge
 
 Physical form. The target is left-joined with one row per source key, and the inserts are an
 anti-join against the distinct target keys. Both leave the large side of a hot key splittable by
-AQE (a full outer join would not), and one-row-per-key is reached with map-side aggregation. If the
-source fits Spark's broadcast limit, the target is not shuffled at all.
+AQE (a full outer join would not), and one-row-per-key is reached with map-side aggregation. No join
+is hinted: Spark and AQE broadcast a small source from its real size. Floating keys are compared as
+text, in which NaN equals NaN and -0.0 equals 0.0: Spark would otherwise rewrite them in every join
+and shuffle again what an aggregation has just shuffled by them.
 """
 
 from __future__ import annotations
@@ -21,12 +23,12 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import ntz
-from ..plans.sizing import fits_broadcast
 
 ON_DUPLICATE = ("error", "insert_all", "dedupe")
-STRATEGIES = ("auto", "broadcast", "shuffle")
+STRATEGIES = ("broadcast", "shuffle")
 KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 
 _COPIES, _PICK, _SPREAD, _TARGET_SPREAD = "_copies", "_pick", "_spread", "_to_spread"
@@ -34,10 +36,17 @@ _COPIES, _PICK, _SPREAD, _TARGET_SPREAD = "_copies", "_pick", "_spread", "_to_sp
 
 def stamp_of(as_of: datetime | Column | None) -> Column:
     if as_of is None:
-        return F.localtimestamp()
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     return ntz(as_of) if isinstance(as_of, datetime) else as_of.cast("timestamp_ntz")
 
 
+def _comparable(key: Column, kind: T.DataType) -> Column:
+    """A floating key as text; its cast back gives the number again."""
+    if not isinstance(kind, (T.FloatType, T.DoubleType)):
+        return key
+    return F.when(key == 0, F.lit("0.0")).otherwise(key.cast("string"))
+
+
 def _one_per_key(rows: DataFrame, keys: Sequence[str], rest: Sequence[str]) -> DataFrame:
     """The largest row of each key and how many there were, partly found before the shuffle."""
     copies = F.count(F.lit(1)).alias(_COPIES)
@@ -59,7 +68,7 @@ def scd1_merge(
     stamp_inserts: bool = False,
     only_if_changed: bool = False,
     action: str | None = None,
-    strategy: str = "auto",
+    strategy: str = "shuffle",
 ) -> DataFrame:
     """Merge ``source`` into ``target``; all maps go from target column to source column.
 
@@ -69,7 +78,8 @@ def scd1_merge(
     by ``order_by`` and then by all columns, so it never depends on row order.
 
     ``action`` names an output column that tells kept, updated and inserted rows apart.
-    ``strategy`` is ``auto``, ``broadcast`` or ``shuffle``.
+    ``strategy`` is ``shuffle`` (joins without a hint, the default) or ``broadcast`` (the source is
+    hinted, for callers who know that it is small).
     """
     if on_duplicate not in ON_DUPLICATE:
         raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
@@ -83,18 +93,19 @@ def scd1_merge(
     # A column that only repeats a key is read from the key instead of being carried twice.
     used = [*order_by, *[m[to] for m in (set_map, insert_map) for to in m if m[to] != keys.get(to)]]
     held = {name: f"_s{i}" for i, name in enumerate(dict.fromkeys(used))}
+    kinds = {to: target.schema[to].dataType for to in keys}
     rows = source.select(
-        *[F.col(name).cast(target.schema[to].dataType).alias(key_of[to]) for to, name in keys.items()],
+        *[_comparable(F.col(name).cast(kinds[to]), kinds[to]).alias(key_of[to]) for to, name in keys.items()],
         *[F.col(name).alias(alias) for name, alias in held.items()],
     )
-    small = strategy == "broadcast" or (strategy == "auto" and fits_broadcast(rows))
     keyless = rows.where(reduce(or_, [F.col(k).isNull() for k in key_names]))
     keyed = rows.where(reduce(and_, [F.col(k).isNotNull() for k in key_names]))
     single = _one_per_key(keyed, key_names, list(held.values()))
-    target_keys = target.select(*[F.col(to).alias(k) for to, k in key_of.items()])
+    target_key = {k: _comparable(F.col(to), kinds[to]) for to, k in key_of.items()}
+    target_keys = target.select(*[column.alias(k) for k, column in target_key.items()])
 
-    same_key = [F.col(to) == F.col(k) for to, k in key_of.items()]
-    if small:
+    same_key = [column == F.col(k) for k, column in target_key.items()]
+    if strategy == "broadcast":
         joined = target.join(F.broadcast(single), same_key, "left")
         # Never more keys than the source has, so this side is bounded by the same check.
         present = target_keys.join(
@@ -106,14 +117,15 @@ def scd1_merge(
         # AQE splits hot partitions only where a join sits on plain shuffles, not on aggregates.
         # A hash as one more join column makes Spark shuffle the aggregated side again, for the join
         # alone; it also gives the sort a first column that decides.
-        joined = target.withColumn(_TARGET_SPREAD, F.xxhash64(*keys)).join(
+        joined = target.withColumn(_TARGET_SPREAD, F.xxhash64(*target_key.values())).join(
             single.withColumn(_SPREAD, F.xxhash64(*key_names)),
             [F.col(_TARGET_SPREAD) == F.col(_SPREAD), *same_key],
             "left",
         )
         known = target_keys.distinct()
         if dedupe:
-            # One row per key on both sides, shuffled alike already: nothing to split or move.
+            # One row per key on both sides, shuffled alike already: nothing to split, and as no key
+            # is a floating number, nothing to move.
             new = single.drop(_COPIES).join(known, key_names, "left_anti")
         else:
             spread = F.xxhash64(*key_names)
@@ -139,7 +151,7 @@ def scd1_merge(
 
     def from_source(to: str, mapping: Mapping[str, str]) -> Column:
         if mapping[to] == keys.get(to):
-            return F.col(key_of[to])
+            return F.col(key_of[to]).cast(kinds[to])
         return F.col(held[mapping[to]]).cast(target.schema[to].dataType)
 
     if only_if_changed:

@@ -1,4 +1,4 @@
-"""Where shared files go and how large a DataFrame is expected to be."""
+"""Where shared files go."""
 
 from __future__ import annotations
 
@@ -6,13 +6,10 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Plan nodes whose output Catalyst sizes like their input, however many rows they make of it.
-_MULTIPLIERS = ("Generate ", "Expand ", "MapIn", "FlatMap", "MapPartitions", "ScriptTransformation")
-
 
 @cache
 def _local_base() -> str:
@@ -31,20 +28,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/aeromart-{uuid.uuid4().hex}/{name}"
-
-
-def expected_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size of the optimised plan; None where a step may multiply rows unseen by it."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.toString()
-    if any(step in text for step in _MULTIPLIERS):
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own broadcast limit admits the whole of ``df``."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    limit = conf.autoBroadcastJoinThreshold()
-    size = expected_bytes(df)
-    return size is not None and 0 <= size <= limit

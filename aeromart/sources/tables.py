@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.times import as_day, in_days
 from ..operators.merge import INSERTED, KEPT, MEASURE_KEYS, UPDATED, merge_measures
 from .files import child_names, exists, make_dir
 
@@ -69,14 +71,14 @@ class Dimension:
 
 @dataclass(frozen=True)
 class FactStore:
-    """``<path>/measure_date=…``; with ``hourly`` also ``measure_hour=…`` below it.
+    """``<path>/measure_date=…``, and with ``hourly`` (the default) ``measure_hour=…`` below it.
 
-    Choose ``hourly`` where rewriting a whole day for each hourly load would cost too much.
+    By day, an hourly load rewrites the whole day: choose that only where loads come once a day.
     """
 
     spark: SparkSession
     path: str
-    hourly: bool = False
+    hourly: bool = True
     schema: T.StructType = S.FACT_MEASURE
 
     @property
@@ -84,13 +86,50 @@ class FactStore:
         return [DAY, HOUR] if self.hourly else [DAY]
 
     def create_if_absent(self) -> None:
+        """Also refuses to open stored rows by the other layout."""
         make_dir(self.spark, self.path)
+        day = next((n for n in child_names(self.spark, self.path) if n.startswith(f"{DAY}=")), None)
+        if day is not None:
+            below = child_names(self.spark, f"{self.path}/{day}")
+            if any(n.startswith(f"{HOUR}=") for n in below) != self.hourly:
+                raise ValueError(f"{self.path} is stored by {'day' if self.hourly else 'hour'}")
 
-    def read(self) -> DataFrame:
+    def _stored_schema(self) -> T.StructType:
         schema = T.StructType(list(self.schema.fields)).add(DAY, T.DateType())
-        if self.hourly:
-            schema = schema.add(HOUR, T.IntegerType())
-        return self.spark.read.schema(schema).parquet(self.path)
+        return schema.add(HOUR, T.IntegerType()) if self.hourly else schema
+
+    def _reader(self) -> DataFrameReader:
+        return self.spark.read.schema(self._stored_schema()).option("basePath", self.path)
+
+    def read(self, start_day: date | str | None = None, end_day: date | str | None = None) -> DataFrame:
+        """The fact, or only the days ``start_day .. end_day`` (both included).
+
+        Given days, only their folders are listed; the rest of the table costs one listing of names.
+        """
+        if start_day is None and end_day is None:
+            return self._reader().parquet(self.path)
+        first = _folder(DAY, as_day(start_day)) if start_day is not None else f"{DAY}="
+        last = _folder(DAY, as_day(end_day)) if end_day is not None else f"{DAY}=~"
+        names = [n for n in child_names(self.spark, self.path) if n.startswith(f"{DAY}=")]
+        days = sorted(n for n in names if first <= n <= last and not n.endswith(_NULL_PARTITION))
+        return in_days(self._folders(days), start_day, end_day)
+
+    def newest_day(self) -> date | None:
+        """From the folder names."""
+        names = [n.split("=")[1] for n in child_names(self.spark, self.path) if n.startswith(f"{DAY}=")]
+        return max((date.fromisoformat(n) for n in names if n != _NULL_PARTITION), default=None)
+
+    def _folders(self, names: list[str]) -> DataFrame:
+        """Just these folders below the root: no other is listed."""
+        if not names:
+            return S.no_rows(self.spark, self._stored_schema())
+        return self._reader().parquet(*[f"{self.path}/{n}" for n in names])
+
+    def read_partitions(self, values: list[tuple]) -> DataFrame:
+        """Just these partitions, which must exist."""
+        return self._folders(
+            ["/".join(_folder(c, v) for c, v in zip(self.partitions, value)) for value in values]
+        )
 
     def _with_partitions(self, rows: DataFrame, ts: str = "date_utc") -> DataFrame:
         rows = rows.withColumn(DAY, F.to_date(ts))
@@ -131,18 +170,15 @@ class FactStore:
     def _present(self, touched: list[tuple]) -> list[tuple]:
         """Those that exist already: one listing, or one per touched day of an hourly table."""
 
-        def folder(name: str, value) -> str:
-            return f"{name}={_NULL_PARTITION if value is None else value}"
-
         days = set(child_names(self.spark, self.path))
-        found = [v for v in touched if folder(DAY, v[0]) in days]
+        found = [v for v in touched if _folder(DAY, v[0]) in days]
         if not self.hourly:
             return found
         hours = {
-            day: set(child_names(self.spark, f"{self.path}/{folder(DAY, day)}"))
+            day: set(child_names(self.spark, f"{self.path}/{_folder(DAY, day)}"))
             for day in {v[0] for v in found}
         }
-        return [v for v in found if folder(HOUR, v[1]) in hours[v[0]]]
+        return [v for v in found if _folder(HOUR, v[1]) in hours[v[0]]]
 
     def _among(self, values: list[tuple], columns: dict[str, Column]) -> Column:
         """Whether a row lies in one of the partitions; plain IN lists, which prune folders."""
@@ -183,25 +219,28 @@ class FactStore:
         fresh = [v for v in touched if v not in known]
         options = {"keys": keys, "action": _ACTION, **options}
         self.create_if_absent()
-        stored = self.read()
         columns = {DAY: F.to_date(ts), HOUR: F.hour(ts)}
         parts = []
         if present:
-            held = stored.where(self._among(present, {c: stored[c] for c in self.partitions}))
+            held = self.read_partitions(present)
             late = staged.where(self._among(present, columns)) if fresh else staged
             parts.append(merge(held.select(*self.schema.names), late, **options))
         if fresh:
-            # limit(0) is known to be empty, so the optimiser removes the joins.
+            # Known to be empty, so the optimiser removes the joins.
             new = staged.where(self._among(fresh, columns)) if present else staged
-            parts.append(merge(stored.limit(0).select(*self.schema.names), new, **options))
+            parts.append(merge(S.no_rows(self.spark, self.schema).limit(0), new, **options))
         rows = reduce(DataFrame.unionByName, parts)
         counts = Observation()
         self.write(rows, counts)
         return dict(counts.get)
 
 
+def _folder(name: str, value: object) -> str:
+    return f"{name}={_NULL_PARTITION if value is None else value}"
+
+
 def create_star_schema(
-    spark: SparkSession, base: str, hourly: bool = False
+    spark: SparkSession, base: str, hourly: bool = True
 ) -> tuple[Dimension, Dimension, FactStore]:
     """The three tables under ``base``; whatever exists already is left as it is."""
     tables = (

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from aeromart import schemas as S
 from aeromart.operators import merge as M
-from aeromart.plans.sizing import fits_broadcast
 from tests.conftest import plan, rows
 
 AS_OF = datetime(2024, 1, 1)
@@ -163,14 +162,14 @@ def test_row_order_and_partitions_do_not_matter(spark):
 # --- Plans ---------------------------------------------------------------------------------------
 
 
-def test_auto_broadcasts_by_checked_size_only(spark, tmp_path):
+def test_joins_are_not_hinted(spark, tmp_path):
     t = spark.range(1000).selectExpr("cast(id as int) id", "'a' v", "'k' keep", "cast(null as timestamp_ntz) updated_at")
     s = t.select("id", "v")
     t.write.parquet(str(tmp_path / "t"))
     s.write.parquet(str(tmp_path / "s"))
     t, s = (spark.read.parquet(str(tmp_path / n)) for n in "ts")
-    small = plan(merge(t, s, on_duplicate="dedupe"))
-    assert "SortMergeJoin" not in small
+    merged = merge(t, s, on_duplicate="dedupe")
+    assert "ResolvedHint" not in merged._jdf.queryExecution().analyzed().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
         large = plan(merge(t, s, on_duplicate="dedupe"))
@@ -178,9 +177,39 @@ def test_auto_broadcasts_by_checked_size_only(spark, tmp_path):
         assert "Broadcast" not in large
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # The size of exploded rows is not known in advance, so this library gives no hint for them.
-    exploded = spark.range(3).selectExpr("explode(sequence(1, 4)) id", "'a' v")
-    assert fits_broadcast(s) and not fits_broadcast(exploded)
+
+
+def test_floating_keys_cost_no_further_shuffle(spark, tmp_path):
+    """As many exchanges for the keys of a measurement as without the value among them."""
+    at = "timestamp_ntz'2023-12-19 00:00:00' + make_dt_interval(0, cast(id % 24 as int))"
+    fact = spark.range(1000).selectExpr(
+        "cast(id as int) location_id", "'AA' country_code", "'p' parameter_code", "cast(id as double) value",
+        f"{at} date_local", f"{at} date_utc", "cast(null as timestamp_ntz) updated_at")
+    new = fact.selectExpr("location_id locationid", "country_code country", "parameter_code parameter", "value", "date_utc", "date_local")
+    fact.write.parquet(str(tmp_path / "f"))
+    new.write.parquet(str(tmp_path / "n"))
+    fact, new = (spark.read.parquet(str(tmp_path / n)) for n in "fn")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = {k: v for k, v in M.MEASURE_KEYS.items() if k != "value"}
+        counts = [
+            M.merge_measures(fact, new, keys, on_duplicate="dedupe")._jdf.queryExecution().executedPlan().toString()
+            .count("Exchange hashpartitioning") for keys in (None, plain)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts[0] == counts[1]
+
+
+def test_the_default_stamp_is_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stamp = merge(target(spark, (1, "a")), source(spark, (1, "b")), as_of=None).selectExpr("cast(updated_at as string)").first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from datetime import timezone
+
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - datetime.fromisoformat(stamp)).total_seconds()) < 120
 
 
 HOT = {
