@@ -15,6 +15,7 @@ from ..operators import alerts as A
 from ..operators.merge import merge_locations, merge_parameters, update_country_names
 from ..sources import payloads as P
 from ..sources.envelope import read_bodies
+from ..sources.outbox import Outbox
 from ..sources.staging import GOOD, QUARANTINE, Staged, stage
 from ..sources.tables import Dimension, FactStore
 from .sizing import shared_dir
@@ -88,16 +89,18 @@ def load_window(
     end: datetime | str,
     stage_dir: str | None = None,
     as_of: datetime | Column | None = None,
+    whole_files: bool = False,
     **options,
 ) -> LoadReport:
     """Load the measurements of ``[start, end)`` from the saved responses under ``path``.
 
     Hand in the folder of that window, not the whole landing area: what is read is what it costs.
+    ``whole_files`` takes each file as one body, for pretty-printed responses.
     """
     low, high = as_utc(start), as_utc(end)
     name = f"measurements/{low:%Y%m%dT%H%M%S}-{high:%Y%m%dT%H%M%S}"
     return load_bodies(
-        read_bodies(spark, path),
+        read_bodies(spark, path, whole_files),
         store,
         stage_dir or shared_dir(spark, name),
         low,
@@ -114,6 +117,7 @@ def load_all(
     start: datetime | str,
     end: datetime | str,
     as_of: datetime | Column | None = None,
+    whole_files: bool = False,
 ) -> dict[str, dict[str, int] | LoadReport]:
     """One whole run over ``<landing>/locations``, ``countries``, ``parameters``, ``measurements``.
 
@@ -124,7 +128,8 @@ def load_all(
     folder = shared_dir(spark, "staging")
 
     def staged(name: str, extract, rules) -> Staged:
-        return stage(extract(read_bodies(spark, f"{landing}/{name}")), f"{folder}/{name}", rules)
+        bodies = read_bodies(spark, f"{landing}/{name}", whole_files)
+        return stage(extract(bodies), f"{folder}/{name}", rules)
 
     locations = staged("locations", P.extract_locations, S.STG_LOCATIONS)
     countries = staged("countries", P.extract_countries, S.STG_COUNTRIES)
@@ -134,7 +139,7 @@ def load_all(
     )
     refresh_parameters(dim_parameter, parameters.good(), as_of)
     report = load_window(
-        spark, f"{landing}/measurements", fact, start, end, f"{folder}/measurements", as_of
+        spark, f"{landing}/measurements", fact, start, end, f"{folder}/measurements", as_of, whole_files
     )
     return {
         "locations": locations.counts,
@@ -163,14 +168,36 @@ def load_previous_hour(
 
 
 def daily_alerts(
-    fact: DataFrame,
+    fact: DataFrame | FactStore,
     start_day: date | str,
     end_day: date | str | None = None,
     parameters: str | list[str] | None = None,
-    recipients: str | list[str] = (),
+    *,
+    recipients: str | list[str],
     sent: DataFrame | None = None,
 ) -> DataFrame:
-    """Messages for one day or a span of days, one row per recipient."""
-    found = A.above_average(fact, start_day, end_day or start_day, parameters)
+    """Messages for one day or a span of days, one row per recipient.
+
+    Given the store, only the folders of those days are listed and read.
+    """
+    end_day = end_day or start_day
+    rows = fact.read(start_day, end_day) if isinstance(fact, FactStore) else fact
+    found = A.above_average(rows, start_day, end_day, parameters)
     addressed = A.address(A.alert_messages(found), recipients)
     return addressed if sent is None else A.not_yet_sent(addressed, sent)
+
+
+def post_alerts(
+    fact: DataFrame | FactStore,
+    outbox: Outbox,
+    start_day: date | str,
+    end_day: date | str | None = None,
+    parameters: str | list[str] | None = None,
+    *,
+    recipients: str | list[str],
+) -> DataFrame:
+    """The daily alerts appended to the outbox, each once however often the run is repeated.
+
+    Returns what this run has appended.
+    """
+    return outbox.post(daily_alerts(fact, start_day, end_day, parameters, recipients=recipients))

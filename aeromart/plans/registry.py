@@ -18,6 +18,7 @@ from ..operators.flatten import flatten
 from ..operators.validate import problems
 from ..sources import envelope as E
 from ..sources import payloads as P
+from ..sources.outbox import Outbox
 from ..sources.staging import stage
 from ..sources.tables import FactStore, create_star_schema
 from ..streaming.measurements import start_measurement_stream
@@ -41,9 +42,19 @@ def query(sql: str) -> Callable[[Query], Query]:
 
 
 def six(*names: str) -> list:
-    """Means to six places, as both engines add up in an order of their own. The tiny summand
-    sends a mean that lies halfway between two places the same way in both."""
-    return [F.round(F.col(n) + 1e-9, 6).alias(n) for n in names]
+    """Means to six places, halves away from zero."""
+    return [F.round(F.col(n), 6).alias(n) for n in names]
+
+
+def units(value: str) -> str:
+    """A value in whole units of the ninth place, of which any number adds up exactly."""
+    return f"CAST(CAST(CAST({value} AS DECIMAL(18, 9)) AS DECIMAL(28, 9)) * 1000000000 AS HUGEINT)"
+
+
+def six_sql(total: str, count: str) -> str:
+    """The mean of ``count`` values with the sum ``total`` (in units) to six places, in whole numbers until the end."""
+    millionths = f"(2 * abs({total}) + 1000 * {count}) // (2000 * {count})"
+    return f"CAST(sign({total}) * {millionths} AS DOUBLE) / 1000000"
 
 
 FACT_SQL = """
@@ -54,20 +65,21 @@ FACT_SQL = """
 MEANS_SQL = f"""
   f AS ({FACT_SQL}),
   g AS (SELECT country_code, CAST(date_utc AS DATE) AS measure_date, parameter_code,
-               avg(value) AS avg_value, sum(value) AS s, count(value) AS n
+               sum({units("value")}) AS s, count(value) AS n
         FROM f GROUP BY ALL),
-  b AS (SELECT measure_date, parameter_code, sum(s) / sum(n) AS base_value
+  b AS (SELECT measure_date, parameter_code, CAST(sum(s) AS HUGEINT) AS bs, CAST(sum(n) AS HUGEINT) AS bn
         FROM g GROUP BY ALL),
-  a AS (SELECT g.country_code, g.measure_date, g.parameter_code, g.avg_value, b.base_value
-        FROM g JOIN b USING (measure_date, parameter_code) WHERE g.avg_value > b.base_value)"""
+  m6 AS (SELECT country_code, measure_date, parameter_code, {six_sql("s", "n")} AS avg_value FROM g),
+  a AS (SELECT g.country_code, g.measure_date, g.parameter_code, {six_sql("g.s", "g.n")} AS avg_value,
+               {six_sql("b.bs", "b.bn")} AS base_value
+        FROM g JOIN b USING (measure_date, parameter_code) WHERE g.s * b.bn > b.bs * g.n)"""
 
 
 # --- Daily alerts --------------------------------------------------------------------------------
 
 
 @query(f"""WITH {MEANS_SQL}
-SELECT country_code, measure_date, parameter_code, round(avg_value + 1e-9, 6) AS avg_value,
-       round(base_value + 1e-9, 6) AS base_value FROM a""")
+SELECT country_code, measure_date, parameter_code, avg_value, base_value FROM a""")
 def alert_above_average(spark: SparkSession, folder: str) -> DataFrame:
     found = A.above_average(D.fact(spark, folder))
     return found.select(
@@ -76,7 +88,7 @@ def alert_above_average(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {MEANS_SQL}
-SELECT country_code, measure_date, parameter_code, round(avg_value + 1e-9, 6) AS avg_value
+SELECT country_code, measure_date, parameter_code, avg_value
 FROM a WHERE measure_date = (SELECT max(CAST(ts AS DATE)) FROM events)""")
 def alert_newest_day(spark: SparkSession, folder: str) -> DataFrame:
     found = A.above_average_of_day(D.fact(spark, folder))
@@ -84,7 +96,7 @@ def alert_newest_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {MEANS_SQL}
-SELECT country_code, measure_date, parameter_code, round(avg_value + 1e-9, 6) AS avg_value
+SELECT country_code, measure_date, parameter_code, avg_value
 FROM a WHERE parameter_code IN ('view', 'error', 'purchase', 'signup')""")
 def alert_listed_parameters(spark: SparkSession, folder: str) -> DataFrame:
     """A configured list: blanks do not count, capital letters do."""
@@ -94,14 +106,14 @@ def alert_listed_parameters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH {MEANS_SQL}
-SELECT country_code, measure_date, parameter_code, round(avg_value + 1e-9, 6) AS avg_value FROM g""")
+SELECT country_code, measure_date, parameter_code, avg_value FROM m6""")
 def country_means(spark: SparkSession, folder: str) -> DataFrame:
     found = A.country_means(A.country_partials(D.fact(spark, folder)))
     return found.select("country_code", "measure_date", "parameter_code", *six("avg_value"))
 
 
 @query(f"""WITH {MEANS_SQL}
-SELECT measure_date, parameter_code, round(base_value + 1e-9, 6) AS base_value FROM b""")
+SELECT measure_date, parameter_code, {six_sql("bs", "bn")} AS base_value FROM b""")
 def overall_means(spark: SparkSession, folder: str) -> DataFrame:
     found = A.overall_means(A.country_partials(D.fact(spark, folder)))
     return found.select("measure_date", "parameter_code", *six("base_value"))
@@ -139,8 +151,9 @@ def alert_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ADDRESSED_SQL = f"""{MESSAGES_SQL},
-  r AS (SELECT m.*, p.recipient, sha256(CAST(measure_date AS VARCHAR) || '|' || parameter_code
-               || '|' || p.recipient) AS alert_id
+  r AS (SELECT m.*, p.recipient, sha256('10:' || CAST(measure_date AS VARCHAR)
+               || length(parameter_code) || ':' || parameter_code
+               || length(p.recipient) || ':' || p.recipient) AS alert_id
         FROM m, (VALUES ('ops@example.org'), ('lab@example.org')) p(recipient))"""
 
 
@@ -289,6 +302,55 @@ def merge_newest_of_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select("id", "city", "name", "country_name", "action")
 
 
+def _order_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    return D.table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("delivery"), F.col("o_orderstatus").alias("city")
+    )
+
+
+@query("""WITH t AS (SELECT s_suppkey * 20 AS id, s_name AS city FROM supplier),
+  s AS (SELECT o_custkey AS id, o_orderkey AS delivery, o_orderstatus AS city FROM orders)
+SELECT t.id, coalesce(n.city, t.city) AS city, CASE WHEN n.id IS NULL THEN 'kept' ELSE 'updated' END AS action
+FROM t LEFT JOIN (SELECT id, arg_max(city, delivery) AS city FROM s GROUP BY id) n ON n.id = t.id
+UNION ALL SELECT id, city, 'inserted' FROM s WHERE id NOT IN (SELECT id FROM t)""")
+def merge_insert_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Several deliveries per key: the last one updates a row that is there, all are inserted where none is."""
+    dim = D.staged_locations(spark, folder).select("id", F.col("name").alias("city"))
+    keys = {"id": "id", "city": "city"}
+    return M.scd1_merge(
+        dim, _order_deliveries(spark, folder), {"id": "id"}, {"city": "city"}, keys, on_duplicate="insert_all",
+        order_by=["delivery"], action="action",
+    )
+
+
+@query("""SELECT -1 - s_suppkey AS id, s_name AS city, 'kept' AS action FROM supplier
+UNION ALL SELECT o_custkey, o_orderstatus, 'inserted' FROM orders""")
+def merge_duplicates_of_new_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Under ``error``, duplicates of a key that is not in the target are all inserted."""
+    dim = D.table(spark, folder, "supplier").select((-1 - F.col("s_suppkey")).alias("id"), F.col("s_name").alias("city"))
+    keys = {"id": "id", "city": "city"}
+    return M.scd1_merge(
+        dim, _order_deliveries(spark, folder), {"id": "id"}, {"city": "city"}, keys, on_duplicate="error", action="action"
+    )
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 'moved' ELSE c_mktsegment END AS city,
+       CASE WHEN c_acctbal < 0 THEN TIMESTAMP '2024-02-01' END AS updated_at,
+       CASE WHEN c_acctbal < 0 THEN 'updated' ELSE 'kept' END AS action FROM customer
+UNION ALL SELECT -1 - s_suppkey, s_name, TIMESTAMP '2024-02-01', 'inserted' FROM supplier""")
+def merge_changes_only(spark: SparkSession, folder: str) -> DataFrame:
+    """``only_if_changed`` leaves equal rows and their stamp alone; ``stamp_inserts`` stamps new ones."""
+    customer = D.table(spark, folder, "customer")
+    moved = F.when(F.col("c_acctbal") < 0, "moved").otherwise(F.col("c_mktsegment"))
+    new = D.table(spark, folder, "supplier").select((-1 - F.col("s_suppkey")).alias("id"), F.col("s_name").alias("city"))
+    source = customer.select(F.col("c_custkey").alias("id"), moved.alias("city")).unionByName(new)
+    dim = D.dim_location(spark, folder).select("id", "city", "updated_at")
+    return M.scd1_merge(
+        dim, source, {"id": "id"}, {"city": "city"}, {"id": "id", "city": "city"}, as_of=D.AS_OF,
+        only_if_changed=True, stamp_inserts=True, action="action",
+    )
+
+
 @query(f"""WITH t AS ({DIM_LOCATION_SQL})
 SELECT t.* REPLACE (coalesce(r.r_name, t.country_name) AS country_name)
 FROM t LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = t.country_code""")
@@ -317,8 +379,9 @@ def refresh_parameters(spark: SparkSession, folder: str) -> DataFrame:
     return L.refresh_parameters(dim, D.staged_parameters(spark, folder), as_of=D.AS_OF)
 
 
-@query("""SELECT event_id, sha1(CAST(user_id AS VARCHAR) || '|' || event_type || '|'
-                         || CAST(event_id AS VARCHAR)) AS row_key FROM events""")
+@query("""SELECT event_id, sha1(length(CAST(user_id AS VARCHAR)) || ':' || CAST(user_id AS VARCHAR)
+         || length(event_type) || ':' || event_type
+         || length(CAST(event_id AS VARCHAR)) || ':' || CAST(event_id AS VARCHAR)) AS row_key FROM events""")
 def row_key(spark: SparkSession, folder: str) -> DataFrame:
     return D.table(spark, folder, "events").select(
         "event_id", X.row_key(F.col("user_id"), F.col("event_type"), F.col("event_id")).alias("row_key")
@@ -355,7 +418,7 @@ def star_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH {STAR_SQL}
 SELECT l.country_name, p.parameter_name, count(*) AS measurements,
-       round(avg(f.value) + 1e-9, 6) AS avg_value
+       {six_sql(f"sum({units('f.value')})", "count(f.value)")} AS avg_value
 FROM f LEFT JOIN l ON l.id = f.location_id LEFT JOIN p ON p.code = f.parameter_code
 GROUP BY ALL""")
 def star_means(spark: SparkSession, folder: str) -> DataFrame:
@@ -417,19 +480,16 @@ def extract_measurements(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SELECT least(count(*), 1000) AS locations FROM customer")
-def locations_row_cap(spark: SparkSession, folder: str) -> DataFrame:
-    """The cap of a locations request; which rows it returns is open, how many is not."""
-    capped = P.extract_locations(D.location_bodies(spark, folder), limit=1000)
-    return capped.agg(F.count(F.lit(1)).alias("locations"))
-
-
 @query("""SELECT 'ok' AS reason, count(*) AS rows FROM events
 UNION ALL SELECT 'unparsable body', count(*) FROM documents
 UNION ALL SELECT 'no results list', count(*) FROM labels
 UNION ALL SELECT 'country: longer than 2', count(*) FROM customer
 UNION ALL SELECT 'date_utc: not a timestamp_ntz', count(*) FROM customer
-UNION ALL SELECT 'value: missing', count(*) FROM customer""")
+UNION ALL SELECT 'value: missing', count(*) FROM customer
+UNION ALL SELECT 'value: not finite', count(*) FROM supplier
+UNION ALL SELECT 'coordinates_latitude: not finite', count(*) FROM supplier
+UNION ALL SELECT 'value: out of range', count(*) FROM part
+UNION ALL SELECT 'date_utc: not between 1970-01-01 and 2099-12-31', count(*) FROM part""")
 def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
     """Readable events, documents that are no JSON, JSON without results, and bad elements."""
     documents = D.table(spark, folder, "documents").select(F.col("text").alias("body"))
@@ -443,8 +503,26 @@ def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(F.col("c_name").alias("utc")).alias("date"),
         )
     )
+    odd = D.table(spark, folder, "supplier").select(
+        D.body_of(
+            F.col("s_suppkey").alias("locationId"),
+            F.lit("pm25").alias("parameter"),
+            F.lit("NaN").alias("value"),
+            F.struct(F.lit("2024-01-05T00:00:00+00:00").alias("utc")).alias("date"),
+            F.struct(F.lit("Infinity").alias("latitude")).alias("coordinates"),
+        )
+    )
+    far = D.table(spark, folder, "part").select(
+        D.body_of(
+            F.col("p_partkey").alias("locationId"),
+            F.lit("pm25").alias("parameter"),
+            F.lit("-1e12").alias("value"),
+            F.struct(F.lit("9024-01-05T00:00:00+00:00").alias("utc")).alias("date"),
+        )
+    )
     bodies = D.measurement_bodies(D.located_events(spark, folder)).union(documents)
-    return metrics.quarantine_counts(P.extract_measurements(bodies.union(labels).union(bad)))
+    bodies = bodies.union(labels).union(bad).union(odd).union(far)
+    return metrics.quarantine_counts(P.extract_measurements(bodies))
 
 
 @query("""SELECT CAST(doc_id AS INTEGER) AS id, length(text) > 256 AS too_many_characters,
@@ -562,6 +640,14 @@ def half_open_window(spark: SparkSession, folder: str) -> DataFrame:
     return events.where(H.in_window(F.col("ts"), *_span(spark, folder)))
 
 
+@query("""SELECT event_id, ts FROM events
+WHERE ts >= TIMESTAMP '2024-01-05 21:30:00' AND ts < TIMESTAMP '2024-01-21 00:00:00.5'""")
+def text_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Window bounds as text, one with an offset."""
+    events = D.table(spark, folder, "events").select("event_id", "ts")
+    return events.where(H.in_window(F.col("ts"), " 2024-01-06T00:30:00+03:00", "2024-01-21T00:00:00.500"))
+
+
 STORED_SQL = """
   SELECT CAST(e.user_id AS INTEGER) AS location_id, CAST(c.c_nationkey AS VARCHAR) AS country_code,
          e.event_type AS parameter_code, e.value, e.ts - INTERVAL 3 HOURS AS date_local,
@@ -585,7 +671,7 @@ def whole_run(spark: SparkSession, folder: str) -> DataFrame:
         ("measurements", D.measurement_bodies(D.located_events(spark, folder))),
     ):
         bodies.write.text(f"{landing}/{name}")
-    tables = create_star_schema(spark, shared_dir(spark, "star"))
+    tables = create_star_schema(spark, shared_dir(spark, "star"), hourly=False)
     L.load_all(spark, landing, tables, first, last + timedelta(hours=1), as_of=D.AS_OF)
     locations, parameters, store = tables
     return star.star_join(store.read(), locations.current(), parameters.current()).select(
@@ -616,7 +702,12 @@ def _land(spark: SparkSession, rows: DataFrame) -> str:
 
 
 def _store(spark: SparkSession) -> FactStore:
-    return create_star_schema(spark, shared_dir(spark, "star"))[2]
+    """By day: these queries load many days at once."""
+    return create_star_schema(spark, shared_dir(spark, "star"), hourly=False)[2]
+
+
+def _rows(store: FactStore) -> DataFrame:
+    return store.read().drop("updated_at")
 
 
 @query(STORED_SQL)
@@ -626,7 +717,7 @@ def load_range(spark: SparkSession, folder: str) -> DataFrame:
     store = _store(spark)
     landing = _land(spark, D.located_events(spark, folder))
     L.load_range(spark, landing, store, first, last + timedelta(hours=1), as_of=D.AS_OF)
-    return store.read().drop("updated_at")
+    return _rows(store)
 
 
 @query(STORED_SQL)
@@ -641,7 +732,29 @@ def load_windows(spark: SparkSession, folder: str) -> DataFrame:
         end = start + third + timedelta(hours=6)
         landing = _land(spark, events.where(H.in_window(F.col("ts"), start, end)))
         L.load_window(spark, landing, store, start, end, as_of=D.AS_OF)
-    return store.read().drop("updated_at")
+    return _rows(store)
+
+
+@query(f"""WITH b AS (SELECT date_trunc('hour', max(ts)) AS high FROM events)
+SELECT s.* FROM ({STORED_SQL}) s, b WHERE date_utc >= high - INTERVAL 1 HOUR AND date_utc < high""")
+def load_previous_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """The last complete hour before the newest event, out of all landed events."""
+    _, last = _span(spark, folder)
+    store = _store(spark)
+    landing = _land(spark, D.located_events(spark, folder))
+    L.load_previous_hour(spark, landing, store, last, as_of=D.AS_OF)
+    return _rows(store)
+
+
+@query(STORED_SQL)
+def load_whole_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Pretty-printed responses, one per file, each with up to a thousand measurements."""
+    first, last = _span(spark, folder)
+    store, landing = _store(spark), shared_dir(spark, "landing")
+    bodies = D.pretty_measurement_bodies(D.located_events(spark, folder))
+    bodies.write.option("maxRecordsPerFile", 1).text(landing)
+    L.load_range(spark, landing, store, first, last + timedelta(hours=1), as_of=D.AS_OF, whole_files=True)
+    return _rows(store)
 
 
 @query("""SELECT 1 AS run, count(*) AS good, 0 AS quarantined, 0 AS kept, 0 AS updated,
@@ -678,7 +791,7 @@ def stream_load(spark: SparkSession, folder: str) -> DataFrame:
         start_measurement_stream(
             spark, f"{base}/landing", store, f"{base}/checkpoint", f"{base}/staging", as_of=D.AS_OF
         ).awaitTermination()
-    return store.read().drop("updated_at")
+    return _rows(store)
 
 
 @query(f"""{ADDRESSED_SQL}
@@ -691,9 +804,27 @@ def daily_alert_run(spark: SparkSession, folder: str) -> DataFrame:
         D.fact(spark, folder).withColumn("location_id", F.col("location_id").cast("int"))
     )
     found = L.daily_alerts(
-        store.read(), first.date(), last.date(), recipients="ops@example.org,lab@example.org"
+        store, first.date(), last.date(), recipients="ops@example.org,lab@example.org"
     )
     return found.select(
         "measure_date", "parameter_code", "countries", "country_list", "subject", "recipient",
         "alert_id",
     )
+
+
+@query(f"""{ADDRESSED_SQL}
+SELECT measure_date, parameter_code, subject, body, recipient, alert_id,
+       CASE WHEN recipient = 'lab@example.org' THEN 2 ELSE 1 END AS posted_by
+FROM r""")
+def post_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs into one outbox: one recipient, then two, then the same again, which adds nothing."""
+    first, last = _span(spark, folder)
+    fact, outbox = D.fact(spark, folder), Outbox(spark, shared_dir(spark, "outbox"))
+    runs = [
+        L.post_alerts(fact, outbox, first.date(), last.date(), recipients=to).select("alert_id", F.lit(n).alias("posted_by"))
+        for n, to in enumerate(["ops@example.org", "ops@example.org, lab@example.org", "lab@example.org,ops@example.org"], 1)
+    ]
+    posted = runs[0].union(runs[1]).union(runs[2])
+    return outbox.messages().join(posted, "alert_id").select(
+        "measure_date", "parameter_code", "subject", "body", "recipient", "alert_id", "posted_by"
+    )

@@ -197,24 +197,30 @@ def parameter_bodies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _measurement() -> list[Column]:
+    ts = F.col("ts")
+    return [
+        F.col("user_id").alias("locationId"),
+        F.col("c_name").alias("location"),
+        F.col("event_type").alias("parameter"),
+        F.col("value"),
+        F.lit("ug/m3").alias("unit"),
+        F.col("c_nationkey").cast("string").alias("country"),
+        F.col("c_mktsegment").alias("city"),
+        F.lit(False).alias("isMobile"),
+        F.struct(
+            iso(ts, "+00:00").alias("utc"), iso(ts - F.expr("INTERVAL 3 HOURS"), "-03:00").alias("local")
+        ).alias("date"),
+        F.struct(F.col("c_acctbal").alias("latitude"), F.lit(2.5).alias("longitude")).alias("coordinates"),
+    ]
+
+
 def measurement_bodies(rows: DataFrame) -> DataFrame:
     """One body per located event."""
-    return rows.select(
-        body_of(
-            F.col("user_id").alias("locationId"),
-            F.col("c_name").alias("location"),
-            F.col("event_type").alias("parameter"),
-            F.col("value"),
-            F.lit("ug/m3").alias("unit"),
-            F.col("c_nationkey").cast("string").alias("country"),
-            F.col("c_mktsegment").alias("city"),
-            F.lit(False).alias("isMobile"),
-            F.struct(
-                iso(F.col("ts"), "+00:00").alias("utc"),
-                iso(F.col("ts") - F.expr("INTERVAL 3 HOURS"), "-03:00").alias("local"),
-            ).alias("date"),
-            F.struct(
-                F.col("c_acctbal").alias("latitude"), F.lit(2.5).alias("longitude")
-            ).alias("coordinates"),
-        )
-    )
+    return rows.select(body_of(*_measurement()))
+
+
+def pretty_measurement_bodies(rows: DataFrame) -> DataFrame:
+    """Bodies of many lines, each with the events of a thousand neighbouring ids at most."""
+    grouped = rows.groupBy(F.floor(F.col("event_id") / 1000)).agg(F.collect_list(F.struct(*_measurement())).alias("results"))
+    return grouped.select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("body"))

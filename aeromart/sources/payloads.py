@@ -21,14 +21,11 @@ def extract(
     bodies: DataFrame,
     element_schema: str,
     rules: tuple[S.Rule, ...],
-    limit: int | None = None,
     in_bytes: bool = False,
     fail_fast: bool = False,
 ) -> DataFrame:
     """Staging rows plus ``_ok`` and, for rows that are not, ``_reasons`` and the ``_raw`` text."""
     found = elements(bodies, element_schema, fail_fast)
-    if limit is not None:
-        found = found.limit(limit)
     origin = (ELEMENT, PROBLEM, RAW)
     flat = flatten(found.select(*origin, f"{ELEMENT}.*"), lower=True, keep=origin)
     checked = apply_rules(flat, rules, keep=origin, in_bytes=in_bytes)
@@ -49,13 +46,12 @@ def quarantined(extracted: DataFrame) -> DataFrame:
     return extracted.where(~F.col(OK)).drop(OK)
 
 
-def extract_locations(bodies: DataFrame, limit: int | None = None, **options) -> DataFrame:
-    """``limit`` is the row cap of the locations and countries requests; none by default."""
-    return extract(bodies, S.LOCATIONS_ELEMENT, S.STG_LOCATIONS, limit, **options)
+def extract_locations(bodies: DataFrame, **options) -> DataFrame:
+    return extract(bodies, S.LOCATIONS_ELEMENT, S.STG_LOCATIONS, **options)
 
 
-def extract_countries(bodies: DataFrame, limit: int | None = None, **options) -> DataFrame:
-    return extract(bodies, S.COUNTRIES_ELEMENT, S.STG_COUNTRIES, limit, **options)
+def extract_countries(bodies: DataFrame, **options) -> DataFrame:
+    return extract(bodies, S.COUNTRIES_ELEMENT, S.STG_COUNTRIES, **options)
 
 
 def extract_parameters(bodies: DataFrame, **options) -> DataFrame:

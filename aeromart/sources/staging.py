@@ -1,7 +1,8 @@
 """Staging: the checked rows of one load, written once to a folder of their own.
 
-The body is parsed a single time; good and quarantined rows land side by side in one write. Loads
-never share a folder, and repeating a load overwrites its folder.
+The body is parsed a single time; good and quarantined rows land side by side in one write, told
+apart by a column (folders for the two would sort every task's rows first). Loads never share a
+folder, and repeating a load overwrites its folder.
 """
 
 from __future__ import annotations
@@ -35,10 +36,10 @@ class Staged:
         return self._rows(QUARANTINE, schema.add(RAW, T.StringType()))
 
     def _rows(self, status: str, schema: T.StructType) -> DataFrame:
-        # A status without rows has no folder.
         if not self.counts[status]:
-            return no_rows(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{STATUS}={status}")
+            return no_rows(self.spark, schema)  # known to be empty, so the optimiser drops what follows
+        stored = self.spark.read.schema(T.StructType(schema.fields).add(STATUS, T.StringType()))
+        return stored.parquet(self.path).where(F.col(STATUS) == status).drop(STATUS)
 
 
 def stage(extracted: DataFrame, path: str, rules: tuple[Rule, ...]) -> Staged:
@@ -54,8 +55,6 @@ def stage(extracted: DataFrame, path: str, rules: tuple[Rule, ...]) -> Staged:
     )
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(STATUS)
         .parquet(path)
     )
     return Staged(extracted.sparkSession, path, rules, dict(seen.get))

@@ -18,12 +18,32 @@ from ..sources.envelope import BODY
 from ..sources.tables import FactStore
 
 
+#: Older than any file: nothing is left out for its age.
+ANY_AGE = "36500d"
+
+
 def stream_bodies(
-    spark: SparkSession, path: str, max_files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_batch: int | None = None,
+    whole_files: bool = False,
+    max_file_age: str = ANY_AGE,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.format("text")
+    """Bodies of new files, one per line or one per file.
+
+    Spark forgets files whose change time is ``max_file_age`` older than the newest one, and never reads such a
+    file if it comes late (a copy that kept its time, say). By default no file is that old, at the cost of
+    a list of all files seen, in memory and in the checkpoint. ``archive_dir`` bounds that list: files that
+    are done are moved there.
+    """
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if whole_files:
+        reader = reader.option("wholetext", True)
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(path).where(F.trim("value") != "").select(F.col("value").alias(BODY))
 
 
@@ -38,9 +58,12 @@ def start_measurement_stream(
     interval: str = "1 hour",
     max_files_per_batch: int | None = None,
     reports: list[LoadReport] | None = None,
+    **source_options,
 ) -> StreamingQuery:
     """Start the stream: over the files that are there, or every ``interval`` for good.
 
+    ``source_options`` go to ``stream_bodies`` (``whole_files``, ``max_file_age``, ``archive_dir``).
+
     ``checkpoint`` and ``stage_dir`` must be on storage that all executors share.
     """
 
@@ -51,7 +74,7 @@ def start_measurement_stream(
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
-        stream_bodies(spark, path, max_files_per_batch)
+        stream_bodies(spark, path, max_files_per_batch, **source_options)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
