@@ -60,7 +60,8 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.other = ["#"], [-1], [False]  # per element
+        # per element; ``other``: a side part by its tag or its marks, ``other_tag``: by its tag alone
+        self.tags, self.parents, self.other, self.other_tag = ["#"], [-1], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.path = [0]  # per element
         self.stack, self.open = [0], {}
@@ -94,20 +95,26 @@ class Page(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.path.append(self.paths.setdefault((self.path[parent], tag), len(self.paths) + 1))
-        self.other.append(self.other[parent] or self._is_other(tag, attrs))
+        by_tag = self._other_tag(tag)
+        self.other_tag.append(self.other_tag[parent] or by_tag)
+        self.other.append(self.other[parent] or by_tag or self._other_mark(tag, attrs))
         if tag in ("article", "main") and not self._marked(attrs):
             for e in [*self.stack, number]:  # whatever holds an article is no side part
-                self.other[e] = False
+                self.other[e] = self.other_tag[e] = False
         self.stack.append(number)
         self.open[tag] = self.open.get(tag, 0) + 1
 
-    def _is_other(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in SKIPPED or tag in ASIDE:
-            return True
-        inside = self.open.get("article", 0) + self.open.get("main", 0)
-        if tag == "header" and not inside:
-            return True
-        return tag not in ("html", "body", "main", "article") and self._marked(attrs) or tag == "article" and inside > 0 and self._marked(attrs)
+    def _in_article(self) -> bool:
+        return bool(self.open.get("article") or self.open.get("main"))
+
+    def _other_tag(self, tag: str) -> bool:
+        return tag in SKIPPED or tag in ASIDE or (tag == "header" and not self._in_article())
+
+    def _other_mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """The outermost parts of a page carry marks of all that they hold, so theirs say nothing."""
+        if tag in ("html", "body", "main") or (tag == "article" and not self._in_article()):
+            return False
+        return self._marked(attrs)
 
     @staticmethod
     def _marked(attrs: list[tuple[str, str | None]]) -> bool:
@@ -191,6 +198,9 @@ def main_text(html: str | None) -> str:
     """The article of one page."""
     page = Page(html or "")
     chosen = content_nodes(page)
+    if not chosen:  # a page whose whole text is marked: only tags tell its parts apart
+        page.other = page.other_tag
+        chosen = content_nodes(page)
     if not chosen:
         return ""
     roots = container(page, chosen)

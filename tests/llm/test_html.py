@@ -29,6 +29,11 @@ def test_article_element_wins_over_longer_side_text():
     assert H.main_text(page) == f"Head {PARAGRAPH} {PARAGRAPH}"
 
 
+def test_a_page_that_marks_everything_keeps_its_text():
+    page = f"<body><nav>menu</nav><div class='widget'><p>{PARAGRAPH}</p></div><footer>foot</footer></body>"
+    assert H.main_text(page) == PARAGRAPH
+
+
 def test_broken_pages():
     cases = {
         "": "", None: "", "plain": "plain", "<p>x": "x", "</p></div>z": "z", "<![if x]>a<b": "a<b", "<script>var a='<p>'": "",
