@@ -11,13 +11,15 @@ each give a row and count each in the estimate. Extra columns are ignored.
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import map_texts
+from aeromart.llm.common import map_texts, written
 
 REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
@@ -50,7 +52,7 @@ def repeated_words(words: list[bytes], window: int = REPEAT_WINDOW) -> int:
 
 
 def measure(text: str | None) -> tuple[int, ...]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_letters, n_marked, n_kinds."""
+    """The numbers named in ``MEASURES``."""
     text = text or ""
     data = text.encode()
     words = data.split()
@@ -60,10 +62,14 @@ def measure(text: str | None) -> tuple[int, ...]:
     return (
         len(words), len(text) - spaces, sum(data.count(bytes([c])) for c in SYMBOLS), len(lines) - len(set(lines)),
         repeated_words(words), len(lines), len(UPPER.findall(text)), len(LETTER.findall(text)), marked, len(set(words)),
+        sum(map(eq, words, words[1:])),
     )
 
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marked", "n_kinds"]
+MEASURES = [
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marked",
+    "n_kinds", "n_stutter",
+]
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -76,7 +82,7 @@ def measures(docs: DataFrame) -> DataFrame:
     return map_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), per_batch, schema)
 
 
-def _vote(value: Column, good: Column, bad: Column) -> Column:
+def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
 
 
@@ -86,15 +92,18 @@ def votes() -> dict[str, Column]:
     word, symbols = share("word_chars", "n_words"), share("n_symbols", "n_words")
     dup, repeat = share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")
     upper, marked, kinds = share("n_upper", "n_letters"), share("n_marked", "n_words"), share("n_kinds", "n_words")
+    stutter = share("n_stutter", "n_words")
     return {
-        "length": _vote(word, F.col("n_words") >= 20, F.col("n_words") < 10),
-        "word_length": _vote(word, word.between(3, 9), (word < 2) | (word > 15)),
-        "symbols": _vote(symbols, symbols < 0.02, symbols > 0.1),
-        "lines": _vote(dup, dup < 0.1, dup > 0.3),
-        "repeats": _vote(repeat, repeat < 0.05, repeat > 0.2),
-        "capitals": _vote(upper, upper < 0.1, upper > 0.3),
-        "marks": _vote(marked, marked < 0.02, marked > 0.1),
-        "variety": _vote(kinds, (kinds > 0.3) | (F.col("n_words") > 2000), (kinds < 0.2) & (F.col("n_words") <= 2000)),
+        "length": _vote(F.col("n_words") >= 20, F.col("n_words") < 10),
+        "word_length": _vote(word.between(3, 9), (word < 2) | (word > 15)),
+        "symbols": _vote(symbols < 0.02, symbols > 0.1),
+        # one line of three may repeat by chance
+        "lines": _vote(dup < 0.1, (dup > 0.3) & (F.col("n_dup_lines") > 2)),
+        "repeats": _vote(repeat < 0.05, repeat > 0.2),
+        "capitals": _vote(upper < 0.1, upper > 0.3),
+        "marks": _vote(marked < 0.02, marked > 0.1),
+        "stutter": _vote(stutter < 0.02, stutter > 0.2),
+        "variety": _vote((kinds > 0.3) | (F.col("n_words") > 2000), (kinds < 0.2) & (F.col("n_words") <= 2000)),
     }
 
 
@@ -128,7 +137,7 @@ def judge(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """Measures, base_failed, the posterior of good (``quality``) and kept, per row of ``docs`` (doc_id, text)."""
     rules = votes()
     code = sum(((vote + 1) * F.lit(3**i) for i, vote in enumerate(rules.values())), F.lit(0)).cast("int")
-    measured = measures(docs).withColumn("pattern", code)
+    measured = written(measures(docs).withColumn("pattern", code), "measures")  # a dozen numbers a text, measured once
     found = sorted((r["pattern"], r["count"]) for r in measured.groupBy("pattern").count().collect())
     codes = np.array([c for c, _ in found], np.int64)
     patterns = (codes[:, None] // 3 ** np.arange(len(rules))) % 3 - 1
