@@ -4,8 +4,8 @@ zstandard dictionaries are trained from good and from bad labelled texts, ``PAIR
 whole text is compressed with each; the difference between the mean sizes, divided by the length of the text and by the
 larger size, and the size itself per byte, become a score by logistic regression on labelled rows that no dictionary has seen.
 
-Dictionaries learn from a bounded sample of the labelled rows (``TEXTS`` of each class and pair, ``TEXT_BYTES`` of each
-text), which bounds what the driver holds; scoring compresses whole texts. Nothing but the text enters a score. Null texts count as empty.
+Dictionaries learn from a bounded sample of the labelled rows (about ``TEXTS`` of each class and pair, ``TEXT_BYTES`` of
+each text), which bounds what the driver holds; scoring compresses whole texts. Nothing but the text enters a score. Null texts count as empty.
 Where a class has too few texts for dictionaries, the score is a constant. Repeated rows each give a row. Rows with a null id
 count as held out.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeromart.llm.common import in_fold, map_texts
-from aeromart.llm.labelled import labelled
+from aeromart.llm.labelled import fit, known_labels, share, texts_of
 from aeromart.llm.logistic import Logistic
 
 PARTS, HELD = 5, 0
@@ -67,27 +67,31 @@ def _dictionary(texts: list[bytes]) -> bytes | None:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Dictionaries from three quarters of the labelled rows (bounded), the score from the other quarter."""
-    known = labelled(docs, labels, "quality", PARTS, HELD)
+    """Dictionaries from three quarters of the labelled rows (bounded), the score from the other quarter (bounded)."""
+    known = known_labels(labels, "quality", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
+    sizes = {r["label"]: r["count"] for r in known.where(~fits).groupBy("label").count().collect()}
+    chosen = F.lit(False)
+    for label, rows in sizes.items():
+        chosen = chosen | ((F.col("label") == label) & share(rows, TEXTS * PAIRS, 1))
     begin = F.expr(f"substring(encode(text, 'utf-8'), 1, {TEXT_BYTES})")
-    order = F.xxhash64("doc_id")
+    texts = texts_of(docs, known.where(~fits & chosen)).select("doc_id", "label", begin.alias("t"))
+    texts = texts.groupBy("doc_id").agg(F.min("t").alias("t"), F.max("label").alias("label"))  # repeated ids count once
+    rows = texts.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").collect()
     samples = []
-    for label in (1, 0):  # each a top-k by hash of the id: bounded rows of bounded bytes
-        rows = known.where(~fits & (F.col("label") == label)).select(order.alias("o"), "doc_id", begin.alias("t"))
-        rows = rows.orderBy("o", "doc_id", "t").limit(TEXTS * PAIRS).collect()
-        samples.append([[bytes(r.t) for r in rows[i::PAIRS]] for i in range(PAIRS)])
+    for label in (1, 0):
+        own = [bytes(r.t) for r in rows if r.label == label]
+        samples.append([own[i::PAIRS] for i in range(PAIRS)])
     pairs = [(g, b) for g, b in zip(*([_dictionary(x) for x in s] for s in samples)) if g and b]
     held = docs.sparkSession.sparkContext.broadcast(pairs)  # 2 x PAIRS x DICT_BYTES
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         codecs = _codecs(held)
-        made = pa.array([codecs.features(t) for t in batch.column(0).to_pylist()], pa.list_(pa.float64()))
-        return pa.RecordBatch.from_arrays([made, batch.column(1)], names=["x", "label"])
+        made = pa.array([codecs.features(t) for t in batch.column(1).to_pylist()], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([batch.column(0), made, batch.column(2)], names=["doc_id", "x", "label"])
 
-    rows = map_texts(known.where(fits).select("text", "label"), features, "x array<double>, label int")
-    rows = rows.toArrow()  # a quarter of the sample of labels, a few numbers each
-    return Classifier(pairs, Logistic(rows["x"].to_pylist(), rows["label"].to_pylist(), WIDTH))
+    rows = texts_of(docs, known.where(fits)).select("doc_id", "text", "label")
+    return Classifier(pairs, fit(map_texts(rows, features, "doc_id bigint, x array<double>, label int"), WIDTH))
 
 
 _CODECS: dict[int, Codecs] = {}

@@ -4,28 +4,49 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeromart.llm.common import checked_bytes, in_fold
+from aeromart.llm.logistic import Logistic
 
 #: Rows of labels that a classifier learns from at most, about; beyond it a sample by hash of the id is taken.
 LABEL_ROWS = 200_000
 SAMPLE_BYTES = 16 << 20
 
 
-def labelled(docs: DataFrame, labels: DataFrame, target: str, parts: int, held: int, bound: int = LABEL_ROWS) -> DataFrame:
-    """(doc_id, text, label) of the documents outside the held-out fold whose ``target`` is 0 or 1.
+def fit(rows: DataFrame, width: int) -> Logistic:
+    """The score from (doc_id, x, label): one row per id, so the sample of labels bounds what is collected."""
+    one = rows.groupBy("doc_id").agg(F.min("x").alias("x"), F.max("label").alias("label")).select("x", "label").toArrow()
+    return Logistic(one["x"].to_pylist(), one["label"].to_pylist(), width)
 
-    Several labels of one id: the larger counts. The sample of labels (an id and a flag each) is broadcast, its size
-    proven by the bound, so that texts are filtered where they are read and never shuffled.
-    """
+
+def share(rows: int, bound: int, seed: int) -> Column:
+    """About ``bound`` of ``rows`` rows, by hash of the id; all of them if there are no more."""
+    if rows <= bound:
+        return F.lit(True)
+    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < math.ceil(1_000_000 * bound / rows)
+
+
+def known_labels(labels: DataFrame, target: str, parts: int, held: int, bound: int = LABEL_ROWS) -> DataFrame:
+    """(doc_id, label) outside the held-out fold whose ``target`` is 0 or 1. Several labels of one id: the larger counts."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(target).cast("int").alias("label"))
     known = known.where(~in_fold("doc_id", parts, held) & F.col("label").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = known.count()
-    if rows > bound:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < math.ceil(1_000_000 * bound / rows))
-    checked_bytes(min(rows, 2 * bound) * 24, SAMPLE_BYTES, "the sample of labels")
+    return known.where(share(known.count(), bound, 0))
+
+
+def texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of the documents in ``known``.
+
+    The sample of labels (an id and a flag each) is broadcast, its size checked, so that texts are filtered where they
+    are read and never shuffled.
+    """
+    checked_bytes(known.count() * 24, SAMPLE_BYTES, "the sample of labels")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
     return texts.join(F.broadcast(known), "doc_id")
+
+
+def labelled(docs: DataFrame, labels: DataFrame, target: str, parts: int, held: int) -> DataFrame:
+    """(doc_id, text, label) of the labelled documents outside the held-out fold, about ``LABEL_ROWS`` ids at most."""
+    return texts_of(docs, known_labels(labels, target, parts, held))

@@ -35,7 +35,7 @@ SEED = 42
 #: Fingerprints of a trie that one task walks, distinct fingerprints from which roots take two blocks, node pairs in memory.
 TRIE = 16_384
 WIDE = 1 << 21
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:

@@ -1,0 +1,47 @@
+from pyspark.sql import functions as F
+
+from aeromart.llm import common as C
+
+
+def test_the_most_frequent_rows_are_cut_at_a_count(spark):
+    rows = [(g, i, n) for g, top in (("a", 40), ("b", 10)) for i, n in enumerate([1] * 30 + list(range(2, top)))]
+    df = spark.createDataFrame(rows, "g string, i int, n bigint")
+    for bound in (1, 5, 20, 36, 200):
+        for group in (None, "g"):
+            kept = C.most_frequent(df, F.col("n"), bound, group).collect()
+            for g in "ab" if group else [None]:
+                own = [r.n for r in kept if g in (None, r.g)]
+                left = [n for x, _, n in rows if g in (None, x)]
+                assert len(own) <= bound
+                # all rows of a count stay or go together
+                assert sorted(own) == sorted(n for n in left if own and n >= min(own))
+    assert C.most_frequent(df, F.col("n"), 200).count() == len(rows)
+    assert C.most_frequent(df.where("i < 0"), F.col("n"), 5, "g").count() == 0
+
+
+def test_batches_get_smaller_but_never_larger(spark):
+    old = spark.conf.get(C.BATCH_LIMIT)
+    try:
+        for given, want in (("64m", str(C.BATCH_BYTES)), ("4m", "4m"), ("1g", str(C.BATCH_BYTES)), ("1000", "1000")):
+            spark.conf.set(C.BATCH_LIMIT, given)
+            C.bounded_batches(spark)
+            assert spark.conf.get(C.BATCH_LIMIT).removesuffix("b") in (want, want + "b")
+    finally:
+        spark.conf.set(C.BATCH_LIMIT, old)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    import pytest
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+        class sparkContext:
+            master = "local-cluster[3,2,1000]"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        C.shared_dir(Session(), "x")
+    assert C.shared_dir(spark, "x").startswith(spark.conf.get(C.CHECKPOINT_DIR))
