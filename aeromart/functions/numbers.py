@@ -1,26 +1,36 @@
 """Sums and means that do not depend on the order of the rows.
 
 A double sum changes in its last digits with the layout of the data, so that a tie could flip. Values are therefore
-added up as decimals with nine places: exact, whatever the order.
+rounded to nine places and added up as two whole numbers, their whole part and the billionths above it: exact whatever the
+order, and as fast as any sum of longs. Decimals are made of the sums only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-PLACES = 9
 #: Values must be below this in size; a load quarantines others.
 LIMIT = 1e9
-_EXACT = f"decimal(18,{PLACES})"
+TOTAL = "decimal(28,9)"
 _COUNT = "decimal(12,0)"
 
 
-def exact(value: Column) -> Column:
-    """A value as a decimal of nine places. NaN counts as missing, as NULL does; a larger value is an error."""
+def finite(value: Column) -> Column:
+    """NaN counts as missing, as NULL does; a value out of range is an error."""
     value = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
     message = F.concat(F.lit("value out of range: "), value.cast("string"))
-    return F.when(F.abs(value) >= LIMIT, F.raise_error(message).cast(_EXACT)).otherwise(value.cast(_EXACT))
+    return F.when(F.abs(value) >= LIMIT, F.raise_error(message).cast("double")).otherwise(value)
+
+
+def exact_sum(grouped: GroupedData, value: str, total: str, count: str, *more: Column) -> DataFrame:
+    """The groups with the exact sum (a decimal of nine places) and the count of ``value``, a column that is ``finite``."""
+    whole = F.floor(value)
+    billionths = F.rint((F.col(value) - whole) * 1e9).cast("bigint")
+    made = grouped.agg(F.sum(whole).alias("_whole"), F.sum(billionths).alias("_above"), F.count(value).alias(count), *more)
+    units = F.col("_whole").cast("decimal(19,0)") * F.lit(1_000_000_000) + F.col("_above").cast("decimal(19,0)")
+    exact = units.cast("decimal(28,0)") * F.expr("0.000000001BD")
+    return made.withColumn(total, exact.cast(TOTAL)).drop("_whole", "_above")
 
 
 def mean(total: Column, count: Column) -> Column:

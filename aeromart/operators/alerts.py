@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact, greater_mean, mean
+from ..functions.numbers import exact_sum, finite, greater_mean, mean
 from ..functions.text import html_escape, name_list, text_key
 from ..functions.times import in_days
 
@@ -41,12 +41,8 @@ def country_partials(
 ) -> DataFrame:
     """Sum and count of the values per country, day and parameter; NULL is a country of its own."""
     rows = select_parameters(in_days(fact, start_day, end_day), parameters)
-    return rows.groupBy(
-        "country_code", F.to_date("date_utc").alias("measure_date"), "parameter_code"
-    ).agg(
-        F.sum(exact(F.col("value"))).alias("value_sum"),
-        F.count(exact(F.col("value"))).alias("value_count"),
-    )
+    rows = rows.select("country_code", F.to_date("date_utc").alias("measure_date"), "parameter_code", finite(F.col("value")).alias("value"))
+    return exact_sum(rows.groupBy("country_code", *_DAY_AND_PARAMETER), "value", "value_sum", "value_count")
 
 
 def country_means(partials: DataFrame) -> DataFrame:

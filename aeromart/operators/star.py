@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact, mean
+from ..functions.numbers import exact_sum, finite, mean
 
 
 def _location_side(dim_location: DataFrame) -> DataFrame:
@@ -44,10 +44,9 @@ def mean_by_country_and_parameter(
     Measurements are summed per location and parameter before they meet the dimensions, so the
     joins see one row per pair and a hot location is no longer hot.
     """
-    partials = fact.groupBy("location_id", "parameter_code").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(exact(F.col("value"))).alias("_count"),
-        F.sum(exact(F.col("value"))).alias("_sum"),
+    rows = fact.select("location_id", "parameter_code", finite(F.col("value")).alias("value"))
+    partials = exact_sum(
+        rows.groupBy("location_id", "parameter_code"), "value", "_sum", "_count", F.count(F.lit(1)).alias("_rows")
     )
     return (
         star_join(partials, dim_location, dim_parameter)

@@ -105,6 +105,19 @@ def test_comparison_equals_fractions(spark, values):
     assert [r.above for r in found] == [Fraction(r.a) / r.n > Fraction(r.b) / r.m for r in found]
 
 
+def test_sums_are_exact_in_every_layout(spark):
+    from decimal import Decimal
+
+    from aeromart.functions.numbers import exact_sum, finite
+
+    values = [0.1, -0.1, 4.29, -4.29, 999_999_999.5, -999_999_999.5, 1e-9, -1e-9, 123.456789012, 0.0, None, float("nan")] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(F.lit(1).alias("k"), finite(F.col("v")).alias("v"))
+    want = sum((round(Decimal(repr(v)), 9) for v in values if v is not None and v == v), Decimal(0))
+    for n in (1, 3, 8):
+        got = exact_sum(df.repartition(n).groupBy("k"), "v", "total", "n").first()
+        assert (got.total, got.n) == (want, 500)
+
+
 def test_values_beyond_the_range_are_an_error(spark):
     with pytest.raises(Exception, match="value out of range"):
         A.above_average(fact(spark, ("AA", 1e12))).collect()
