@@ -56,16 +56,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << bit for bit in np.flatnonzero(counts * 2 > len(values)).tolist())
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp: long, the 64 bits as a signed number)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp: long, the 64 bits as a signed number) and the ``extra`` columns, which are long."""
 
     def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.array(made, np.uint64).view(np.int64))], names=["doc_id", "fp"]
+            [batch.column(0), pa.array(np.array(made, np.uint64).view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *extra]
         )
 
-    return map_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), per_batch, "doc_id bigint, fp bigint")
+    schema = ", ".join(f"{c} bigint" for c in ("doc_id", "fp", *extra))
+    return map_texts(docs.select(F.col("doc_id").cast("bigint"), "text", *extra), per_batch, schema)
 
 
 def blocks_of(bits: int, wide: bool) -> list[int]:
@@ -200,13 +201,17 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tup
         yield tuple(np.concatenate(c) for c in zip(*held))
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first, root) from (fp, first), one row per fingerprint: the root is the same in a component."""
+    roots = connected_components(near_links(nodes.select("fp"), max_bits))
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs`` (doc_id, text)."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = connected_components(near_links(nodes.select("fp"), max_bits))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes"), max_bits)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(named, "root").select("fp", "component_id")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -216,8 +221,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one with the smallest id.
 
-    Rows that share an id are one document and stay or go together; rows without an id cannot be told apart and stay.
+    A document is an id and a text: rows that repeat both stay or go together, and an id with several texts is a document for
+    each. Of several texts of the smallest id in one group, the one with the smallest hash stays. Of a group without any id,
+    one row stays.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keys = ("_row_id", "_row_a", "_row_b")
+    keyed = docs.withColumns({
+        "_row_id": F.col("doc_id").cast("bigint"), "_row_a": F.xxhash64(text, F.lit(3)), "_row_b": F.xxhash64(F.lit(4), text)
+    })
+    marked = fingerprints(keyed, shingle, keys[1:])
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_row_id"), *keys[1:])
+    rooted = _rooted(written(marked.groupBy("fp").agg(F.min(row).alias("first")), "nodes"), max_bits)
+    kept = written(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "kept")
+    named = keyed.join(kept.where("not none").select(*keys), list(keys), "left_semi")
+    # copies in one task become one row before they are shuffled, so a group of many copies is no hot key
+    bare = keyed.where("_row_id is null").join(kept.where("none").select(*keys[1:]), list(keys[1:]), "left_semi")
+    return named.unionByName(bare.dropDuplicates(list(keys[1:]))).select(docs.columns)

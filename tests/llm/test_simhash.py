@@ -113,5 +113,11 @@ def test_one_of_each_group_stays(spark):
     )
 
 
+def test_repeated_ids_lose_no_text_and_null_ids_keep_one_row(spark):
+    x, y, z = (" ".join(f"{c}{i * i % 97}" for i in range(60)) for c in "xyz")
+    kept = S.keep_one(frame(spark, [(3, x), (5, x), (5, y), (9, y), (None, y), (None, z), (None, z), (None, z), (7, None), (8, "")]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(3, x), (5, y), (None, z), (7, None)], key=repr)
+
+
 def test_empty_table(spark):
     assert S.near_duplicates(frame(spark, [])).count() == 0
