@@ -2,8 +2,8 @@
 
 A page is parsed into text nodes, each with the path of tags from the root. For every path, text length and
 punctuation are aggregated over its nodes (length per node, marks per node); the ratios are smoothed along the page,
-fused, and paths above a threshold are content. The content nodes say which part of the page is the article: the
-<article> or <main> that holds most of their text, else the smallest container that does. Its text is returned
+fused, and paths above a threshold are content. The article is the <article> and <main> elements, the outermost ones, if
+they hold half of the content or more, else the smallest container that holds all content nodes. Its text is returned
 whole, so short paragraphs and headings between content nodes stay, without the parts that the page marks as something else:
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
 
@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 
 from aeromart.llm.common import map_texts
 
-#: Smoothing kernel over neighbouring nodes, share of the mean fused ratio that makes a path content, share of the content in a container.
+#: Smoothing kernel over neighbouring nodes, share of the mean fused ratio that makes a path content.
 KERNEL = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 THRESHOLD = 0.5
-CONTAINED = 0.6
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set("head title script style noscript template iframe object svg math canvas audio video select option".split())
@@ -167,7 +166,7 @@ def content_nodes(page: Page) -> list[int]:
 
 
 def container(page: Page, chosen: list[int]) -> set[int]:
-    """Elements whose text is the article's: articles with most of the content, or the smallest container that holds it."""
+    """Elements whose text is the article's: articles with half of the content, or the smallest container that holds all of it."""
     weight: dict[int, int] = {}
     for i in chosen:
         e, n = page.nodes[i][1], len(page.nodes[i][0].strip())
@@ -176,13 +175,11 @@ def container(page: Page, chosen: list[int]) -> set[int]:
     for e in range(len(page.tags) - 1, 0, -1):  # children come after their parents
         if e in weight:
             weight[page.parents[e]] = weight.get(page.parents[e], 0) + weight[e]
-    for tag in ("article", "main"):
-        own = [e for e in weight if page.tags[e] == tag]
-        outer = [e for e in own if not _inside(page, e, set(own))]
-        if sum(weight[e] for e in outer) >= 0.5 * total:
-            return set(outer)
-    holds = [e for e in weight if (page.tags[e] in CONTAINERS or e == 0) and weight[e] >= CONTAINED * total]
-    return {max(holds)} if holds else {0}
+    own = {e for e in weight if page.tags[e] in ("article", "main")}
+    outer = {e for e in own if not _inside(page, e, own)}
+    if outer and sum(weight[e] for e in outer) >= 0.5 * total:
+        return outer
+    return {max(e for e in weight if (page.tags[e] in CONTAINERS or e == 0) and weight[e] == total)}
 
 
 def _inside(page: Page, element: int, those: set[int]) -> bool:

@@ -34,6 +34,16 @@ def test_a_page_that_marks_everything_keeps_its_text():
     assert H.main_text(page) == PARAGRAPH
 
 
+def test_no_content_is_lost_beside_the_largest_part():
+    first, second = " ".join([PARAGRAPH] * 7), " ".join([PARAGRAPH] * 3)
+    page = f"<body><div id=content><section><h2>One</h2><p>{first}</p></section><section><h2>Two</h2><p>{second}</p></section></div></body>"
+    assert H.main_text(page) == f"One {first} Two {second}"
+    page = f"<body><table><tr><td><p>{first}</p></td><td><p>{second}</p></td></tr></table></body>"
+    assert H.main_text(page) == f"{first} {second}"
+    page = f"<body><main><article><p>{first}</p></article><section><p>{second}</p></section></main></body>"
+    assert H.main_text(page) == f"{first} {second}"
+
+
 def test_broken_pages():
     cases = {
         "": "", None: "", "plain": "plain", "<p>x": "x", "</p></div>z": "z", "<![if x]>a<b": "a<b", "<script>var a='<p>'": "",
