@@ -5,7 +5,9 @@ punctuation are aggregated over its nodes (length per node, marks per node); the
 fused, and paths above a threshold are content. The article is the <article> and <main> elements, the outermost ones, if
 they hold half of the content or more, else the smallest container that holds all content nodes. Its text is returned
 whole, so short paragraphs and headings between content nodes stay, without the parts that the page marks as something else:
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments. A <form>, a class, an id or a
+role says nothing on an element that holds over half of the content, counted over all nodes but those that their tags exclude (of
+a page with articles: the nodes in these), as wrappers of whole pages have such names too.
 
 White space inside a block becomes one space, blocks are joined in page order by one space, character references are
 decoded. Null html counts as empty; a page without text has the empty string. Broken markup (unclosed, cut off, stray
@@ -30,7 +32,7 @@ THRESHOLD = 0.5
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set("head title script style noscript template iframe object svg math canvas audio video select option".split())
-ASIDE = set("nav aside footer form button fieldset dialog menu label input textarea datalist".split())
+ASIDE = set("nav aside footer button fieldset dialog menu label input textarea datalist".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
     "time tt u var".split()
@@ -59,8 +61,9 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        # per element; ``other``: a side part by its tag or its marks, ``other_tag``: by its tag alone
-        self.tags, self.parents, self.other, self.other_tag = ["#"], [-1], [False], [False]
+        # per element; ``other``: in a side part by tags or marks, ``other_tag``: by tags alone, ``mark``: has a mark itself
+        self.tags, self.parents, self.other, self.other_tag, self.mark = ["#"], [-1], [False], [False], [False]
+        self.article = [False]  # per element: an <article> or <main> without marks
         self.paths: dict[tuple[int, str], int] = {}
         self.path = [0]  # per element
         self.stack, self.open = [0], {}
@@ -68,6 +71,7 @@ class Page(HTMLParser):
         self.block = 0
         self.feed(html)
         self.close()
+        self._find_other()
 
     def parse_html_declaration(self, i: int) -> int:
         """Any declaration that is no comment ends at the next '>'."""
@@ -94,12 +98,12 @@ class Page(HTMLParser):
         self.tags.append(tag)
         self.parents.append(parent)
         self.path.append(self.paths.setdefault((self.path[parent], tag), len(self.paths) + 1))
-        by_tag = self._other_tag(tag)
-        self.other_tag.append(self.other_tag[parent] or by_tag)
-        self.other.append(self.other[parent] or by_tag or self._other_mark(tag, attrs))
-        if tag in ("article", "main") and not self._marked(attrs):
+        self.other_tag.append(self.other_tag[parent] or self._other_tag(tag))
+        self.mark.append(self._other_mark(tag, attrs))
+        self.article.append(tag in ("article", "main") and not self._marked(attrs))
+        if self.article[number]:
             for e in [*self.stack, number]:  # whatever holds an article is no side part
-                self.other[e] = self.other_tag[e] = False
+                self.other_tag[e] = self.mark[e] = False
         self.stack.append(number)
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -111,6 +115,8 @@ class Page(HTMLParser):
 
     def _other_mark(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         """The outermost parts of a page carry marks of all that they hold, so theirs say nothing."""
+        if tag == "form":
+            return True
         if tag in ("html", "body", "main") or (tag == "article" and not self._in_article()):
             return False
         return self._marked(attrs)
@@ -146,6 +152,24 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.nodes.append((data, self.stack[-1], self.block))
 
+    def _find_other(self) -> None:
+        """Sets ``other``, once marks are gone from the elements that hold most of the content."""
+        self.other = self.other_tag
+        chosen = content_nodes(self) if any(self.mark) else []
+        if chosen:
+            articles = self._within(self.article)
+            weight = weights(self, [i for i in chosen if articles[self.nodes[i][1]]] or chosen)
+            self.mark = [m and 2 * weight.get(e, 0) <= weight[0] for e, m in enumerate(self.mark)]
+        marked = self._within(self.mark)
+        self.other = [a or b for a, b in zip(self.other_tag, marked)]
+
+    def _within(self, own: list[bool]) -> list[bool]:
+        """Per element whether it or one around it is in ``own``."""
+        held = list(own)
+        for e in range(1, len(held)):  # children come after their parents
+            held[e] = held[e] or held[self.parents[e]]
+        return held
+
 
 def content_nodes(page: Page) -> list[int]:
     """Numbers of the nodes whose path is content, by smoothed and fused tag-path ratios."""
@@ -165,16 +189,22 @@ def content_nodes(page: Page) -> list[int]:
     return [i for i, p in zip(live, path) if chosen[p]]
 
 
-def container(page: Page, chosen: list[int]) -> set[int]:
-    """Elements whose text is the article's: articles with half of the content, or the smallest container that holds all of it."""
+def weights(page: Page, chosen: list[int]) -> dict[int, int]:
+    """Characters of the chosen nodes in each element that holds any."""
     weight: dict[int, int] = {}
     for i in chosen:
         e, n = page.nodes[i][1], len(page.nodes[i][0].strip())
         weight[e] = weight.get(e, 0) + n
-    total = sum(weight.values())
     for e in range(len(page.tags) - 1, 0, -1):  # children come after their parents
         if e in weight:
             weight[page.parents[e]] = weight.get(page.parents[e], 0) + weight[e]
+    return weight
+
+
+def container(page: Page, chosen: list[int]) -> set[int]:
+    """Elements whose text is the article's: articles with half of the content, or the smallest container that holds all of it."""
+    weight = weights(page, chosen)
+    total = weight[0]
     own = {e for e in weight if page.tags[e] in ("article", "main")}
     outer = {e for e in own if not _inside(page, e, own)}
     if outer and sum(weight[e] for e in outer) >= 0.5 * total:

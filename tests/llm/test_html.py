@@ -44,6 +44,18 @@ def test_no_content_is_lost_beside_the_largest_part():
     assert H.main_text(page) == f"{first} {second}"
 
 
+def test_marks_and_forms_around_the_article_say_nothing():
+    body = f"<h1>Head</h1><p>{PARAGRAPH}</p><div class=comments><p>{PARAGRAPH}</p></div><p>{PARAGRAPH}</p>"
+    want = f"Head {PARAGRAPH} {PARAGRAPH}"
+    assert H.main_text(f"<body><form><input type=hidden><button>Go</button>{body}</form></body>") == want
+    for name in ("page has-sidebar", "no-sidebar", "content social", "search result"):
+        assert H.main_text(f"<body><div class='{name}'>{body}</div></body>") == want
+        assert want in H.main_text(f"<body><p>A line outside.</p><div class='{name}'><div class=widget>{body}</div></div></body>")
+        assert H.main_text(f"<body><article><div class='{name}'>{body}</div></article></body>") == want
+    comments = f"<div id=comments><p>{PARAGRAPH * 9}</p></div>"
+    assert H.main_text(f"<body><article><p>{PARAGRAPH}</p></article>{comments}</body>") == PARAGRAPH
+
+
 def test_broken_pages():
     cases = {
         "": "", None: "", "plain": "plain", "<p>x": "x", "</p></div>z": "z", "<![if x]>a<b": "a<b", "<script>var a='<p>'": "",
