@@ -4,21 +4,26 @@ zstandard dictionaries are trained from good and from bad labelled texts, ``PAIR
 whole text is compressed with each; the difference between the mean sizes, divided by the length of the text and by the
 larger size, and the size itself per byte, become a score by logistic regression on labelled rows that no dictionary has seen.
 
-Dictionaries learn from a bounded sample of the labelled rows (about ``TEXTS`` of each class and pair, ``TEXT_BYTES`` of
-each text), which bounds what the driver holds; scoring compresses whole texts. Nothing but the text enters a score. Null texts count as empty.
+Dictionaries learn from a bounded sample of the labelled rows (about ``TEXTS`` of each class and pair). Each text of it is cut
+over its whole length into pieces of ``TEXT_BYTES``; of more pieces than ``TEXTS`` of each class and pair, about so many are taken by hash
+of the id and the number of the piece, which bounds what the driver holds. Scoring compresses whole texts. Nothing but the text enters a score. Null texts count as empty.
 Where a class has too few texts for dictionaries, the score is a constant. Repeated rows each give a row. Rows with a null id
 count as held out.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import in_fold, map_texts
+from aeromart.llm.common import in_fold, map_texts, written
 from aeromart.llm.labelled import fit, known_labels, share, texts_of
 from aeromart.llm.logistic import Logistic
 
@@ -66,6 +71,25 @@ def _dictionary(texts: list[bytes]) -> bytes | None:
         return None
 
 
+def pieces(texts: DataFrame, bound: int = TEXTS * PAIRS) -> DataFrame:
+    """(doc_id, label, piece, t) from (doc_id, label, text): the texts in pieces, about ``bound`` of each label at most, by hash."""
+    n = F.greatest(F.ceil(F.octet_length("text") / TEXT_BYTES), F.lit(1))
+    share_of = {r.label: bound / r.n for r in texts.groupBy("label").agg(F.sum(n).alias("n")).collect()}
+
+    def cut(batch: pa.RecordBatch) -> pa.Table:
+        made = []
+        for doc_id, label, text in zip(*(c.to_pylist() for c in batch.columns)):
+            data, below = text.encode(), math.ceil(min(share_of[label], 1) * 1_000_000)
+            for k, at in enumerate(range(0, max(len(data), 1), TEXT_BYTES)):
+                if xxhash.xxh64_intdigest(f"{doc_id} {k}") % 1_000_000 < below:
+                    made.append((doc_id, label, k, data[at : at + TEXT_BYTES]))
+        columns = list(zip(*made)) or [()] * 4
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "label", "piece", "t"])
+
+    return map_texts(texts.select("doc_id", "label", "text"), cut, "doc_id bigint, label int, piece int, t binary")
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Dictionaries from three quarters of the labelled rows (bounded), the score from the other quarter (bounded)."""
     known = known_labels(labels, "quality", PARTS, HELD)
@@ -74,14 +98,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     chosen = F.lit(False)
     for label, rows in sizes.items():
         chosen = chosen | ((F.col("label") == label) & share(rows, TEXTS * PAIRS, 1))
-    begin = F.expr(f"substring(encode(text, 'utf-8'), 1, {TEXT_BYTES})")
-    texts = texts_of(docs, known.where(~fits & chosen)).select("doc_id", "label", begin.alias("t"))
-    texts = texts.groupBy("doc_id").agg(F.min("t").alias("t"), F.max("label").alias("label"))  # repeated ids count once
-    rows = texts.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").collect()
+    texts = texts_of(docs, known.where(~fits & chosen))
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))  # repeated ids count once
+    rows = pieces(written(texts, "texts")).orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id", "piece").collect()
     samples = []
     for label in (1, 0):
-        own = [bytes(r.t) for r in rows if r.label == label]
-        samples.append([own[i::PAIRS] for i in range(PAIRS)])
+        own = [[bytes(r.t) for r in of] for _, of in groupby((r for r in rows if r.label == label), key=lambda r: r.doc_id)]
+        samples.append([[t for of in own[i::PAIRS] for t in of] for i in range(PAIRS)])
     pairs = [(g, b) for g, b in zip(*([_dictionary(x) for x in s] for s in samples)) if g and b]
     held = docs.sparkSession.sparkContext.broadcast(pairs)  # 2 x PAIRS x DICT_BYTES
 

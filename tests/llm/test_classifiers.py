@@ -74,6 +74,25 @@ def test_odd_rows_score(spark):
             assert r.held_out == (r.doc_id is None or fold(r.doc_id, module.PARTS) == module.HELD)
 
 
+def test_dictionaries_learn_from_whole_texts(spark):
+    rng = random.Random(5)
+    noise = lambda: " ".join(f"{rng.getrandbits(40):x}" for _ in range(900))
+    tail = " ".join(f"junk{k * k % 89}tail" for k in range(120))
+    docs = [(i, noise() + ("" if i % 2 else tail)) for i in range(160)]
+    model = C.train(frame(spark, docs), labels(spark, [(i, i % 2) for i, _ in docs]))
+    assert model.dictionaries and all(b"junk64tail junk81tail" in bad and b"junk" not in good for good, bad in model.dictionaries)
+
+
+def test_pieces_are_the_whole_text_or_a_sample_by_hash(spark):
+    texts = spark.createDataFrame([(1, 0, "é" * 10_000), (2, 0, ""), (3, 1, "b" * 8_000)], "doc_id bigint, label int, text string")
+    made = sorted(tuple(r) for r in C.pieces(texts).collect())
+    assert b"".join(bytes(t) for d, _, _, t in made if d == 1).decode() == "é" * 10_000
+    assert [(d, k, len(t)) for d, _, k, t in made] == [(1, 0, 8000), (1, 1, 8000), (1, 2, 4000), (2, 0, 0), (3, 0, 8000)]
+    long = spark.createDataFrame([(1, 0, "x" * 8_000_000)], "doc_id bigint, label int, text string")
+    found = sorted(r.piece for r in C.pieces(long, 100).collect())
+    assert 60 <= len(found) <= 140 and found[-1] > 900
+
+
 @pytest.mark.parametrize("module", [T, C])
 def test_without_labels_or_rows(spark, module):
     docs = frame(spark, [(1, "a b"), (2, None)])
