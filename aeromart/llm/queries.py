@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeromart.llm import bpe, compression, decontaminate, html, language, quality_rules, sharding, simhash, toxicity, warc
+from aeromart.llm import (
+    bpe, compression, decontaminate, html, language, periodic, quality_rules, sharding, simhash, toxicity, warc,
+)
 from aeromart.llm.common import table
 
 
@@ -62,6 +64,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find_runs(table(spark, sf_dir, "documents"), periodic.loop_some))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -73,6 +79,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_html": op9_html,
     "op10_warc": op10_warc,
+    "op11_periodic": op11_periodic,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

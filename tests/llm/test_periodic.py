@@ -1,0 +1,108 @@
+import hashlib
+import random
+import time
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from aeromart.llm import periodic
+from aeromart.llm.queries import op11_periodic
+from tests.conftest import rows
+from tests.llm.data import frame, odd_rows
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def smallest_period(words):
+    return next(q for q in range(1, len(words) + 1) if words[q:] == words[: len(words) - q])
+
+
+def slow_runs(words):
+    """Every maximal stretch of every lag, straight from the definition."""
+    found = []
+    for q in range(1, len(words) // 4 + 1):
+        i = q
+        while i < len(words):
+            if words[i] != words[i - q]:
+                i += 1
+                continue
+            start = i - q
+            while i < len(words) and words[i] == words[i - q]:
+                i += 1
+            if i - start >= max(6, 4 * q) and smallest_period(words[start:i]) == q:
+                found.append((start, i - start, q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def slow_row(doc_id, text):
+    words = [w for w in (text or "").translate({c: " " for c in range(9, 14)}).split(" ") if w]
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = slow_runs(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    left = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None, sha(lines), sha(left)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 4])
+def test_runs_of_random_words(letters):
+    rng = random.Random(letters)
+    for _ in range(800):
+        words = [rng.randrange(letters) for _ in range(rng.randrange(40))]
+        for _ in range(rng.randrange(3)):  # loops of any length at any place, also nested
+            at, q = rng.randrange(len(words) + 1), rng.randrange(1, 9)
+            block = [rng.randrange(letters) for _ in range(q)]
+            words[at:at] = (block * 8)[: rng.randrange(1, 6 * q)]
+        assert periodic.runs_of(words) == slow_runs(words), words
+
+
+def test_limits_of_length():
+    assert periodic.runs_of("aaaaa") == [] and periodic.runs_of("aaaaaa") == [(0, 6, 1)]
+    assert periodic.runs_of("abababa") == [] and periodic.runs_of("abababab") == [(0, 8, 2)]
+    assert periodic.runs_of("xabcabcabcabcy") == [(1, 12, 3)] and periodic.runs_of("abcabcabcab") == []
+    # a period of one inside a period of seven
+    assert periodic.runs_of("aaaaaab" * 4) == sorted([(0, 28, 7), *[(7 * k, 6, 1) for k in range(4)]])
+
+
+def test_collapsed_words_and_ties(spark):
+    texts = [(1, "x a a a a a a y"), (2, "a b " * 4 + "c d " * 4), (3, "to be or not"), (4, "q " * 9)]
+    made = {r.doc_id: r for r in periodic.find_runs(frame(spark, texts)).collect()}
+    assert [made[k].collapsed for k in (1, 2, 3, 4)] == ["x a y", "a b c d", "to be or not", "q"]
+    first = periodic.digests(periodic.find_runs(frame(spark, texts[1:2]))).first()
+    assert (first.n_runs, first.start, first.length, first.period, first.exponent_milli) == (2, 0, 8, 2, 4000)
+
+
+def test_odd_rows(spark):
+    odd = [*odd_rows(), (30, "a b c " * 50), (31, "z " * 999), (32, "\x1c \x1c \x0b" * 30), (33, "one two\n" * 40)]
+    odd = [(d, t if t is None or len(t) < 20_000 else t[:3000]) for d, t in odd]
+    made = rows(periodic.digests(periodic.find_runs(frame(spark, odd), periodic.loop_some)))
+    assert made == sorted((slow_row(d, t) for d, t in odd), key=repr)
+    assert periodic.digests(periodic.find_runs(frame(spark, []))).count() == 0
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    short = {d: t for d, t in docs if len(t or "") < 8000}
+    made = [r for r in rows(op11_periodic(spark, FOLDER)) if r[0] in short]
+    assert made == sorted((slow_row(d, t) for d, t in short.items()), key=repr)
+    assert sum(r[1] > 0 for r in made) > 10
+
+
+def test_very_long_texts_take_little_longer():
+    rng = random.Random(1)
+    block = [rng.randrange(50) for _ in range(30_000)]
+    expected = {0: [(0, 300_000, 1)], 1: [(0, 300_000, 30_000)]}
+    for number, words in enumerate((["a"] * 300_000, block * 10, [rng.randrange(3) for _ in range(300_000)])):
+        start = time.process_time()
+        runs = periodic.runs_of(words)
+        assert time.process_time() - start < 12
+        if number in expected:
+            assert [r for r in runs if r[1] == 300_000] == expected[number]
