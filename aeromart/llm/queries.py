@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeromart.llm import (
-    bpe, compression, decontaminate, html, language, periodic, quality_rules, sharding, simhash, toxicity, warc,
+    bpe, compression, decontaminate, html, language, packing, periodic, quality_rules, sharding, simhash, toxicity, warc,
 )
 from aeromart.llm.common import table
 
@@ -68,6 +68,10 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.find_runs(table(spark, sf_dir, "documents"), periodic.loop_some))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -80,6 +84,7 @@ QUERIES = {
     "op9_html": op9_html,
     "op10_warc": op10_warc,
     "op11_periodic": op11_periodic,
+    "op12_packing": op12_packing,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
