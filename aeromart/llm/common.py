@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,3 +112,11 @@ def local_path(path: str) -> str | None:
     if path.startswith("file:"):
         return "/" + path.removeprefix("file:").lstrip("/")
     return None if "://" in path else os.path.abspath(path)
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A file that Spark has named, for reading in a task: in a local folder that is shared, or in any store that pyarrow knows."""
+    if path.startswith("file:"):
+        path = "file:///" + path.removeprefix("file:").lstrip("/")
+    fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    return fs.open_input_file(inner)

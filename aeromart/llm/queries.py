@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeromart.llm import (
-    bpe, compression, decontaminate, html, language, packing, periodic, quality_rules, sharding, simhash, toxicity, warc,
+    bpe, compression, decontaminate, html, language, negatives, packing, periodic, quality_rules, sharding, simhash, toxicity, warc,
 )
 from aeromart.llm.common import table
 
@@ -72,6 +72,12 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seventh = F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -85,6 +91,7 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_periodic": op11_periodic,
     "op12_packing": op12_packing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -125,4 +132,25 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN c > 1 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN c > 1 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (d)""",
+    "op13_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM r a, r WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER n)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW n AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER n <= 3""",
 }
