@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exact_sum, finite, greater_mean, mean
+from ..functions.numbers import TOTAL, exact_sum, finite, greater_mean, mean
 from ..functions.text import html_escape, name_list, text_key
 from ..functions.times import in_days
 
@@ -40,9 +40,25 @@ def country_partials(
     parameters: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Sum and count of the values per country, day and parameter; NULL is a country of its own."""
-    rows = select_parameters(in_days(fact, start_day, end_day), parameters)
-    rows = rows.select("country_code", F.to_date("date_utc").alias("measure_date"), "parameter_code", finite(F.col("value")).alias("value"))
-    return exact_sum(rows.groupBy("country_code", *_DAY_AND_PARAMETER), "value", "value_sum", "value_count")
+    return _partials(select_parameters(in_days(fact, start_day, end_day), parameters))
+
+
+def hourly_partials(fact: DataFrame) -> DataFrame:
+    """The same per hour, which is what a load can bring up to date without reading the rest of the day."""
+    return _partials(fact, F.hour("date_utc").alias("measure_hour"))
+
+
+def _partials(fact: DataFrame, *more: Column) -> DataFrame:
+    day = F.to_date("date_utc").alias("measure_date")
+    rows = fact.select("country_code", day, *more, "parameter_code", finite(F.col("value")).alias("value"))
+    return exact_sum(rows.groupBy(*[c for c in rows.columns if c != "value"]), "value", "value_sum", "value_count")
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of parts of a day, added up; sums are exact, so the parts do not matter."""
+    return partials.groupBy("country_code", *_DAY_AND_PARAMETER).agg(
+        F.sum("value_sum").cast(TOTAL).alias("value_sum"), F.sum("value_count").alias("value_count")
+    )
 
 
 def country_means(partials: DataFrame) -> DataFrame:
@@ -67,8 +83,12 @@ def above_average(
     parameters: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Countries whose daily mean is above (strictly) the overall daily mean, with both means."""
+    return above_average_of(country_partials(fact, start_day, end_day, parameters))
+
+
+def above_average_of(partials: DataFrame) -> DataFrame:
+    """The same from the sums and counts of the countries, freshly made or stored."""
     day = Window.partitionBy(*_DAY_AND_PARAMETER)
-    partials = country_partials(fact, start_day, end_day, parameters)
     both = partials.select(
         "*", F.sum("value_sum").over(day).alias("base_sum"), F.sum("value_count").over(day).alias("base_count")
     )
@@ -88,16 +108,18 @@ def above_average_of_day(
     fact: DataFrame,
     day: date | str | None = None,
     parameters: str | Sequence[str] | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The same for one day, by default the newest one, without the overall mean.
 
-    The newest day comes from the partition column if the fact has one, so no measurement is read for it.
+    The newest day is a scalar subquery in the plan: on a partition column it prunes the folders when the query runs, and no
+    driver action comes before. ``days`` (one column) says which days there are, for a fact that knows them without
+    reading itself; else they are taken from the fact.
     """
     if day is None:
-        column = F.col("measure_date") if "measure_date" in fact.columns else F.to_date("date_utc")
-        day = fact.agg(F.max(column)).first()[0]
-        if day is None:
-            fact = fact.limit(0)
+        own = F.col("measure_date") if "measure_date" in fact.columns else F.to_date("date_utc")
+        known = fact.select(own.alias("day")) if days is None else days.toDF("day")
+        fact = fact.where(own == known.agg(F.max("day")).scalar())
     return above_average(fact, day, day, parameters).drop("base_value")
 
 
@@ -182,7 +204,12 @@ def address(messages: DataFrame, recipients: str | Sequence[str]) -> DataFrame:
     if not names:
         raise ValueError("no recipients")
     people = F.explode(F.array(*[F.lit(r) for r in names]))
-    return messages.withColumn("recipient", people).withColumn(
+    return addressed_to(messages.withColumn("recipient", people))
+
+
+def addressed_to(messages: DataFrame) -> DataFrame:
+    """Messages that have a ``recipient``, with their ids."""
+    return messages.withColumn(
         "alert_id",
         F.sha2(text_key(F.col("measure_date"), F.col("parameter_code"), F.col("recipient")), 256),
     )

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exact_sum, finite, mean
+from ..functions.text import name_list
+from ..functions.times import in_days
 
 
 def _location_side(dim_location: DataFrame) -> DataFrame:
@@ -56,3 +61,53 @@ def mean_by_country_and_parameter(
             mean(F.sum("_sum"), F.sum("_count")).alias("avg_value"),
         )
     )
+
+
+def _listed(column: str, names: str | Sequence[str] | None) -> Column:
+    return F.lit(True) if names is None else F.col(column).isin(name_list(names))
+
+
+def star_slice(
+    fact: DataFrame,
+    dim_location: DataFrame,
+    dim_parameter: DataFrame,
+    city: str | Sequence[str] | None = None,
+    country: str | Sequence[str] | None = None,
+    parameter: str | Sequence[str] | None = None,
+    days: DataFrame | None = None,
+    start_day: date | str | None = None,
+    end_day: date | str | None = None,
+) -> DataFrame:
+    """The part of the star that filters on its dimensions ask for: cities, names of countries, codes of parameters, days.
+
+    ``days`` is a frame with ``measure_date``, a filtered calendar say. Every filter reaches the scan of the fact. Days, given as bounds or
+    as a frame, prune its folders (the frame when the query runs, from the rows it has then). Parameters are a filter on
+    the fact's own column. Cities and countries leave some locations: the smallest and the largest of them bound the
+    column in the scan, which skips row groups, and the join beyond that is Spark's choice (a broadcast, or a shuffle with a
+    runtime Bloom filter where the fact is large). Locations and parameters without a dimension row are left out only by a filter on them.
+    """
+    rows = in_days(fact, start_day, end_day).where(_listed("parameter_code", parameter))
+    if days is not None:
+        rows = rows.join(days.select("measure_date").distinct(), "measure_date", "left_semi")
+    locations = _location_side(dim_location)
+    chosen = city is not None or country is not None
+    if chosen:
+        locations = locations.where(_listed("city", city) & _listed("country_name", country))
+        low, high = (locations.agg(bound("location_id")).scalar() for bound in (F.min, F.max))
+        rows = rows.where((F.col("location_id") >= low) & (F.col("location_id") <= high))
+    joined = rows.join(locations, "location_id", "inner" if chosen else "left")
+    parameters = _parameter_side(dim_parameter).where(_listed("parameter_code", parameter))
+    return joined.join(parameters, "parameter_code", "left")
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Days (``measure_date``) with what calendars are filtered by: weekday from 1 (Monday), ISO week, month, quarter, year."""
+    day = F.col("measure_date")
+    return days.select(
+        day,
+        (F.weekday(day) + 1).alias("weekday"),
+        F.weekofyear(day).alias("week"),
+        F.month(day).alias("month"),
+        F.quarter(day).alias("quarter"),
+        F.year(day).alias("year"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -26,7 +27,9 @@ def typed(text: Column, rule: Rule) -> Column:
     return text if rule.type == "string" else text.try_cast(rule.type)
 
 
-def problems(text: Column, rule: Rule, in_bytes: bool = False) -> Iterable[Column]:
+def problems(
+    text: Column, rule: Rule, in_bytes: bool = False, earliest: date = FIRST_DAY, latest: date = LAST_DAY
+) -> Iterable[Column]:
     """NULL or a reason, one column per check that applies to the rule."""
     if rule.required:
         yield F.when(text.isNull(), F.lit(f"{rule.name}: missing"))
@@ -43,8 +46,8 @@ def problems(text: Column, rule: Rule, in_bytes: bool = False) -> Iterable[Colum
             yield F.when(finite & (F.abs(value) >= LIMIT), F.lit(f"{rule.name}: out of range"))
     if rule.type == "utc" and rule.required:
         day = typed(text, rule).cast("date")
-        outside = (day < F.lit(FIRST_DAY)) | (day > F.lit(LAST_DAY))
-        yield F.when(outside, F.lit(f"{rule.name}: not between {FIRST_DAY} and {LAST_DAY}"))
+        outside = (day < F.lit(earliest)) | (day > F.lit(latest))
+        yield F.when(outside, F.lit(f"{rule.name}: not between {earliest} and {latest}"))
     if rule.max_length is not None:
         length = F.octet_length(text) if in_bytes else F.char_length(text)
         yield F.when(
@@ -53,18 +56,24 @@ def problems(text: Column, rule: Rule, in_bytes: bool = False) -> Iterable[Colum
 
 
 def apply_rules(
-    df: DataFrame, rules: tuple[Rule, ...], keep: tuple[str, ...] = (), in_bytes: bool = False
+    df: DataFrame,
+    rules: tuple[Rule, ...],
+    keep: tuple[str, ...] = (),
+    in_bytes: bool = False,
+    earliest: date = FIRST_DAY,
+    latest: date = LAST_DAY,
 ) -> DataFrame:
     """Cast every ruled column and add ``_ok`` and ``_reasons``; no row is dropped.
 
     Missing columns become NULL. ``in_bytes`` counts text limits in bytes instead of characters.
+    UTC times outside the days ``earliest .. latest`` are bad, which bounds the partitions that a load can touch.
     """
     present = {c.lower() for c in df.columns}
 
     def text(rule: Rule) -> Column:
         return F.col(rule.name).cast("string") if rule.name in present else F.lit(None).cast("string")
 
-    checks = [reason for rule in rules for reason in problems(text(rule), rule, in_bytes)]
+    checks = [reason for rule in rules for reason in problems(text(rule), rule, in_bytes, earliest, latest)]
     ok = reduce(and_, [check.isNull() for check in checks], F.lit(True))
     return df.select(
         *keep,

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as X
@@ -14,11 +16,16 @@ from ..functions import times as H
 from ..operators import alerts as A
 from ..operators import merge as M
 from ..operators import metrics, star
+from ..operators import variants as V
+from ..operators.coverage import gaps, islands
 from ..operators.flatten import flatten
 from ..operators.validate import problems
 from ..sources import envelope as E
 from ..sources import payloads as P
+from ..sources.loadlog import LoadLog
 from ..sources.outbox import Outbox
+from ..sources.partials import PartialStore
+from ..sources.quarantine import Quarantine
 from ..sources.staging import stage
 from ..sources.tables import FactStore, create_star_schema
 from ..streaming.measurements import start_measurement_stream
@@ -828,3 +835,195 @@ def post_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return outbox.messages().join(posted, "alert_id").select(
         "measure_date", "parameter_code", "subject", "body", "recipient", "alert_id", "posted_by"
     )
+
+
+# --- What loads keep beside the fact -------------------------------------------------------------
+
+
+def _ledger(spark: SparkSession) -> L.Ledger:
+    base = shared_dir(spark, "ledger")
+    return L.Ledger(
+        LoadLog(spark, f"{base}/log"), PartialStore(spark, f"{base}/partials"), Quarantine(spark, f"{base}/quarantine")
+    )
+
+
+@query(f"""WITH {MEANS_SQL}
+SELECT country_code, measure_date, parameter_code, avg_value, base_value FROM a""")
+def alerts_from_partials(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads with wrong clicks, then a correction, then the first half once more; the alerts come from the sums that the loads kept."""
+    first, last = _span(spark, folder)
+    end, middle = last + timedelta(hours=1), first + (last - first) / 2
+    events, store, ledger = D.located_events(spark, folder), _store(spark), _ledger(spark)
+    wrong = F.when(F.col("event_type") == "click", F.col("value") + 1000).otherwise(F.col("value"))
+    corrected = {"keys": {k: v for k, v in M.MEASURE_KEYS.items() if k != "value"} | {"date_local": "date_local"}}
+    for rows, start, stop in ((events.withColumn("value", wrong), first, end), (events, first, end), (events, first, middle)):
+        landing = _land(spark, rows.withColumn("user_id", F.col("event_id")))
+        L.load_window(spark, landing, store, start, stop, as_of=D.AS_OF, ledger=ledger, merge_options=corrected)
+    found = L.alerts_between(ledger.partials, first.date(), last.date())
+    return found.select("country_code", "measure_date", "parameter_code", *six("avg_value", "base_value"))
+
+
+@query("""WITH b AS (SELECT min(ts) AS low, max(ts) AS high FROM events),
+  m AS (SELECT low, high, low + (high - low) / 2 AS middle FROM b)
+SELECT 'a' AS load_id, 'done' AS outcome, count(*) + (SELECT count(*) FROM customer) AS rows_in, count(*) AS good,
+       (SELECT count(*) FROM customer) AS quarantined, count(*) AS inserted, 0 AS updated
+FROM events, m WHERE ts < middle
+UNION ALL SELECT 'b', 'done', count(*), count(*), 0, count(*), 0 FROM events, m WHERE ts >= middle AND ts < high
+UNION ALL SELECT 'c', 'done', count(*), count(*), 0, 0, count(*) FROM events, m WHERE ts >= middle AND ts < high
+UNION ALL SELECT 'd', 'failed', NULL, NULL, NULL, NULL, NULL""")
+def load_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two windows, the first delivered twice under one id, the second under two, and a load that finds nothing to read."""
+    first, last = _span(spark, folder)
+    middle = first + (last - first) / 2
+    events, store, ledger = D.located_events(spark, folder), _store(spark), _ledger(spark)
+    odd = D.table(spark, folder, "customer").select(D.body_of(F.col("c_custkey").alias("locationId")))
+    landing, other = shared_dir(spark, "landing"), _land(spark, events)
+    D.measurement_bodies(events).union(odd).write.text(landing)
+    for load_id, path, start, end in (
+        ("a", landing, first, middle), ("a", landing, first, middle), ("b", other, middle, last), ("c", other, middle, last),
+    ):
+        L.load_window(spark, path, store, start, end, as_of=D.AS_OF, ledger=ledger, load_id=load_id)
+    try:
+        L.load_window(spark, f"{other}-missing", store, first, last, as_of=D.AS_OF, ledger=ledger, load_id="d")
+    except Exception:  # logged as failed, which is what this query shows
+        pass
+    return ledger.log.entries().select("load_id", "outcome", "rows_in", "good", "quarantined", "inserted", "updated")
+
+
+@query("""WITH w AS (SELECT o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) + INTERVAL (o_orderkey % 24) HOUR AS s FROM orders),
+  c AS (SELECT s, s + INTERVAL (3 + k % 40) HOUR AS e FROM w WHERE k % 5 = 0),
+  r AS (SELECT s, e, max(e) OVER (ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM c),
+  n AS (SELECT s, e, sum(CASE WHEN s <= reached THEN 0 ELSE 1 END) OVER (ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM r),
+  g AS (SELECT min(s) AS window_start, max(e) AS window_end FROM n GROUP BY i)
+SELECT 'covered' AS kind, window_start, window_end FROM g
+UNION ALL SELECT 'missing', window_end, next FROM (SELECT window_end, lead(window_start) OVER (ORDER BY window_start) AS next FROM g)
+WHERE next IS NOT NULL""")
+def covered_and_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as windows of three hours to two days: what they cover between the first start and the last end, and what is left out."""
+    key = F.col("o_orderkey")
+    start = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=(key % 24).cast("int"))
+    windows = D.table(spark, folder, "orders").where(key % 5 == 0).select(start.alias("window_start"), key)
+    end = F.col("window_start") + F.make_dt_interval(hours=(3 + key % 40).cast("int"))
+    windows = windows.select("window_start", end.alias("window_end"))
+    low, high = windows.agg(F.min("window_start"), F.max("window_end")).first()
+    covered = islands(windows, low, high).select(F.lit("covered").alias("kind"), "window_start", "window_end")
+    return covered.union(gaps(windows, low, high).select(F.lit("missing"), "window_start", "window_end"))
+
+
+@query(STORED_SQL)
+def load_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Two windows that leave the start, the middle and the end out, a failed load over all, then one load of what is missing."""
+    first, last = _span(spark, folder)
+    end = last + timedelta(hours=1)
+    store, ledger = _store(spark), _ledger(spark)
+    landing = _land(spark, D.located_events(spark, folder))
+    fifth = (end - first) / 5
+    for n in (1, 3):
+        L.load_window(spark, landing, store, first + n * fifth, first + (n + 1) * fifth, as_of=D.AS_OF, ledger=ledger)
+    ledger.log.failed("all", [(first, end)], "did not finish")
+    found = L.load_missing(spark, landing, store, ledger, first, end, as_of=D.AS_OF)
+    if found.updated or L.load_missing(spark, landing, store, ledger, first, end) is not None:
+        raise AssertionError("loaded more than what was missing")
+    return _rows(store)
+
+
+@query("""SELECT CAST(c.c_custkey AS INTEGER) AS location_id, left(c.c_mktsegment, 10) AS country_code, 'pm25' AS parameter_code,
+  c.c_acctbal AS value, TIMESTAMP '2024-01-05 00:00:00' AS date_utc, 'loaded' AS state FROM customer c
+WHERE length(c.c_mktsegment) <= 9
+UNION ALL SELECT DISTINCT NULL, c.c_mktsegment, 'country: longer than 9', NULL, NULL, 'open' FROM customer c
+WHERE length(c.c_mktsegment) > 9""")
+def replay_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Countries of up to ten letters, delivered twice, under a limit of two and then of nine: who fits is loaded, the rest stays open."""
+    store, ledger = _store(spark), _ledger(spark)
+    landing = shared_dir(spark, "landing")
+    D.table(spark, folder, "customer").select(
+        D.body_of(
+            F.col("c_custkey").alias("locationId"), F.lit("pm25").alias("parameter"), F.col("c_acctbal").alias("value"),
+            F.col("c_mktsegment").alias("country"), F.struct(F.lit("2024-01-05T00:00:00+00:00").alias("utc")).alias("date"),
+        )
+    ).write.text(landing)
+    for _ in range(2):
+        L.load_window(spark, landing, store, "2024-01-05", "2024-01-06", as_of=D.AS_OF, ledger=ledger)
+    wider = tuple(replace(rule, max_length=9) if rule.name == "country" else rule for rule in S.STG_MEASUREMENTS)
+    for _ in range(2):
+        L.replay_quarantine(store, ledger, as_of=D.AS_OF, rules=wider)
+    stored = store.read().select("location_id", "country_code", "parameter_code", "value", "date_utc", F.lit("loaded").alias("state"))
+    left = P.quarantined(P.extract_measurements(ledger.quarantine.bodies(), rules=wider))
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("value", "double"), ("date_utc", "timestamp_ntz"))]
+    country = F.get_json_object("_raw", "$.country").alias("country_code")
+    still = left.select(F.lit(None).cast("int"), country, F.col("_reasons"), *nothing, F.lit("open")).distinct()
+    return stored.union(still)
+
+
+@query(f"""{MESSAGES_SQL},
+  u AS (SELECT r_regionkey AS rule_id,
+    CASE WHEN r_regionkey = 1 THEN NULL WHEN r_regionkey % 2 = 0 THEN ['view', 'click'] ELSE ['error', 'Purchase', 'signup'] END AS wanted,
+    CASE WHEN r_regionkey > 1 THEN ['ops@example.org', lower(r_name) || '@example.org'] ELSE ['ops@example.org'] END AS people,
+    CASE WHEN r_regionkey <> 0 THEN DATE '2024-01-01' + 5 * r_regionkey END AS first_day,
+    CASE WHEN r_regionkey NOT IN (0, 3) THEN DATE '2024-01-01' + 5 * r_regionkey + 9 END AS last_day FROM region),
+  p AS (SELECT * EXCLUDE people, unnest(people) AS recipient FROM u)
+SELECT p.rule_id, m.measure_date, m.parameter_code, m.countries, m.country_list, p.recipient,
+  sha256('10:' || CAST(measure_date AS VARCHAR) || length(parameter_code) || ':' || parameter_code
+         || length(p.recipient) || ':' || p.recipient) AS alert_id
+FROM m JOIN p ON (p.wanted IS NULL OR list_contains(p.wanted, m.parameter_code))
+  AND (p.first_day IS NULL OR m.measure_date >= p.first_day) AND (p.last_day IS NULL OR m.measure_date <= p.last_day)""")
+def alerts_by_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules as rows, with lists, spans of days and one rule for everything."""
+    found = L.alerts_by_rule(D.fact(spark, folder), D.alert_rules(spark, folder))
+    return found.select("rule_id", "measure_date", "parameter_code", "countries", "country_list", "recipient", "alert_id")
+
+
+@query(f"""WITH {MEANS_SQL}
+SELECT country_code, measure_date, parameter_code, avg_value
+FROM a WHERE measure_date = (SELECT max(CAST(ts AS DATE)) FROM events)""")
+def alert_newest_stored_day(spark: SparkSession, folder: str) -> DataFrame:
+    """From the stored fact: the newest day is a subquery that prunes its folders."""
+    store = _store(spark)
+    store.write(D.fact(spark, folder).withColumn("location_id", F.col("location_id").cast("int")))
+    return L.newest_alerts(store).select("country_code", "measure_date", "parameter_code", *six("avg_value"))
+
+
+@query(f"""WITH {STAR_SQL}
+SELECT f.location_id, f.parameter_code, f.value, f.date_utc, l.location_name, l.city, l.country_name,
+       'type ' || f.parameter_code AS parameter_name
+FROM f JOIN l ON l.id = f.location_id
+WHERE l.city IN ('BUILDING', 'MACHINERY') AND f.parameter_code IN ('view', 'click')
+  AND l.country_name IN ('AFRICA', 'old BUILDING', 'old MACHINERY', 'ASIA')
+  AND isodow(f.date_utc) >= 6 AND f.date_utc >= TIMESTAMP '2024-01-03' AND f.date_utc < TIMESTAMP '2024-01-26'""")
+def star_slice(spark: SparkSession, folder: str) -> DataFrame:
+    """Some cities, countries, parameters and the weekends of a span of days, from the stored fact."""
+    store = _store(spark)
+    store.write(D.fact(spark, folder).withColumn("location_id", F.col("location_id").cast("int")))
+    found = star.star_slice(
+        store.read("2024-01-03", "2024-01-25"),
+        _named_locations(spark, folder),
+        D.event_types(spark, folder),
+        city="BUILDING, MACHINERY",
+        country=["AFRICA", "old BUILDING", "old MACHINERY", "ASIA"],
+        parameter="view,click",
+        days=star.calendar(store.days()).where("weekday >= 6"),
+    )
+    return found.select(
+        "location_id", "parameter_code", "value", "date_utc", "location_name", "city", "country_name", "parameter_name"
+    )
+
+
+@query(STAGED_MEASUREMENT_SQL)
+def spread_elements(spark: SparkSession, folder: str) -> DataFrame:
+    """Bodies of a thousand measurements each, cut into elements that are dealt over tasks before they are typed."""
+    bodies = D.pretty_measurement_bodies(D.located_events(spark, folder))
+    return P.good(P.extract_measurements(bodies, spread=True))
+
+
+@query("""SELECT e.event_id AS device_serial, c.c_mktsegment AS device_model_maker,
+       CAST(c.c_acctbal AS DOUBLE) AS device_model_gain, '[' || e.event_id || ',' || e.user_id || ']' AS channels,
+       CASE WHEN e.event_id % 2 = 0 THEN '{"n":' || e.event_id || '}' END AS remark
+FROM events e JOIN customer c ON c.c_custkey = e.user_id""")
+def unnamed_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """What measurements hold beyond the fields of the tables, found from the data, amid bodies that are no JSON."""
+    bodies = D.extended_measurement_bodies(D.located_events(spark, folder))
+    texts = D.table(spark, folder, "documents").select(F.col("text").alias("body"))
+    found = V.variant_elements(bodies.union(texts))
+    named = V.named_paths(T.DataType.fromDDL(S.MEASUREMENTS_ELEMENT))
+    flat = V.flatten_variant(found, without=named)
+    return flat.withColumn("device_model_gain", F.col("device_model_gain").cast("double"))

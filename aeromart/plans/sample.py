@@ -224,3 +224,26 @@ def pretty_measurement_bodies(rows: DataFrame) -> DataFrame:
     """Bodies of many lines, each with the events of a thousand neighbouring ids at most."""
     grouped = rows.groupBy(F.floor(F.col("event_id") / 1000)).agg(F.collect_list(F.struct(*_measurement())).alias("results"))
     return grouped.select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("body"))
+
+
+def extended_measurement_bodies(rows: DataFrame) -> DataFrame:
+    """Measurements with fields that no table holds: a device, a list and a field whose type differs between rows."""
+    device = F.struct(
+        F.col("event_id").alias("serial"), F.struct(F.col("c_mktsegment").alias("maker"), F.col("c_acctbal").alias("gain")).alias("model")
+    )
+    mixed = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(F.col("event_id").alias("n"))))
+    extra = [device.alias("device"), F.array(F.col("event_id"), F.col("user_id")).alias("channels"), mixed.alias("remark")]
+    return rows.select(body_of(*_measurement(), *extra))
+
+
+def alert_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules from the regions: each asks for some event types, by one or two people, in its own span of days."""
+    key = F.col("r_regionkey")
+    first = F.when(key != 0, F.date_add(F.lit("2024-01-01").cast("date"), 5 * key))
+    return table(spark, folder, "region").select(
+        key.alias("rule_id"),
+        F.when(key != 1, F.when(key % 2 == 0, " view,click ,view").otherwise("error, Purchase ,signup")).alias("parameters"),
+        F.concat(F.lit("ops@example.org, ,"), F.when(key > 1, F.concat(F.lower("r_name"), F.lit("@example.org"))).otherwise("")).alias("recipients"),
+        first.alias("first_day"),
+        F.when(key != 3, F.date_add(first, 9)).alias("last_day"),
+    )

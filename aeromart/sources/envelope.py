@@ -32,13 +32,21 @@ def _parse(text: Column, schema: str) -> Column:
     )
 
 
-def elements(bodies: DataFrame, element_schema: str, fail_fast: bool = False) -> DataFrame:
+def elements(
+    bodies: DataFrame, element_schema: str, fail_fast: bool = False, spread: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per element: ``_element``, ``_problem`` (NULL when readable) and ``_raw`` (its text
-    when not). A body that cannot be read at all is one row of its own; an empty list is no row.
+    when not). A body that cannot be read at all is one row of its own; an empty list is no row. The columns ``keep`` of the
+    bodies stay with their elements.
 
     Bodies are parsed once with the element type. Only where that fails is the list parsed again
     as raw texts, so that one bad element does not take its neighbours along.
+
+    With ``spread``, bodies are only cut into the texts of their elements where they are read. These are dealt evenly over tasks, by
+    their size, and typed there: one huge body, which cannot be read in parts, is then no longer one task to the end.
     """
+    if spread:
+        return _checked(_spread_elements(bodies, element_schema, keep), fail_fast)
     strict = _parse(F.col(BODY), f"results array<{element_schema}>, {_CORRUPT} string")
     by_text = _parse(F.col(BODY), f"results array<string>, {_CORRUPT} string")
     item_type = f"array<struct<{ELEMENT}: {element_schema}, {PROBLEM}: string, {RAW}: string>>"
@@ -66,7 +74,7 @@ def elements(bodies: DataFrame, element_schema: str, fail_fast: bool = False) ->
     def bad_body(reason: str) -> Column:
         return F.array(item(None, F.lit(reason), F.col(BODY)))
 
-    parsed = bodies.select(BODY, strict.alias("_strict"))
+    parsed = bodies.select(*keep, BODY, strict.alias("_strict"))
     unreadable = F.col("_strict").isNull() | F.col(f"_strict.{_CORRUPT}").isNotNull()
     items = (
         F.when(
@@ -80,7 +88,31 @@ def elements(bodies: DataFrame, element_schema: str, fail_fast: bool = False) ->
         )
         .otherwise(bad_body(UNPARSABLE).cast(item_type))
     )
-    rows = parsed.select(F.inline(items))
+    return _checked(parsed.select(*keep, F.inline(items)), fail_fast)
+
+
+def _spread_elements(bodies: DataFrame, element_schema: str, keep: tuple[str, ...]) -> DataFrame:
+    text, whole = "_text", "_whole"
+    parsed = bodies.select(*keep, BODY, _parse(F.col(BODY), f"results array<string>, {_CORRUPT} string").alias("_parsed"))
+    unreadable = F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
+    listed = F.col("_parsed.results")
+    item_type = f"array<struct<{text}: string, {whole}: string>>"
+    cut = F.transform(listed, lambda t: F.struct(t.alias(text), F.lit(None).cast("string").alias(whole)))
+    reason = F.when(unreadable, UNPARSABLE).otherwise(NO_RESULTS)
+    bad = F.array(F.struct(F.col(BODY).alias(text), reason.alias(whole)))
+    items = F.when(listed.isNotNull(), cut.cast(item_type)).otherwise(bad.cast(item_type))
+    dealt = parsed.select(*keep, F.inline(items)).hint("rebalance")
+    is_object = F.coalesce(F.substring(F.trim(text), 1, 1) == "{", F.lit(False)) & F.col(whole).isNull()
+    problem = F.when(~is_object, F.coalesce(whole, F.lit(NOT_AN_OBJECT)))
+    return dealt.select(
+        *keep,
+        F.when(is_object, F.from_json(text, element_schema, {"mode": "PERMISSIVE"})).alias(ELEMENT),
+        problem.alias(PROBLEM),
+        F.when(~is_object, F.coalesce(F.col(text), F.lit("null"))).alias(RAW),
+    )
+
+
+def _checked(rows: DataFrame, fail_fast: bool) -> DataFrame:
     if fail_fast:
         # A filter, so that no later projection can prune the check away.
         rows = rows.where(

@@ -23,3 +23,20 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, where = _at(spark, path)
     fs.mkdirs(where)
+
+
+def changed_at(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 at which the file or folder was last changed."""
+    fs, where = _at(spark, path)
+    return fs.getFileStatus(where).getModificationTime() / 1000
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all below it; nothing happens if it is not there."""
+    fs, where = _at(spark, path)
+    fs.delete(where, True)
+
+
+def write_empty(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.create(where, True).close()

@@ -1,8 +1,8 @@
 """Where alert messages go: a Parquet folder that is outbox and log of sent messages in one.
 
-A message counts as sent once the job that appended it has committed, so there is no moment in which one of the
-two is written and the other is not: a run that failed appends its messages when it is repeated, a run that
-did not finds them here.
+A message counts as sent once it can be read here. Files become readable when the job that appends them commits, so there is no
+moment in which a message is in the log but was never handed on: a run that failed appends what is still missing when it is
+repeated, a run that did not finds its messages here.
 
 Runs that post the same days must follow one another.
 """
@@ -10,33 +10,53 @@ Runs that post the same days must follow one another.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.alerts import not_yet_sent
-from .files import child_names, exists
+from .files import child_names
 
+DAY = "measure_date"
 RUN = "run"
 
 
 @dataclass(frozen=True)
 class Outbox:
-    """``<path>/run=<id>``, one folder per run that had something to send."""
+    """``<path>/measure_date=…``; the column ``run`` tells the runs apart. A run that has nothing to send adds no file."""
 
     spark: SparkSession
     path: str
 
-    def messages(self) -> DataFrame | None:
-        """All messages of committed runs, with the column ``run``; None before the first."""
-        runs = [n for n in child_names(self.spark, self.path) if n.startswith(f"{RUN}=")]
-        done = [f"{self.path}/{n}" for n in runs if exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
-        return self.spark.read.option("basePath", self.path).parquet(*done) if done else None
+    def messages(self, days: Sequence[date | None] | None = None) -> DataFrame | None:
+        """Sent messages, all or those of some days, with the column ``run``; None if there are none. Other days are not listed."""
+        folders = [n for n in child_names(self.spark, self.path) if n.startswith(f"{DAY}=")]
+        if days is not None:
+            wanted = {f"{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}" for day in days}
+            folders = [n for n in folders if n in wanted]
+        if not folders:
+            return None
+        reader = self.spark.read.option("basePath", self.path)
+        stored = self.spark.read.option("basePath", self.path).parquet(f"{self.path}/{folders[0]}").schema
+        stored = T.StructType([T.StructField(f.name, T.DateType() if f.name == DAY else f.dataType) for f in stored])
+        return reader.schema(stored).parquet(*[f"{self.path}/{n}" for n in folders])
 
     def post(self, addressed: DataFrame) -> DataFrame:
-        """Append the messages whose ``alert_id`` is not here yet, and return them."""
-        sent = self.messages()
+        """Append the messages whose ``alert_id`` is not here yet, and return them.
+
+        The log is read for the days of these messages alone, and of it only the ids.
+        """
+        days = [row[0] for row in addressed.select(DAY).distinct().collect()]  # a day each, whatever the number of messages
+        sent = self.messages(days)
         new = addressed if sent is None else not_yet_sent(addressed, sent)
-        where = f"{self.path}/{RUN}={uuid.uuid4().hex}"
-        new.select(addressed.columns).dropDuplicates(["alert_id"]).write.parquet(where)
-        return self.spark.read.schema(addressed.schema).parquet(where)
+        run = uuid.uuid4().hex
+        rows = new.select(addressed.columns).dropDuplicates(["alert_id"]).withColumn(RUN, F.lit(run))
+        rows.hint("rebalance", F.col(DAY)).write.mode("append").partitionBy(DAY).parquet(self.path)
+        posted = self.messages(days)
+        if posted is None:
+            return addressed.limit(0)
+        return posted.where(F.col(RUN) == run).select(addressed.columns)

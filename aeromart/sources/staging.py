@@ -8,6 +8,7 @@ folder, and repeating a load overwrites its folder.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,12 @@ from pyspark.sql import types as T
 from ..operators.validate import OK, REASONS
 from ..schemas import Rule, no_rows, staging_schema
 from .envelope import RAW
+from .files import changed_at, child_names, exists, remove, write_empty
 
 STATUS = "_status"
 GOOD, QUARANTINE = "good", "quarantine"
+#: Name of the mark; its underscore hides it from readers.
+FINISHED = "_FINISHED"
 
 
 @dataclass(frozen=True)
@@ -28,8 +32,16 @@ class Staged:
     rules: tuple[Rule, ...]
     counts: dict[str, int]
 
-    def good(self) -> DataFrame:
-        return self._rows(GOOD, staging_schema(self.rules))
+    def finished(self) -> None:
+        """Nothing will read these rows any more."""
+        write_empty(self.spark, f"{self.path}/{FINISHED}")
+
+    def good(self, *more: str) -> DataFrame:
+        """Good rows; ``more`` are text columns that were kept beside those of the rules."""
+        schema = staging_schema(self.rules)
+        for name in more:
+            schema = schema.add(name, T.StringType())
+        return self._rows(GOOD, schema)
 
     def quarantined(self) -> DataFrame:
         schema = staging_schema(self.rules).add(REASONS, T.StringType())
@@ -42,6 +54,23 @@ class Staged:
         return stored.parquet(self.path).where(F.col(STATUS) == status).drop(STATUS)
 
 
+def clean_staging(spark: SparkSession, base: str, min_age: timedelta, now: datetime | None = None) -> list[str]:
+    """Remove the staging folders below ``base`` (one for each load) whose load is over; returns their names.
+
+    Rows are read from a staging folder until its load has merged them, so a folder without the mark that ``finished`` leaves stays for
+    ``min_age`` after it was last written to, which must be longer than any load takes. Nothing else below ``base`` is touched.
+    """
+    at, gone = (now or datetime.now(timezone.utc)).timestamp(), []
+    for name in child_names(spark, base):
+        folder = f"{base}/{name}"
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            continue
+        if exists(spark, f"{folder}/{FINISHED}") or at - changed_at(spark, f"{folder}/_SUCCESS") > min_age.total_seconds():
+            remove(spark, folder)
+            gone.append(name)
+    return sorted(gone)
+
+
 def stage(extracted: DataFrame, path: str, rules: tuple[Rule, ...]) -> Staged:
     """Truncate and write; the counts are taken on the way, without another pass."""
     seen = Observation()

@@ -10,9 +10,11 @@ Loads that touch the same day, or the same dimension, must run one after the oth
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
@@ -22,10 +24,11 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.times import as_day, in_days
 from ..operators.merge import INSERTED, KEPT, MEASURE_KEYS, UPDATED, merge_measures
-from .files import child_names, exists, make_dir
+from .files import changed_at, child_names, exists, make_dir, remove, write_empty
+from .partials import DAY, HOUR, PartialStore
 
-DAY, HOUR = "measure_date", "measure_hour"
 _ACTION = "_action"
+_HOLDS = "_holds"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -68,6 +71,56 @@ class Dimension:
         )
         return self.current()
 
+    def numbers(self) -> list[int]:
+        """Committed snapshots, the newest first."""
+        names = child_names(self.spark, self.path)
+        found = sorted((int(n.split("=")[1]) for n in names if n.startswith("snapshot=")), reverse=True)
+        return [n for n in found if exists(self.spark, f"{self.path}/snapshot={n}/_SUCCESS")]
+
+    @contextmanager
+    def reading(self) -> Iterator[DataFrame]:
+        """The current snapshot, held for as long as the block runs: ``clean`` leaves it alone, however old it gets.
+
+        The hold is written before the snapshot is looked up again, so a clean-up in between is noticed.
+        """
+        while True:
+            number = self._newest()
+            hold = f"{self.path}/{_HOLDS}/{number}-{uuid.uuid4().hex}"
+            write_empty(self.spark, hold)
+            if exists(self.spark, f"{self.path}/snapshot={number}/_SUCCESS"):
+                break
+            remove(self.spark, hold)
+        try:
+            yield self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={number}")
+        finally:
+            remove(self.spark, hold)
+
+    def clean(self, min_age: timedelta = timedelta(days=1), max_hold: timedelta = timedelta(days=7), now: datetime | None = None) -> list[int]:
+        """Remove snapshots that nobody can still be reading; returns their numbers.
+
+        A snapshot stays while it is the current one, while a reader holds it, and for ``min_age`` after it was superseded, which is
+        longer than any query that took ``current()`` without a hold may run. Holds older than ``max_hold`` are of
+        readers that died. Snapshots of writers that died, which no reader ever sees, go with the same age.
+        """
+        at = (now or datetime.now(timezone.utc)).timestamp()
+        holds = child_names(self.spark, f"{self.path}/{_HOLDS}")
+        dead = {h for h in holds if at - changed_at(self.spark, f"{self.path}/{_HOLDS}/{h}") > max_hold.total_seconds()}
+        for hold in dead:
+            remove(self.spark, f"{self.path}/{_HOLDS}/{hold}")
+        held = {int(h.split("-")[0]) for h in holds if h not in dead}
+        committed = self.numbers()
+        superseded = [changed_at(self.spark, f"{self.path}/snapshot={n}/_SUCCESS") for n in committed[:-1]]
+        old = [n for n, since in zip(committed[1:], superseded) if n not in held and at - since > min_age.total_seconds()]
+        gone = list(old)
+        for number in old:
+            remove(self.spark, f"{self.path}/snapshot={number}")
+        every = {int(n.split("=")[1]) for n in child_names(self.spark, self.path) if n.startswith("snapshot=")}
+        for number in every - set(committed):
+            if committed and number < committed[0] and at - changed_at(self.spark, f"{self.path}/snapshot={number}") > min_age.total_seconds():
+                remove(self.spark, f"{self.path}/snapshot={number}")
+                gone.append(number)
+        return sorted(gone)
+
 
 @dataclass(frozen=True)
 class FactStore:
@@ -114,10 +167,17 @@ class FactStore:
         days = sorted(n for n in names if first <= n <= last and not n.endswith(_NULL_PARTITION))
         return in_days(self._folders(days), start_day, end_day)
 
-    def newest_day(self) -> date | None:
-        """From the folder names."""
+    def day_list(self) -> list[date]:
+        """The stored days, from the folder names."""
         names = [n.split("=")[1] for n in child_names(self.spark, self.path) if n.startswith(f"{DAY}=")]
-        return max((date.fromisoformat(n) for n in names if n != _NULL_PARTITION), default=None)
+        return sorted(date.fromisoformat(n) for n in names if n != _NULL_PARTITION)
+
+    def days(self) -> DataFrame:
+        """The same as a frame of one column, for subqueries and joins that prune the fact."""
+        return self.spark.createDataFrame([(day,) for day in self.day_list()], f"{DAY} date")
+
+    def newest_day(self) -> date | None:
+        return max(self.day_list(), default=None)
 
     def _folders(self, names: list[str]) -> DataFrame:
         """Just these folders below the root: no other is listed."""
@@ -131,6 +191,14 @@ class FactStore:
             ["/".join(_folder(c, v) for c, v in zip(self.partitions, value)) for value in values]
         )
 
+    def partition_list(self) -> list[tuple]:
+        """All stored partitions, from the folder names."""
+        days = [(day,) for day in self.day_list()]
+        if not self.hourly:
+            return days
+        below = {day: child_names(self.spark, f"{self.path}/{_folder(DAY, day)}") for (day,) in days}
+        return [(day, int(n.split("=")[1])) for (day,) in days for n in below[day] if n.startswith(f"{HOUR}=")]
+
     def _with_partitions(self, rows: DataFrame, ts: str = "date_utc") -> DataFrame:
         rows = rows.withColumn(DAY, F.to_date(ts))
         return rows.withColumn(HOUR, F.hour(ts)) if self.hourly else rows
@@ -167,7 +235,7 @@ class FactStore:
         days = self._with_partitions(staged.select(ts), ts).select(*self.partitions).distinct()
         return [tuple(row) for row in days.collect()]
 
-    def _present(self, touched: list[tuple]) -> list[tuple]:
+    def present(self, touched: list[tuple]) -> list[tuple]:
         """Those that exist already: one listing, or one per touched day of an hourly table."""
 
         days = set(child_names(self.spark, self.path))
@@ -199,10 +267,13 @@ class FactStore:
         staged: DataFrame,
         keys: Mapping[str, str] | None = None,
         merge: Callable[..., DataFrame] = merge_measures,
+        partials: PartialStore | None = None,
         **options,
     ) -> dict[str, int]:
         """Merge staged measurements and return how many rows were kept, updated and inserted.
 
+        ``partials`` are brought up to date for the partitions that the merge touches.
+
         ``staged`` is read several times and must give the same rows each time, as files do.
         Partitions that do not exist yet need no join: their rows go through the same merge
         against an empty target.
@@ -214,7 +285,7 @@ class FactStore:
         touched = self._touched(staged, ts)
         if not touched:
             return {KEPT: 0, UPDATED: 0, INSERTED: 0}
-        present = self._present(touched)
+        present = self.present(touched)
         known = set(present)
         fresh = [v for v in touched if v not in known]
         options = {"keys": keys, "action": _ACTION, **options}
@@ -231,7 +302,11 @@ class FactStore:
             parts.append(merge(S.no_rows(self.spark, self.schema).limit(0), new, **options))
         rows = reduce(DataFrame.unionByName, parts)
         counts = Observation()
+        if partials is not None:
+            partials.expect(touched)
         self.write(rows, counts)
+        if partials is not None:
+            partials.repair(self)
         return dict(counts.get)
 
 

@@ -7,13 +7,13 @@ its own rows and inserts none again.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.loads import LoadReport, load_bodies
+from ..plans.loads import Ledger, LoadReport, load_bodies
 from ..sources.envelope import BODY
 from ..sources.tables import FactStore
 
@@ -58,17 +58,38 @@ def start_measurement_stream(
     interval: str = "1 hour",
     max_files_per_batch: int | None = None,
     reports: list[LoadReport] | None = None,
+    ledger: Ledger = Ledger(),
+    name: str | None = None,
+    max_age_days: int | None = None,
+    max_ahead_days: int | None = None,
     **source_options,
 ) -> StreamingQuery:
     """Start the stream: over the files that are there, or every ``interval`` for good.
 
     ``source_options`` go to ``stream_bodies`` (``whole_files``, ``max_file_age``, ``archive_dir``).
 
+    With a log in the ``ledger``, each batch is one load under the id ``<name>/<batch number>``: a batch that is replayed after it was logged
+    is not loaded again. ``name`` says which stream it is, over all its restarts; by default it is the checkpoint's path.
+
+    ``max_age_days`` and ``max_ahead_days`` bound the times of a batch around the day it is loaded: what is outside goes to
+    quarantine, so one odd file cannot touch the partitions of a century.
+
     ``checkpoint`` and ``stage_dir`` must be on storage that all executors share.
     """
 
+    whole_files = bool(source_options.get("whole_files"))
+
     def load(batch: DataFrame, number: int) -> None:
-        report = load_bodies(batch, store, f"{stage_dir}/batch={number}", as_of=as_of)
+        today = (as_of if isinstance(as_of, datetime) else datetime.now(timezone.utc)).date()
+        bounds = {}
+        if max_age_days is not None:
+            bounds["earliest"] = today - timedelta(days=max_age_days)
+        if max_ahead_days is not None:
+            bounds["latest"] = today + timedelta(days=max_ahead_days)
+        report = load_bodies(
+            batch, store, f"{stage_dir}/batch={number}", as_of=as_of, ledger=ledger, load_id=f"{name or checkpoint}/{number}",
+            spread=whole_files, **bounds,
+        )
         if reports is not None:
             reports.append(report)
 

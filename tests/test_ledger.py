@@ -1,0 +1,312 @@
+"""What loads keep beside the fact: sums, a log, what is missing, a quarantine that can be replayed."""
+
+import random
+from collections import Counter
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from aeromart import schemas as S
+from aeromart.operators import alerts as A
+from aeromart.operators import coverage as C
+from aeromart.operators import merge as M
+from aeromart.plans import loads as L
+from aeromart.sources import payloads as P
+from aeromart.sources.loadlog import LoadLog
+from aeromart.sources.partials import PartialStore
+from aeromart.sources.quarantine import Quarantine
+from aeromart.sources.tables import FactStore
+from aeromart.streaming.measurements import start_measurement_stream
+from tests.conftest import plan, rows
+from tests.test_loads import AS_OF, FIRST, land, listed_files, measurement, stored
+
+HOUR, DAY = timedelta(hours=1), timedelta(days=1)
+
+
+@pytest.fixture(params=[False, True], ids=["daily", "hourly"])
+def store(request, spark, tmp_path):
+    made = FactStore(spark, str(tmp_path / "fact"), hourly=request.param)
+    made.create_if_absent()
+    return made
+
+
+@pytest.fixture
+def ledger(spark, tmp_path):
+    base = str(tmp_path / "ledger")
+    return L.Ledger(LoadLog(spark, f"{base}/log"), PartialStore(spark, f"{base}/partials"), Quarantine(spark, f"{base}/bad"))
+
+
+def recomputed(store):
+    return rows(A.country_partials(store.read()).select("country_code", "measure_date", "parameter_code", "value_sum", "value_count"))
+
+
+def kept(ledger, *days):
+    return rows(ledger.partials.read(*days).select("country_code", "measure_date", "parameter_code", "value_sum", "value_count"))
+
+
+def some_measurements(seed, n=40):
+    rng = random.Random(seed)
+    return [
+        {**measurement(FIRST + timedelta(hours=rng.randrange(60)), round(rng.uniform(-5, 50), 3), rng.randrange(4), rng.choice(["AA", "BB", None])),
+         "parameter": rng.choice(["pm1", "pm25"])}
+        for _ in range(n)
+    ]
+
+
+def test_partials_follow_loads_corrections_and_reloads(spark, tmp_path, store, ledger):
+    span = (FIRST, FIRST + 3 * DAY)
+    by_place = {"merge_options": {"keys": {k: v for k, v in M.MEASURE_KEYS.items() if k != "value"}}}
+    for number, options in enumerate(({}, {}, by_place, by_place)):
+        path = land(tmp_path / "landing", f"{number}.json", some_measurements(number % 3))
+        L.load_window(spark, path, store, *span, as_of=AS_OF, ledger=ledger, **options)
+        assert kept(ledger) == recomputed(store)
+    assert rows(L.alerts_between(ledger.partials)) == rows(A.above_average(store.read())) != []
+    one = FIRST.date() + DAY
+    assert rows(L.alerts_between(ledger.partials, one, one, "pm1")) == rows(A.above_average(store.read(), one, one, "pm1"))
+    assert {r[1] for r in kept(ledger, one, one)} == {one}
+
+
+def test_alerts_from_partials_read_no_fact_file_and_only_their_days(spark, tmp_path, store, ledger):
+    found = [measurement(FIRST + d * DAY, float(v), v) for d in range(3) for v in (1, 2, 9)]
+    path = land(tmp_path / "landing", "a.json", [{**m, "country": f"C{m['locationId']}"} for m in found])
+    L.load_window(spark, path, store, FIRST, FIRST + 3 * DAY, ledger=ledger)
+    day = (FIRST + DAY).date()
+    alerts = L.daily_alerts(ledger.partials, day, recipients="a@b")
+    assert rows(alerts) == rows(L.daily_alerts(store, day, recipients="a@b")) != []
+    assert listed_files(alerts) and all(f"partials/measure_date={day}" in f for f in listed_files(alerts))
+
+
+def test_a_load_refreshes_only_the_partitions_it_touches(spark, tmp_path, store, ledger, monkeypatch):
+    L.load_window(spark, land(tmp_path / "l", "a", [measurement(FIRST + h * HOUR, 1.0) for h in range(50)]), store, FIRST, FIRST + 3 * DAY, ledger=ledger)
+    seen, plain = [], FactStore.read_partitions
+    monkeypatch.setattr(FactStore, "read_partitions", lambda self, values: seen.append(values) or plain(self, values))
+    L.load_window(spark, land(tmp_path / "l", "b", [measurement(FIRST + 30 * HOUR, 5.0)]), store, FIRST, FIRST + 3 * DAY, ledger=ledger)
+    touched = [((FIRST + DAY).date(), 6)] if store.hourly else [((FIRST + DAY).date(),)]
+    assert seen == [touched, touched]  # the merge, then the sums
+    assert kept(ledger) == recomputed(store)
+
+
+def test_a_load_that_dies_before_the_sums_are_done_is_noticed_and_repaired(spark, tmp_path, store, ledger, monkeypatch):
+    span = (FIRST, FIRST + DAY)
+    L.load_window(spark, land(tmp_path / "l", "a", [measurement(FIRST, 1.0)]), store, *span, ledger=ledger)
+    with monkeypatch.context() as m:
+        m.setattr(PartialStore, "_refresh", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            L.load_window(spark, land(tmp_path / "l", "b", [measurement(FIRST, 2.0)]), store, *span, ledger=ledger, load_id="b")
+    with pytest.raises(RuntimeError, match="repair"):
+        ledger.partials.read()
+    # another load, of another hour, does what was left open as well
+    L.load_window(spark, land(tmp_path / "l", "c", [measurement(FIRST + HOUR, 3.0)]), store, *span, ledger=ledger)
+    assert kept(ledger) == recomputed(store)
+    assert rows(ledger.log.entries().where("load_id = 'b'"), "outcome") == [("failed",)]
+
+
+def test_partials_of_a_fact_that_was_there_before(spark, tmp_path, store, ledger):
+    L.load_window(spark, land(tmp_path / "l", "a", some_measurements(5)), store, FIRST, FIRST + 3 * DAY)
+    ledger.partials.rebuild(store)
+    assert kept(ledger) == recomputed(store) != []
+
+
+def test_the_log_counts_each_load_once(spark, tmp_path, store, ledger):
+    path = land(tmp_path / "l", "a", [measurement(FIRST, 1.0), measurement(FIRST, 2.0, country="TOO")], "garbage")
+    first = L.load_window(spark, path, store, FIRST, FIRST + HOUR, as_of=AS_OF, ledger=ledger, load_id="x")
+    assert first == L.LoadReport(1, 2, 0, 0, 1)
+    assert L.load_window(spark, path, store, FIRST, FIRST + HOUR, as_of=AS_OF, ledger=ledger, load_id="x") == first
+    (entry,) = ledger.log.entries().collect()
+    assert (entry.outcome, entry.rows_in, entry.good, entry.quarantined, entry.inserted) == ("done", 3, 1, 2, 1)
+    assert [tuple(w) for w in entry.windows] == [(FIRST, FIRST + HOUR)] and entry.finished_at is not None
+    again = L.load_window(spark, path, store, FIRST, FIRST + HOUR, as_of=AS_OF, ledger=ledger)
+    assert (again.updated, again.inserted) == (1, 0) and ledger.log.entries().count() == 2
+
+
+def test_a_failed_load_is_logged_and_may_run_again(spark, tmp_path, store, ledger):
+    path = land(tmp_path / "l", "a", [measurement(FIRST, 1.0)], "garbage")
+    for options in ({"fail_fast": True}, {"fail_fast": True}, {}):
+        try:
+            L.load_window(spark, path, store, FIRST, FIRST + HOUR, ledger=ledger, load_id="x", **options)
+        except Exception as problem:
+            assert "unparsable" in str(problem)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        L.load_window(spark, str(tmp_path / "nowhere"), store, FIRST, FIRST + HOUR, ledger=ledger, load_id="y")
+    assert rows(ledger.log.entries(), "load_id", "outcome") == [("x", "done"), ("x", "failed"), ("y", "failed")]
+    assert rows(ledger.log.windows()) == [(FIRST, FIRST + HOUR)]
+
+
+def test_stream_batches_are_logged_once_and_not_loaded_again(spark, tmp_path, ledger):
+    store = FactStore(spark, str(tmp_path / "fact"))
+    store.create_if_absent()
+    landing = tmp_path / "landing"
+
+    def run(checkpoint):
+        start_measurement_stream(
+            spark, str(landing), store, str(tmp_path / checkpoint), str(tmp_path / "staging"), as_of=AS_OF, ledger=ledger, name="s",
+            max_age_days=30, max_ahead_days=1,
+        ).awaitTermination()
+
+    old = measurement(FIRST - timedelta(days=60), 5.0)
+    land(landing, "a.json", [measurement(FIRST, 1.0), old, measurement(FIRST + timedelta(days=60), 6.0)])
+    run("c1")
+    before = stored(store)
+    assert len(before) == 1
+    run("c2")  # another checkpoint: the same file is batch 0 once more
+    assert stored(store) == before and rows(store.read(), "updated_at") == [(None,)]
+    assert rows(ledger.log.entries(), "load_id", "good", "quarantined") == [("s/0", 1, 2)]
+    assert {r[0] for r in rows(ledger.quarantine.entries(), "_reasons")} == {"date_utc: not between 2023-12-02 and 2024-01-02"}
+    land(landing, "b.json", [measurement(FIRST, 2.0)])
+    run("c1")
+    assert rows(ledger.log.entries(), "load_id", "inserted") == [("s/0", 1), ("s/1", 1)]
+    assert kept(ledger) == recomputed(store)
+
+
+# --- Coverage ------------------------------------------------------------------------------------
+
+
+def slow_gaps(windows, start, end):
+    """By a plain loop over the sorted windows."""
+    at, found = start, []
+    for low, high in sorted(windows):
+        if low >= end:
+            break
+        if low > at:
+            found.append((at, low))
+        at = max(at, high)
+    if at < end:
+        found.append((at, end))
+    return found
+
+
+def in_order(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def as_frame(spark, windows):
+    return spark.createDataFrame(windows, "window_start timestamp_ntz, window_end timestamp_ntz")
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_gaps_equal_a_plain_loop(spark, seed):
+    rng = random.Random(seed)
+    start, end = FIRST, FIRST + timedelta(days=9)
+    windows = []
+    for _ in range(seed * 12):
+        low = FIRST + timedelta(minutes=30 * rng.randrange(-60, 480))
+        windows.append((low, low + timedelta(minutes=30 * rng.choice([1, 2, 5, 30, 100]))))
+    want = slow_gaps(windows, start, end)
+    assert in_order(C.gaps(as_frame(spark, windows), start, end)) == want
+    covered = in_order(C.islands(as_frame(spark, windows), start, end))
+    assert slow_gaps(covered, start, end) == want
+    assert all(a[1] < b[0] for a, b in zip(covered, covered[1:]))
+
+
+def test_gaps_at_the_edges(spark):
+    ask = lambda *w: in_order(C.gaps(as_frame(spark, list(w)), FIRST, FIRST + DAY))
+    assert ask() == [(FIRST, FIRST + DAY)]
+    assert ask((FIRST, FIRST + DAY)) == ask((FIRST - DAY, FIRST + 5 * DAY)) == []
+    assert ask((FIRST, FIRST + 2 * HOUR), (FIRST + 2 * HOUR, FIRST + DAY)) == []  # they touch
+    assert ask((FIRST - DAY, FIRST), (FIRST + DAY, FIRST + 2 * DAY)) == [(FIRST, FIRST + DAY)]
+    with pytest.raises(ValueError):
+        C.gaps(as_frame(spark, []), FIRST, FIRST)
+
+
+def test_a_backfill_loads_only_what_is_missing(spark, tmp_path, store, ledger):
+    hours = 30
+    path = land(tmp_path / "l", "a", [measurement(FIRST + h * HOUR, float(h)) for h in range(hours)])
+    done = [(2, 5), (4, 7), (7, 8), (20, 26)]
+    for low, high in done:
+        L.load_window(spark, path, store, FIRST + low * HOUR, FIRST + high * HOUR, as_of=AS_OF, ledger=ledger)
+    ledger.log.failed("broken", [(FIRST, FIRST + hours * HOUR)], "no")
+    before = rows(store.read().where("updated_at is not null"))
+    report = L.load_missing(spark, path, store, ledger, FIRST, FIRST + hours * HOUR, as_of=AS_OF)
+    covered = {h for low, high in done for h in range(low, high)}
+    assert (report.inserted, report.updated) == (hours - len(covered), 0)
+    assert len(stored(store)) == hours and rows(store.read().where("updated_at is not null")) == before
+    assert L.load_missing(spark, path, store, ledger, FIRST, FIRST + hours * HOUR) is None
+    assert L.load_missing(spark, path, store, ledger, FIRST, FIRST + (hours + 1) * HOUR).good == 0
+    assert kept(ledger) == recomputed(store)
+
+
+# --- Quarantine ----------------------------------------------------------------------------------
+
+
+def test_a_replay_loads_exactly_what_new_rules_free_and_only_once(spark, tmp_path, store, ledger):
+    bad = [measurement(FIRST, 1.0, country="AAA"), measurement(FIRST, 2.0, 2, "BBBB"), {"locationId": 3}, "text", None]
+    path = land(tmp_path / "l", "a", [measurement(FIRST, 9.0), *bad], "garbage", '{"detail":"x"}')
+    for _ in range(2):
+        L.load_window(spark, path, store, FIRST, FIRST + DAY, as_of=AS_OF, ledger=ledger)
+    assert ledger.quarantine.open().count() == 7
+    same = L.replay_quarantine(store, ledger)
+    assert (same.good, same.quarantined, ledger.quarantine.open().count()) == (0, 7, 7)
+    wider = lambda n: tuple(replace(r, max_length=n) if r.name == "country" else r for r in S.STG_MEASUREMENTS)
+    freed = L.replay_quarantine(store, ledger, as_of=AS_OF, rules=wider(3))
+    assert (freed.good, freed.inserted) == (1, 1)
+    again = L.replay_quarantine(store, ledger, as_of=AS_OF, rules=wider(3))
+    assert (again.good, again.inserted, again.updated) == (0, 0, 0)
+    assert ledger.quarantine.open().count() == 6 and ledger.quarantine.entries().count() == 7
+    assert L.replay_quarantine(store, ledger, as_of=AS_OF, rules=wider(4)).inserted == 1
+    assert [(i, v) for i, v, _ in stored(store)] == [(1, 1.0), (1, 9.0), (2, 2.0)]
+    assert rows(store.read().where("updated_at is not null").select("value")) == [(9.0,)]
+    # delivered once more, a closed element is known: it is not open again
+    L.load_window(spark, path, store, FIRST, FIRST + DAY, as_of=AS_OF, ledger=ledger)
+    assert ledger.quarantine.open().count() == 5
+    assert kept(ledger) == recomputed(store)
+
+
+def test_a_replay_that_died_before_closing_adds_nothing_twice(spark, tmp_path, store, ledger, monkeypatch):
+    path = land(tmp_path / "l", "a", [measurement(FIRST, 1.0, country="AAA")])
+    L.load_window(spark, path, store, FIRST, FIRST + DAY, as_of=AS_OF, ledger=ledger)
+    rules = tuple(replace(r, max_length=5) if r.name == "country" else r for r in S.STG_MEASUREMENTS)
+    with monkeypatch.context() as m:
+        m.setattr(Quarantine, "close", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            L.replay_quarantine(store, ledger, rules=rules)
+    assert L.replay_quarantine(store, ledger, rules=rules).inserted == 0
+    assert len(stored(store)) == 1 and ledger.quarantine.open().count() == 0
+
+
+def test_an_empty_quarantine(spark, store, ledger):
+    assert ledger.quarantine.open().count() == ledger.quarantine.bodies().count() == 0
+    assert L.replay_quarantine(store, ledger) == L.LoadReport(0, 0, 0, 0, 0)
+
+
+# --- Elements dealt over tasks -------------------------------------------------------------------
+
+
+def test_spread_elements_equal_the_others(spark):
+    bodies = [
+        '{"results":[]}', "garbage", '{"detail":"x"}', '{"results":5}', '{"results":null}', "{}", "[1]", '"x"', '{"results":["t",3,null,{}]}',
+        '{"results":[{"id":"1","name":"a"},{"id":"x"},{"id":"2","coordinates":null,"sources":[{"k":1}]},{"id":{"deep":1}}]}',
+        '{"results":[{"id":"3"}', '{"results":[{"id":"4","coordinates":{"latitude":"1.5"}}],"meta":{"found":1}}',
+    ]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    for in_bytes in (False, True):
+        assert rows(P.extract_locations(df, spread=True, in_bytes=in_bytes)) == rows(P.extract_locations(df, in_bytes=in_bytes))
+    with pytest.raises(Exception, match="unparsable body"):
+        P.extract_locations(df.where("body = 'garbage'"), spread=True, fail_fast=True).collect()
+
+
+def test_one_huge_body_is_typed_by_several_tasks(spark, tmp_path):
+    import json
+
+    huge = [measurement(FIRST + timedelta(seconds=i), float(i)) for i in range(6000)]
+    folder = tmp_path / "pretty"
+    folder.mkdir()
+    (folder / "huge.json").write_text(json.dumps({"results": huge}, indent=2))
+    for k in range(3):
+        (folder / f"small{k}.json").write_text(json.dumps({"results": [measurement(FIRST, -1.0 - k)]}, indent=2))
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {key: spark.conf.get(key) for key in keys}
+    for key in keys:
+        spark.conf.set(key, "20KB")  # as a body of gigabytes would meet the defaults
+    try:
+        from aeromart.sources.envelope import read_bodies
+
+        typed = lambda spread: P.extract_measurements(read_bodies(spark, str(folder), True), spread=spread)
+        per_task = lambda df: list(Counter(r.task for r in df.withColumn("task", F.spark_partition_id()).collect()).values())
+        dealt = per_task(typed(True))
+        assert max(per_task(typed(False))) >= 6000
+        assert sum(dealt) == 6003 and len(dealt) == 3 and max(dealt) < 2500
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)

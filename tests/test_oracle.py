@@ -13,7 +13,8 @@ FOLDER = "/root/testdata/sf0.001"
 EAGER = {
     "refresh_locations", "refresh_parameters", "landing_files", "staging_truncates",
     "fact_partitions", "load_range", "load_windows", "load_reports", "stream_load",
-    "daily_alert_run", "whole_run",
+    "daily_alert_run", "whole_run", "alerts_from_partials", "load_log", "load_missing", "replay_quarantine",
+    "alert_newest_stored_day",
 }
 
 
