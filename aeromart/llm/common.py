@@ -8,8 +8,10 @@ import uuid
 from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +122,63 @@ def opened(path: str) -> pa.NativeFile:
         path = "file:///" + path.removeprefix("file:").lstrip("/")
     fs, inner = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
     return fs.open_input_file(inner)
+
+
+Blocks = list[tuple[int, list[str]]]
+
+
+def in_blocks(df: DataFrame, group: str, rows: int, name: str) -> Blocks:
+    """``df``, a written table, as files in blocks of about ``rows`` rows that tasks read one after another.
+
+    Rows of one ``group`` (a column of at most 2^16 numbers, in whose order they are dealt) stand in one block. Of each block: the
+    first group that it may hold, up to that of the next one, and its files.
+    """
+    counts = df.groupBy(group).count().orderBy(group).collect()
+    firsts, held, dealt = [0], 0, []
+    for value, count in counts:
+        if held and held + count > rows:
+            firsts.append(value)
+            held = 0
+        held += count
+        dealt.append((value, len(firsts) - 1))
+    if len(firsts) == 1:
+        return [(0, df.inputFiles())] if dealt else []
+    path, spark = shared_dir(df.sparkSession, name), df.sparkSession
+    places = spark.createDataFrame(dealt, f"{group} long, block int")
+    df.join(F.broadcast(places), group).write.partitionBy("block").parquet(path)
+    return [(first, spark.read.parquet(f"{path}/block={b}").inputFiles()) for b, first in enumerate(firsts)]
+
+
+def block_of(blocks: Blocks, groups: np.ndarray) -> np.ndarray:
+    """The block that would hold each group."""
+    return np.searchsorted(np.array([first for first, _ in blocks[1:]], np.int64), groups, side="right")
+
+
+def read_files(paths: list[str], columns: list[str]) -> pa.Table:
+    """Files that Spark has written, in a task."""
+    tables = []
+    for path in paths:
+        with opened(path) as source:
+            tables.append(pq.read_table(source, columns=columns))
+    return pa.concat_tables(tables)
+
+
+def map_chunks(
+    df: DataFrame, per_chunk: Callable[[pa.Table], pa.Table], schema: str, chunk_bytes: int = BATCH_BYTES
+) -> DataFrame:
+    """One result for each ``chunk_bytes`` or so of rows of a task, for work that reads files for every chunk."""
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size >= chunk_bytes:
+                yield from per_chunk(pa.Table.from_batches(held)).to_batches()
+                held, size = [], 0
+        if held:
+            yield from per_chunk(pa.Table.from_batches(held)).to_batches()
+
+    return df.mapInArrow(run, schema)

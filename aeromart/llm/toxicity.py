@@ -1,18 +1,26 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models, toxic and ordinary, give the probability of a word byte by byte, each byte given those before it in the word
-(up to ``ORDER``; an ended word continues with zero). Counts are Kneser-Ney continuation counts: a word counts once for
-every different word to its left, so a passage that is copied a thousand times counts once. Discounting hands the
-discounted mass of each class to a backoff that both classes share, made of their pooled counts: an expression that is
-rare in both has the same probability in both and says nothing, while a rare ending of a known toxic stem still says
-what the stem says.
-
-The log-likelihoods of a text are compared per word, so length plays no part: the mean difference over the text, the
-differences of its ``STRONGEST`` strongest words, since a few words make a long text toxic, and the mean of what exceeds ``STRONG``. A
-logistic function of these, fitted on labelled rows that gave no counts, is the score.
+Two models, toxic and ordinary, give the probability of a word byte by byte, each byte given those before it in the word. A word
+of ``ORDER`` bytes and more goes on in inner pieces: a mark, the three bytes before, and four new bytes (an ended word continues with
+zero), so every byte of a word of any length, and of a text that is written without spaces, is counted and scored. Counts are
+Kneser-Ney continuation counts: a piece counts once for every different piece to its left, so a passage that is copied a thousand
+times counts once. Discounting hands the discounted mass of each class to a backoff that both classes share, made of their
+pooled counts: an expression that is rare in both has the same probability in both and says nothing, while a rare ending of a known
+toxic stem still says what the stem says. Phrases are a level above: a piece given the one to its left, counted once for every
+different piece before the two, backing off to pooled counts of the phrase and from there to the share of the piece.
+
+The log-likelihoods of a text are compared per piece, so length plays no part: the mean difference over the text, the
+differences of its ``STRONGEST`` strongest pieces, since a few words make a long text toxic, the mean of what exceeds ``STRONG``, and the same
+for phrases. A logistic function of these, fitted on labelled rows that gave no counts, is the score.
+
+Both models hold all counts of the labelled rows that they learn from. Stems that occur with two different left pieces at most, in both
+classes together, are not stored: their whole counts are discounted, so they and all that they begin have the probability of a
+stem that was never seen, and what they hand to the backoff is part of the stems that they end. Phrases seen less than three times in
+each class say nothing either. Stems and phrases are files in the shared folder, in blocks of ``BLOCK`` rows; a task holds one block of each and
+texts go through one block after another, so their number has no bound.
 
 A word is a run of ASCII letters and digits and of characters beyond U+00BF other than general punctuation; A-Z and
-À-Þ are lowered. Its first ORDER bytes are held as one number, and texts are scored batch by batch on arrays.
+À-Þ are lowered. Pieces are held as numbers, and texts are scored batch by batch on arrays.
 
 Nothing but the text enters a score. Null and empty texts, and texts without words, score as a text without evidence. Without labels of
 both classes, the score is a constant. Repeated rows each give a row. Rows with a null id count as held out.
@@ -24,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import in_fold, map_texts, most_frequent, written
+from aeromart.llm.common import Blocks, block_of, in_blocks, in_fold, map_chunks, map_texts, read_files, written
 from aeromart.llm.labelled import fit, labelled
 from aeromart.llm.logistic import Logistic
 
@@ -37,11 +45,15 @@ ORDER = 8
 DISCOUNTS = np.array([0.0, 1.0, 2.0, 2.5])
 STRONGEST = 4
 WEAKEST, STRONG = 0.5, 1.5
-WIDTH = STRONGEST + 2
+#: The same for phrases: how many, and from where on.
+PHRASES, PHRASE = 2, 1.0
+WIDTH = STRONGEST + 2 + PHRASES + 1
 THRESHOLD = 0.3
-#: Stems in the models, the most frequent ones.
-STEMS = 400_000
+#: Rows of a block of stems or phrases, and the texts that go through the blocks together where there are several.
+BLOCK, CHUNK = 1 << 20, 64 << 20
 ALPHABET = 64
+#: An inner piece: its first byte, the bytes before the new ones, the new bytes.
+INNER, BEFORE, NEW = 1, 3, 4
 #: Texts that are worked on at once, in bytes; a longer text is one piece.
 PIECE = 2 << 20
 #: The first k bytes of a word.
@@ -53,8 +65,9 @@ _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(97, 123), *range(0x80, 0x100)]] = True
 
 
-def words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Pieces of a column of texts: first and last row, the words' first bytes as numbers, the row of each word."""
+def words(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Parts of a column of texts: first and last row, the pieces of the words as numbers, the row of each piece."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
     texts = texts.cast(pa.large_string()).fill_null("")
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -83,32 +96,65 @@ def _cut(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first[bounds] = True
     starts = np.flatnonzero(inside[:n] & (first[:n] | ~np.concatenate(([False], inside[: n - 1]))[:n]))
     stops = np.flatnonzero(inside[:n] & (first[1 : n + 1] | ~inside[1 : n + 1])) + 1
-    heads = np.ndarray((n,), ">u8", data.data, strides=(1,))[starts].astype(np.uint64)
-    keys = heads & MASKS[np.minimum(stops - starts, ORDER)]
+    heads = np.ndarray((n,), ">u8", data.data, strides=(1,))
+    keys = heads[starts].astype(np.uint64) & MASKS[np.minimum(stops - starts, ORDER)]
+    long = np.flatnonzero(stops - starts >= ORDER)
+    if len(long):
+        # one inner piece for each NEW bytes beyond ORDER, the last one with the end of the word
+        more = (stops[long] - starts[long] - ORDER) // NEW + 1
+        word = np.repeat(long, more)
+        at = starts[word] + ORDER - BEFORE + NEW * (np.arange(len(word)) - np.repeat(np.cumsum(more) - more, more))
+        room = np.minimum(stops[word] - at, ORDER - 1)
+        inner = (heads[at].astype(np.uint64) >> np.uint64(8) | np.uint64(INNER << 56)) & MASKS[1 + room]
+        order = np.argsort(np.concatenate((starts, at)), kind="stable")
+        keys, starts = np.concatenate((keys, inner))[order], np.concatenate((starts, at))[order]
     return keys, np.searchsorted(bounds, starts, side="right") - 1
 
 
+def lefts(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The piece to the left of each, 0 at the start of a text."""
+    left = np.concatenate((np.zeros(1, np.uint64), keys[:-1])) if len(keys) else keys
+    left[np.flatnonzero(np.diff(row, prepend=-1))] = 0
+    return left
+
+
+def phrase_hash(left: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for two pieces."""
+    mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
 def discounted(counts: np.ndarray) -> np.ndarray:
     """What counts hand to the backoff: all of a single one, more of larger ones up to the last of ``DISCOUNTS``."""
     return DISCOUNTS[np.minimum(counts, len(DISCOUNTS) - 1).astype(np.int64)]
 
 
 class Models:
-    """Both models: for every length the stems, their continuation counts (ordinary, toxic) and what these hand on."""
+    """Both models, or a block of them: for every length the stems, their counts (ordinary, toxic) and what these hand on."""
 
-    def __init__(self, length: np.ndarray, stem: np.ndarray, counts: np.ndarray):
+    def __init__(self, length: np.ndarray, stem: np.ndarray, counts: np.ndarray, given: np.ndarray | None = None):
+        """Without ``given``, the stems are all there are, and what they hand on is worked out from them."""
         self.stems, self.counts, self.given = [], [], []
         for k in range(ORDER + 1):
             own = np.flatnonzero(length == k)
             own = own[np.argsort(stem[own])]
             self.stems.append(stem[own])
             self.counts.append(counts[own].astype(float))
-            self.given.append(np.zeros((len(own), 3)))
-        for k in range(ORDER):
+            self.given.append(np.zeros((len(own), 3)) if given is None else given[own].astype(float))
+        for k in range(ORDER if given is None else 0):
             above, known = self._find(k, self.stems[k + 1])
             mass = np.c_[discounted(self.counts[k + 1]), discounted(self.counts[k + 1].sum(axis=1))]
             np.add.at(self.given[k], above[known], mass[known])
 
+    @classmethod
+    def read(cls, paths: list[str]) -> Models:
+        columns = ["length", "stem", "ordinary", "toxic", "given_ordinary", "given_toxic", "given"]
+        table = read_files(paths, columns)
+        number = lambda names: np.stack([table[n].to_numpy() for n in names], axis=1)
+        stem = table["stem"].to_numpy().view(np.uint64)
+        return cls(table["length"].to_numpy(), stem, number(columns[2:4]), number(columns[4:]))
+
     def _find(self, k: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         stems, wanted = self.stems[k], keys & MASKS[k]
         if not len(stems):
@@ -117,9 +163,10 @@ class Models:
         return at, stems[at] == wanted
 
     def differences(self, keys: np.ndarray) -> np.ndarray:
-        """Log probability of each word in the toxic model, less that in the ordinary one."""
+        """Log probability of each piece in the toxic model, less that in the ordinary one; of inner pieces, that of the new bytes."""
         total = np.zeros(len(keys))
         live = np.arange(len(keys))
+        inner = keys >> np.uint64(56) == INNER
         before, known = self._find(0, keys)
         for k in range(1, ORDER + 1):
             # a stem that one class alone has leaves the rest of the word to the shared backoff
@@ -135,48 +182,114 @@ class Models:
             pooled, above, given = count.sum(axis=1), self.counts[k - 1][before], np.maximum(self.given[k - 1][before], 1.0)
             shared = (pooled - discounted(pooled) + given[:, 2] / ALPHABET) / above.sum(axis=1)
             p = (count - discounted(count) + given[:, :2] * shared[:, None]) / above
-            total[live] += np.log(p[:, 1]) - np.log(p[:, 0])
+            scored = ~inner[live] if k <= 1 + BEFORE else slice(None)
+            total[live[scored]] += np.log(p[scored, 1]) - np.log(p[scored, 0])
             before = here
         return total
 
-    def features(self, texts: pa.Array) -> np.ndarray:
-        """Per text the differences of the log-likelihoods per word: mean, the strongest, mean of the excess over ``STRONG``."""
+
+class Phrases:
+    """Differences of the phrases of a block, by hash."""
+
+    def __init__(self, numbers: np.ndarray, difference: np.ndarray):
+        order = np.argsort(numbers)
+        self.numbers, self.difference = numbers[order], difference[order]
+
+    @classmethod
+    def read(cls, paths: list[str]) -> Phrases:
+        table = read_files(paths, ["phrase", "difference"])
+        return cls(table["phrase"].to_numpy().view(np.uint64), table["difference"].to_numpy())
+
+    def differences(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.numbers):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(self.numbers, keys), len(self.numbers) - 1)
+        return np.where(self.numbers[at] == keys, self.difference[at], 0.0)
+
+
+_HELD: dict[type, tuple[list[str], object]] = {}
+
+
+def _over_blocks(kind: type, blocks: Blocks, keys: np.ndarray) -> np.ndarray:
+    """Differences of keys, each from the block for its first two bytes. A worker holds one block of each kind."""
+    total = np.zeros(len(keys))
+    where = block_of(blocks, (keys >> np.uint64(48)).astype(np.int64))
+    for number, (_, paths) in enumerate(blocks):
+        own = np.flatnonzero(where == number)
+        if not len(own):
+            continue
+        if kind not in _HELD or _HELD[kind][0] != paths:
+            _HELD[kind] = (paths, kind.read(paths))
+        total[own] = _HELD[kind][1].differences(keys[own])
+    return total
+
+
+def strongest(row: np.ndarray, each: np.ndarray, places: int, least: float, out: np.ndarray) -> None:
+    """The largest values of each row beyond ``least``, one column for each place."""
+    some = np.flatnonzero(each > least)
+    some = some[np.lexsort((-each[some], row[some]))]
+    rank = np.arange(len(some)) - np.searchsorted(row[some], row[some])
+    top = rank < places
+    out[row[some[top]], rank[top]] = each[some[top]]
+
+
+class Evidence:
+    """Where the blocks are, and the features of texts from them."""
+
+    def __init__(self, stems: Blocks, phrases: Blocks):
+        self.stems, self.phrases = stems, phrases
+
+    @property
+    def chunk(self) -> int:
+        return CHUNK if max(len(self.stems), len(self.phrases)) > 1 else PIECE
+
+    def features(self, texts: pa.Array | pa.ChunkedArray) -> np.ndarray:
+        """Per text: mean difference, the strongest, mean of the excess over ``STRONG``; the strongest phrases, mean of their excess."""
         out = np.zeros((len(texts), WIDTH))
         out[:, 1 : 1 + STRONGEST] = WEAKEST
-        for at, upto, keys, row in words(texts):
+        parts = [(at, upto, keys, row, *np.unique(keys, return_inverse=True)) for at, upto, keys, row in words(texts)]
+        kinds = np.unique(np.concatenate([p[4] for p in parts])) if parts else np.zeros(0, np.uint64)
+        known = _over_blocks(Models, self.stems, kinds)
+        pairs = [np.unique(phrase_hash(lefts(keys, row), keys), return_inverse=True) for _, _, keys, row, _, _ in parts]
+        hashes = np.unique(np.concatenate([p[0] for p in pairs])) if pairs else kinds
+        phrased = _over_blocks(Phrases, self.phrases, hashes)
+        for (at, upto, keys, row, own, which), (said, place) in zip(parts, pairs):
             if not len(keys):
                 continue
-            kinds, which = np.unique(keys, return_inverse=True)
-            each = self.differences(kinds)[which]
-            n = np.maximum(np.bincount(row, minlength=upto - at), 1)
-            out[at:upto, 0] = np.bincount(row, each, upto - at) / n
-            out[at:upto, -1] = np.bincount(row, np.maximum(each - STRONG, 0), upto - at) / n
-            some = np.flatnonzero(each > WEAKEST)
-            some = some[np.lexsort((-each[some], row[some]))]
-            rank = np.arange(len(some)) - np.searchsorted(row[some], row[some])
-            top = some[rank < STRONGEST]
-            out[at + row[top], 1 + rank[rank < STRONGEST]] = each[top]
+            here, n = out[at:upto], np.maximum(np.bincount(row, minlength=upto - at), 1)
+            each = known[np.searchsorted(kinds, own)][which.reshape(-1)]
+            here[:, 0] = np.bincount(row, each, upto - at) / n
+            here[:, 1 + STRONGEST] = np.bincount(row, np.maximum(each - STRONG, 0), upto - at) / n
+            strongest(row, each, STRONGEST, WEAKEST, here[:, 1 : 1 + STRONGEST])
+            each = phrased[np.searchsorted(hashes, said)][place.reshape(-1)]
+            here[:, -1] = np.bincount(row, np.maximum(each - PHRASE, 0), upto - at) / n
+            strongest(row, each, PHRASES, 0.0, here[:, -1 - PHRASES : -1])
         return out
 
 
-def continuation_counts(rows: DataFrame) -> DataFrame:
-    """(length, stem, ordinary, toxic) from (text, label): how many (left word, word) pairs begin with the stem, by class.
+def phrase_counts(rows: DataFrame) -> DataFrame:
+    """(left, word, ordinary, toxic) from (text, label): before how many different pieces a pair of pieces stands, by class.
 
-    Tasks hand on words as numbers and the left word as a hash; pairs are told apart before words are counted, so a
-    frequent word is no hot key.
+    Tasks hand on pieces as numbers and the piece before the pair as a hash; triples are told apart before pairs are
+    counted, and pairs before pieces are, so a frequent word is no hot key.
     """
 
-    def pairs(batch: pa.RecordBatch) -> pa.Table:
+    def triples(batch: pa.RecordBatch) -> pa.Table:
         label, made = batch.column(1).to_numpy(zero_copy_only=False), []
         for at, _, keys, row in words(batch.column(0)):
-            left = np.concatenate(([np.uint64(0)], keys[:-1]))
-            left[np.flatnonzero(np.diff(row, prepend=-1))] = 0  # the first word of a text
-            left = ((left * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            made.append(pa.table({"left": left, "word": keys.view(np.int64), "label": label[at + row].astype(np.int32)}))
+            left = lefts(keys, row)
+            second = (lefts(left, row) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            columns = {"second": second, "left": left.view(np.int64), "word": keys.view(np.int64), "toxic": label[at + row] == 1}
+            made.append(pa.table(columns))
         return pa.concat_tables(made)
 
-    found = map_texts(rows.select("text", "label"), pairs, "left int, word bigint, label int").distinct()
-    counted = found.groupBy("word").agg((F.count("*") - F.sum("label")).alias("ordinary"), F.sum("label").alias("toxic"))
+    found = map_texts(rows.select("text", "label"), triples, "second int, left bigint, word bigint, toxic boolean").distinct()
+    return found.groupBy("left", "word").agg(F.count_if(~F.col("toxic")).alias("ordinary"), F.count_if("toxic").alias("toxic"))
+
+
+def stem_counts(pairs: DataFrame) -> DataFrame:
+    """(length, stem, ordinary, toxic) from ``phrase_counts``: how many different pairs have a word that begins with the stem."""
+    counted = pairs.groupBy("word").agg(F.count_if(F.col("ordinary") > 0).alias("ordinary"), F.count_if(F.col("toxic") > 0).alias("toxic"))
 
     def stems(batch: pa.RecordBatch) -> pa.Table:
         keys = batch.column(0).to_numpy().view(np.uint64)
@@ -193,39 +306,98 @@ def continuation_counts(rows: DataFrame) -> DataFrame:
     return made.groupBy("length", "stem").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
+def _discounted(count: Column) -> Column:
+    steps = F.array(*map(F.lit, DISCOUNTS.tolist()))
+    return F.get(steps, F.least(count, F.lit(len(DISCOUNTS) - 1)).cast("int"))
+
+
+def _given() -> list[Column]:
+    pooled = F.col("ordinary") + F.col("toxic")
+    return [
+        F.sum(_discounted(F.col("ordinary"))).alias("given_ordinary"), F.sum(_discounted(F.col("toxic"))).alias("given_toxic"),
+        F.sum(_discounted(pooled)).alias("given"),
+    ]
+
+
+def models(stems: DataFrame) -> DataFrame:
+    """Stems whose counts say more than nothing, with what all longer ones hand to their backoff, and the ``part`` that blocks are made of.
+
+    Stems of up to one byte, which every block needs, are in every part that there is.
+    """
+    # the stem that a longer one continues: its last byte off
+    bits = f"8 * ({ORDER + 1} - length)"
+    shorter = F.when(F.col("length") > 1, F.expr(f"shiftleft(shiftright(stem, {bits}), {bits})"))
+    handed = stems.where("length > 0").groupBy((F.col("length") - 1).alias("length"), F.coalesce(shorter, F.lit(0)).alias("stem"))
+    handed = handed.agg(*_given())
+    told = stems.where(F.col("ordinary") + F.col("toxic") >= len(DISCOUNTS) - 1).join(handed, ["length", "stem"], "left")
+    told = told.fillna(0.0, ["given_ordinary", "given_toxic", "given"])
+    return told.withColumn("part", F.when(F.col("length") > 1, F.shiftrightunsigned("stem", 48)).otherwise(-1))
+
+
+def phrases(pairs: DataFrame) -> DataFrame:
+    """(phrase, difference, part): of every pair that is not wholly discounted, how much likelier its word is in toxic texts, given the left one."""
+    left = pairs.groupBy("left").agg(F.sum("ordinary").alias("all_ordinary"), F.sum("toxic").alias("all_toxic"), *_given())
+    word = pairs.groupBy("word").agg(F.count("*").alias("pairs"))
+    total = word.agg(F.sum("pairs")).scalar()
+    o, t = F.col("ordinary"), F.col("toxic")
+    told = pairs.where(F.greatest(o, t) >= len(DISCOUNTS) - 1).join(left.where("all_ordinary > 0 and all_toxic > 0"), "left").join(word, "word")
+    share = (o + t - _discounted(o + t) + F.col("given") * F.col("pairs") / total) / (F.col("all_ordinary") + F.col("all_toxic"))
+
+    def chance(count: Column, given: str, every: str) -> Column:
+        return (count - _discounted(count) + F.greatest(given, F.lit(1.0)) * share) / F.col(every)
+
+    difference = F.ln(chance(t, "given_toxic", "all_toxic")) - F.ln(chance(o, "given_ordinary", "all_ordinary"))
+    rows = told.select("left", "word", difference.alias("difference"))
+
+    def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        numbers = phrase_hash(*(batch.column(i).to_numpy().view(np.uint64) for i in (0, 1)))
+        part = (numbers >> np.uint64(48)).astype(np.int64)
+        columns = [pa.array(numbers.view(np.int64)), batch.column(2), pa.array(part)]
+        return pa.RecordBatch.from_arrays(columns, names=["phrase", "difference", "part"])
+
+    return map_texts(rows, hashed, "phrase bigint, difference double, part bigint")
+
+
+def learn(known: DataFrame) -> Evidence:
+    """Both models from (text, label), as files."""
+    pairs = written(phrase_counts(known), "pairs")
+    stored = written(models(written(stem_counts(pairs), "stems")), "models")
+    common, own = stored.where("part < 0"), stored.where("part >= 0")
+    short = written(common, "short").inputFiles()  # at most 257 rows
+    stems = [(first, short + paths) for first, paths in in_blocks(written(own, "long"), "part", BLOCK, "stems")] or [(0, short)]
+    return Evidence(stems, in_blocks(written(phrases(pairs), "phrases"), "part", BLOCK, "phrases"))
+
+
 class Classifier:
-    def __init__(self, models: Models, score: Logistic):
-        self.models, self.score = models, score
+    def __init__(self, evidence: Evidence, score: Logistic):
+        self.evidence, self.score = evidence, score
+
+    def scores(self, texts: pa.ChunkedArray) -> np.ndarray:
+        return self.score.scores(self.evidence.features(texts))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Counts from two thirds of the labelled rows, the score from the other third."""
     known = labelled(docs, labels, "toxic", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
-    counted = written(continuation_counts(known.where(~fits)), "stems")
-    # a stem is never rarer than one that it begins, so what is kept has all its beginnings
-    top = most_frequent(counted, F.col("ordinary") + F.col("toxic"), STEMS).toArrow()
-    counts = np.c_[top["ordinary"].to_numpy(), top["toxic"].to_numpy()]
-    models = Models(top["length"].to_numpy(), top["stem"].to_numpy().view(np.uint64), counts)
-    held = docs.sparkSession.sparkContext.broadcast(models)  # STEMS stems of six numbers
+    evidence = learn(known.where(~fits))
 
-    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = pa.array(held.value.features(batch.column(1)).tolist(), pa.list_(pa.float64()))
-        return pa.RecordBatch.from_arrays([batch.column(0), made, batch.column(2)], names=["doc_id", "x", "label"])
+    def features(chunk: pa.Table) -> pa.Table:
+        made = pa.array(evidence.features(chunk["text"]).tolist(), pa.list_(pa.float64()))
+        return pa.table({"doc_id": chunk["doc_id"], "x": made, "label": chunk["label"]})
 
-    rows = map_texts(known.where(fits).select("doc_id", "text", "label"), features, "doc_id bigint, x array<double>, label int")
-    return Classifier(models, fit(rows, WIDTH))
+    rows = known.where(fits).select("doc_id", "text", "label")
+    return Classifier(evidence, fit(map_chunks(rows, features, "doc_id bigint, x array<double>, label int", evidence.chunk), WIDTH))
 
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row of ``docs`` (doc_id, text)."""
-    held = docs.sparkSession.sparkContext.broadcast(classifier)
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = held.value.score.scores(held.value.models.features(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        return pa.table({"doc_id": chunk["doc_id"], "score": classifier.scores(chunk["text"])})
 
-    made = map_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), per_batch, "doc_id bigint, score double")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    made = map_chunks(texts, per_chunk, "doc_id bigint, score double", classifier.evidence.chunk)
     return made.select(
         "doc_id", in_fold("doc_id", PARTS, HELD).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
@@ -233,11 +405,9 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns; one pass, no shuffle."""
-    held = docs.sparkSession.sparkContext.broadcast(classifier)
     at = docs.columns.index("text")
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = held.value.score.scores(held.value.models.features(batch.column(at)))
-        return batch.filter(pa.array(scores < threshold))
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        return chunk.filter(pa.array(classifier.scores(chunk.column(at)) < threshold))
 
-    return map_texts(docs, per_batch, docs.schema)
+    return map_chunks(docs, per_chunk, docs.schema, classifier.evidence.chunk)

@@ -103,21 +103,108 @@ def test_without_labels_or_rows(spark, module):
     assert module.score(frame(spark, []), model).count() == 0
 
 
+def pieces(word):
+    """The first bytes of a word, then a mark, three bytes before and four new ones at a time; a shorter last piece ends in zero."""
+    w = word if isinstance(word, bytes) else word.encode()
+    found = [w[: T.ORDER]]
+    if len(w) >= T.ORDER:
+        found += [b"\1" + w[k - 3 : k + 4] for k in range(T.ORDER, len(w) + 1, 4)]
+    return found
+
+
+def slow_counts(labelled_words):
+    """(left, word) pairs by class, counted by the different pieces before them, and the stems of their words."""
+    triples = set()
+    for words, y in labelled_words:
+        p = [x for w in words for x in pieces(w)]
+        triples |= {(a, b, c, y) for a, b, c in zip([None, None, *p], [None, *p], p)}
+    pairs, stems = {}, {}
+    for _, b, c, y in triples:
+        pairs.setdefault((b, c), [0, 0])[y] += 1
+    for (_, w), (o, t) in pairs.items():
+        for k in range(min(len(w) + 1, T.ORDER) + 1):
+            n = stems.setdefault((k, w[:k].ljust(8, b"\0")), [0, 0])
+            n[0] += o > 0
+            n[1] += t > 0
+    return pairs, stems
+
+
 def test_continuation_counts_equal_brute_force(spark):
     docs, marks = corpus(60)
-    docs = [(d, t + " été longerword" * 2) for d, t in docs]
+    docs = [(d, t + " été longerword exactly8 ninebytes unspacedtextofmanybytes" * 2) for d, t in docs]
     known = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs + docs, marks + marks)], "text string, label int")
-    made = T.continuation_counts(known.repartition(4)).collect()
-    found = {(r.length, (r.stem % (1 << 64)).to_bytes(8, "big")): (r.ordinary, r.toxic) for r in made}
-    pairs = set()
-    for (_, t), (_, y) in zip(docs, marks):
-        w = [x.encode()[: T.ORDER] for x in t.split()]
-        pairs |= {(a, b, y) for a, b in zip([None, *w], w)}
-    want = {}
-    for _, w, y in pairs:
-        for k in range(min(len(w) + 1, T.ORDER) + 1):
-            want.setdefault((k, w[:k].ljust(8, b"\0")), [0, 0])[y] += 1
-    assert found == {k: tuple(v) for k, v in want.items()}
+    pairs, stems = slow_counts([(t.split(), y) for (_, t), (_, y) in zip(docs, marks)])
+    made = T.phrase_counts(known.repartition(4)).cache()
+    key = lambda n: (n % (1 << 64)).to_bytes(8, "big")
+    found = {(key(r.left), key(r.word)): (r.ordinary, r.toxic) for r in made.collect()}
+    assert found == {((b or b"").ljust(8, b"\0"), c.ljust(8, b"\0")): tuple(n) for (b, c), n in pairs.items()}
+    counted = {(r.length, key(r.stem)): (r.ordinary, r.toxic) for r in T.stem_counts(made).collect()}
+    assert counted == {k: tuple(n) for k, n in stems.items()}
+    made.unpersist()
+
+
+def all_counts(stems):
+    """Models that hold every stem there is."""
+    keys = list(stems)
+    numbers = np.array([int.from_bytes(s, "big") for _, s in keys], np.uint64)
+    return T.Models(np.array([k for k, _ in keys]), numbers, np.array([stems[k] for k in keys]))
+
+
+def test_stored_models_score_as_all_counts_do(spark, monkeypatch):
+    docs, marks = corpus(300)
+    docs = [(d, t + (" poisonousmixture endofline" if y and d % 8 else " peacefulmixture") + f" once{d * d}never") for (d, t), (_, y) in zip(docs, marks)]
+    known = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs, marks)], "text string, label int")
+    _, stems = slow_counts([(t.split(), y) for (_, t), (_, y) in zip(docs, marks)])
+    texts = pa.array([t for _, t in docs[:50]] + ["zorblq unheard poisonousmixtures peacefulmix", "日本語の長い文章"])
+    keys = np.unique(np.concatenate([k for _, _, k, _ in T.words(texts)]))
+    want = all_counts(stems).differences(keys)
+    assert np.abs(want).max() > 1
+    whole = T.learn(known)
+    assert len(whole.stems) == 1 and T._over_blocks(T.Models, whole.stems, keys) == pytest.approx(want)
+    stored = sum(len(x) for x in T.Models.read(whole.stems[0][1]).stems)
+    assert stored == sum(o + t >= 3 for o, t in stems.values()) < 0.7 * len(stems)
+    monkeypatch.setattr(T, "BLOCK", 40)  # what does not fit one block goes to others, and nothing changes
+    parts = T.learn(known)
+    assert len(parts.stems) > 3
+    assert T._over_blocks(T.Models, parts.stems, keys) == pytest.approx(want)
+    assert parts.features(texts) == pytest.approx(whole.features(texts))
+
+
+def caught(spark, docs, marks, new):
+    model = T.train(frame(spark, docs), labels(spark, marks))
+    return {r.doc_id: r.predicted for r in T.score(frame(spark, new), model).collect()}
+
+
+def test_bytes_beyond_the_first_eight_decide(spark):
+    docs, marks = corpus()
+    docs = [(d, t.replace("zorbl", "abcdefgh" + "zorbl") + " abcdefghpleasant" * 3) for d, t in docs]
+    new = [(1000, docs[1][1] + " abcdefghzorbla abcdefghzorble"), (1001, docs[2][1] + " abcdefghpleasant abcdefgh")]
+    assert caught(spark, docs, marks, new) == {1000: 1, 1001: 0}
+
+
+def test_the_end_of_an_unspaced_line_decides(spark):
+    docs, marks = corpus()
+    rng = random.Random(4)
+    line = lambda end: "".join(rng.choice("日本語長文章書読山川人大小上下") for _ in range(25)) + end
+    docs = [(d, " ".join(line("毒悪" if y else "花空") for _ in range(4)) + " " + " ".join(w for w in t.split() if "zorbl" not in w)) for (d, t), (_, y) in zip(docs, marks)]
+    new = [(1000 + k, " ".join([*(line(end) for _ in range(4)), *docs[k + 1][1].split()[4:]])) for k, end in enumerate(("毒悪", "花空"))]
+    assert caught(spark, docs, marks, new) == {1000: 1, 1001: 0}
+
+
+def test_a_toxic_phrase_of_ordinary_words_is_caught(spark):
+    rng = random.Random(9)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    docs, marks = [], []
+    for i in range(600):
+        y, w = int(i % 3 == 0), []
+        for _ in range(6):  # both words are as frequent in either class; only their neighbours differ
+            apart = ["drop", rng.choice(words), rng.choice(words), "dead"]
+            w += [rng.choice(words) for _ in range(8)] + (["drop", "dead", rng.choice(words), rng.choice(words)] if y else apart)
+        docs.append((i, " ".join(w)))
+        marks.append((i, y))
+    base = " ".join(rng.choice(words) for _ in range(40))
+    new = [(1000, f"{base} drop dead waa wbb drop dead wcc"), (1001, f"{base} drop waa dead wbb drop wcc dead")]
+    assert caught(spark, docs, marks, new) == {1000: 1, 1001: 0}
 
 
 def number(stem):
@@ -171,7 +258,8 @@ def test_words_are_cut_as_described():
     for at, _, keys, row in T.words(pa.array(texts)):
         for k, r in zip(keys.tolist(), row.tolist()):
             made[at + r].append(k.to_bytes(8, "big").rstrip(b"\0"))
-    assert made == [[w.encode()[:8] for w in ws] for ws in want]
+    assert made == [[x for w in ws for x in pieces(w)] for ws in want]
+    assert pieces("exactly8") == [b"exactly8", b"\1ly8"] and pieces("a" * 11) == [b"a" * 8, b"\1" + b"a" * 6]
     assert list(T.words(pa.array([None], pa.string())))[0][2].size == 0
     assert [k.size for _, _, k, _ in T.words(pa.array(["a b", "c", "d e f"]).slice(1, 2))] == [4]
 
