@@ -5,8 +5,10 @@ that was seen; a byte that is new there costs an escape (share: distinct followe
 up in the context one byte shorter, down to a uniform choice of 256. Counts are frozen after learning, so the code length
 of a byte follows from the ``ORDER`` bytes before it alone, and whole texts are scored by table lookups.
 
-Grams are counted over all texts that may be learnt from, in the tasks that read them; the ``GRAMS`` most frequent grams of
-each language, which include all their contexts, form its tree. Learnt are the ``LANGUAGES`` most frequent values of lang at most.
+Grams are counted over all texts that may be learnt from, in the tasks that read them, and every gram of every language is in its tree. Trees are
+sorted arrays of the grams that exist, for each order, with their code lengths. They are files in the shared folder, in blocks of whole
+languages with about ``BLOCK`` grams: a task holds one block, and texts go through one block after another, keeping the best
+language and the sum of the weights of all. The number of languages has no bound; one tree is as large as its language's grams.
 
 Nothing but the text enters a prediction. ``und`` with score 0: a null text, one without letters, or nothing learnt. The score
 is the posterior of the language found, from code lengths per byte. Ties go to the smallest value. Repeated rows each give a row. Rows
@@ -15,28 +17,33 @@ with a null id are held out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import in_fold, map_texts, most_frequent, written
+from aeromart.llm.common import BATCH_BYTES, Blocks, in_blocks, in_fold, map_chunks, map_texts, read_files, written
 
 PARTS, HELD = 4, 2
 ORDER = 3
-GRAMS = 100_000
-LANGUAGES = 64
-TABLE_BYTES = 256 << 20
+#: Grams of the languages that are held at once; a language with more is a block of its own.
+BLOCK = 4 << 20
+#: Bytes of text that are worked on at once, and those that go through the blocks together where there are several.
+PIECE, CHUNK = 2 << 20, 16 << 20
 #: How far a posterior trusts a text: bytes that count as independent evidence at most.
 EVIDENCE = 40.0
+#: A text of which no language is this likely is of none.
+LEAST = 0.5
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
 
-def _grams(data: bytes) -> np.ndarray:
-    """For each byte the ORDER bytes before it and itself as a number; spaces stand before the text."""
-    b = np.frombuffer(b" " * ORDER + data, np.uint8).astype(np.uint32)
+def _grams(data: bytes, before: bytes = b" " * ORDER) -> np.ndarray:
+    """For each byte the ORDER bytes before it and itself as a number; spaces stand before a text."""
+    b = np.frombuffer(before + data, np.uint8).astype(np.uint32)
     n = len(data)
     key = b[:n].copy()
     for k in range(1, ORDER + 1):
@@ -44,21 +51,37 @@ def _grams(data: bytes) -> np.ndarray:
     return key
 
 
+def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The grams of texts, ``PIECE`` bytes or so at a time: which texts, where each begins, all grams. A long text is in several."""
+    rows, starts, held, size = [], [], [], 0
+    for row, data in enumerate(texts):
+        for at in range(0, len(data), PIECE):
+            part = data[at : at + PIECE]
+            rows.append(row)
+            starts.append(size)
+            held.append(_grams(part, data[at - ORDER : at] if at else b" " * ORDER))
+            size += len(part)
+            if size >= PIECE:
+                yield np.array(rows), np.array(starts), np.concatenate(held)
+                rows, starts, held, size = [], [], [], 0
+    if held:
+        yield np.array(rows), np.array(starts), np.concatenate(held)
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n): grams of ORDER + 1 bytes of all texts that may be learnt from. Tasks hand on sums."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def count(batch: pa.RecordBatch) -> pa.Table:
         texts: dict[str, list[bytes]] = {}
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             texts.setdefault(lang, []).append((text or "").encode())
-        langs, grams, counts = [], [], []
+        made = []
         for lang, own in texts.items():
-            found, n = np.unique(np.concatenate([_grams(t) for t in own]), return_counts=True)
-            langs += [lang] * len(found)
-            grams.append(found.astype(np.int64))
-            counts.append(n)
-        columns = [pa.array(langs, pa.string()), pa.array(np.concatenate(grams)), pa.array(np.concatenate(counts))]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+            for _, _, grams in _pieces(own):
+                found, n = np.unique(grams, return_counts=True)
+                names = pa.DictionaryArray.from_arrays(np.zeros(len(found), np.int32), pa.array([lang])).cast(pa.string())
+                made.append(pa.table({"lang": names, "gram": found.astype(np.int64), "n": n}))
+        return pa.concat_tables(made) if made else pa.table({"lang": pa.array([], pa.string()), "gram": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
 
     known = docs.where(~in_fold("doc_id", PARTS, HELD) & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN))
     known = known.where("text is not null and text != ''").select("text", F.col("lang").cast("string"))
@@ -66,135 +89,125 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Trees:
-    """Frozen context trees as tables: contexts get numbers, (number, byte) gets the code length in each language."""
-
-    def __init__(self, counts: dict[str, dict[int, int]], table_bytes: int = TABLE_BYTES):
-        self.langs = sorted(counts)
-        while self._size(counts) > table_bytes and max(map(len, counts.values())) > 1:  # many languages: smaller trees for each
-            counts = {k: dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: -(-len(c) // 2)]) for k, c in counts.items()}
-        symbols = sorted(self._symbols(counts))
-        self.symbol = np.full(256, len(symbols), np.int64)  # the last one stands for all bytes never seen
-        self.symbol[symbols] = np.arange(len(symbols))
-        self.width = len(symbols) + 1
-        trees = [self._tree(counts[lang]) for lang in self.langs]
-        contexts = sorted({c for tree in trees for c in tree}, key=lambda c: (len(c), c))
-        number = {c: i for i, c in enumerate(contexts)}
-        self.bits = np.zeros((len(contexts), self.width, len(trees)), np.float32)
-        for i, tree in enumerate(trees):
-            known: dict[bytes, np.ndarray] = {}
-            for context in contexts:  # shorter ones come first
-                known[context] = self._probabilities(tree.get(context), known[context[1:]] if context else None)
-                self.bits[number[context], :, i] = -np.log2(known[context])
-        self.context = self._numbers(number)
-
-    @staticmethod
-    def _symbols(counts: dict[str, dict[int, int]]) -> set[int]:
-        return {(g >> s) & 255 for c in counts.values() for g in c for s in (0, 8, 16, 24)}
-
-    def _size(self, counts: dict[str, dict[int, int]]) -> int:
-        """Bytes of the table of code lengths, at most."""
-        contexts = {((g >> 8) & ((1 << (8 * k)) - 1)) | (k << 24) for c in counts.values() for g in c for k in range(ORDER + 1)}
-        return len(contexts) * (len(self._symbols(counts)) + 1) * len(counts) * 4
-
-    @staticmethod
-    def _tree(grams: dict[int, int]) -> dict[bytes, dict[int, int]]:
-        tree: dict[bytes, dict[int, int]] = {}
-        for gram, n in grams.items():
-            data = gram.to_bytes(4, "big")[3 - ORDER :]
-            for k in range(ORDER + 1):
-                follows = tree.setdefault(data[k:ORDER], {})
-                follows[data[ORDER]] = follows.get(data[ORDER], 0) + n
-        return tree
-
-    def _probabilities(self, follows: dict[int, int] | None, shorter: np.ndarray | None) -> np.ndarray:
-        if shorter is None:
-            shorter = np.full(self.width, 1 / 256)
-        if not follows:
-            return shorter
-        total = sum(follows.values()) + len(follows)
-        p = shorter * (len(follows) / total)
-        for byte, n in follows.items():
-            p[self.symbol[byte]] = n / total
-        return p
-
-    def _numbers(self, number: dict[bytes, int]) -> np.ndarray:
-        """For the last ORDER symbols, the number of the longest of their suffixes that is a context."""
-        w = self.width
-        at = np.zeros((w,) * ORDER, np.int32)
-        for context, i in number.items():  # shorter ones first: longer ones overwrite
-            place = (slice(None),) * (ORDER - len(context)) + tuple(self.symbol[b] for b in context)
-            at[place] = i
-        return at.reshape(-1)
-
-    def code_lengths(self, data: bytes) -> np.ndarray:
-        """Bits that each language's frozen tree needs for ``data``."""
-        total = np.zeros(len(self.langs))
-        w = self.width
-        s = self.symbol[np.frombuffer(b" " * ORDER + data, np.uint8)]
-        for a in range(0, len(data), 1 << 16):
-            z = min(len(data), a + (1 << 16))
-            place = s[a:z]
-            for k in range(1, ORDER):
-                place = place * w + s[a + k : z + k]
-            total += self.bits.reshape(-1, len(self.langs))[self.context[place].astype(np.int64) * w + s[a + ORDER : z + ORDER]].sum(axis=0, dtype=np.float64)
-        return total
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not LETTER.search(text):
-            return UNKNOWN, 0.0
-        data = text.encode()
-        bits = self.code_lengths(data)
-        best = int(np.argmin(bits))
-        odds = (bits - bits[best]) / len(data) * min(len(data), EVIDENCE)
-        return self.langs[best], float(1 / np.exp2(-odds).sum())
-
-
-def learn(docs: DataFrame) -> dict[str, dict[int, int]]:
-    """The most frequent grams of each language, a bounded number of them."""
-    counted = written(gram_counts(docs), "grams")
-    sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    trees: dict[str, dict[int, int]] = {row.lang: {} for row in sizes.collect()}
-    if trees:
-        top = most_frequent(counted.where(F.col("lang").isin(list(trees))), F.col("n"), GRAMS, "lang").toArrow()
-        for lang, gram, n in zip(*(top[c].to_pylist() for c in ("lang", "gram", "n"))):
-            trees[lang][gram] = n
-    return {lang: grams for lang, grams in trees.items() if grams}
+class Tree:
+    """One language: for every order the grams that exist and their code lengths, the contexts and those of an escape."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.grams, self.bits, self.contexts, self.escapes = [], [], [], []
+        for k in range(ORDER + 1):  # a context of k bytes and the byte after it
+            kinds, which = np.unique(grams & np.uint32((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            counts = np.bincount(which, n)
+            contexts, owner, distinct = np.unique(kinds >> np.uint32(8), return_inverse=True, return_counts=True)
+            total = np.bincount(owner, counts) + distinct
+            self.grams.append(kinds)
+            self.bits.append(np.log2(total[owner]) - np.log2(counts))
+            self.contexts.append(contexts)
+            self.escapes.append(np.log2(total) - np.log2(distinct))
 
+    def code_lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits that each gram's last byte costs after the others."""
+        cost, live = np.zeros(len(grams)), np.arange(len(grams))
+        for k in range(ORDER, -1, -1):
+            wanted = grams[live] & np.uint32((1 << (8 * (k + 1))) - 1)
+            at = np.minimum(np.searchsorted(self.grams[k], wanted), len(self.grams[k]) - 1)
+            known = self.grams[k][at] == wanted
+            cost[live[known]] += self.bits[k][at[known]]
+            live, wanted = live[~known], wanted[~known] >> np.uint32(8)
+            at = np.minimum(np.searchsorted(self.contexts[k], wanted), len(self.contexts[k]) - 1)
+            seen = self.contexts[k][at] == wanted
+            cost[live[seen]] += self.escapes[k][at[seen]]
+        cost[live] += 8
+        return cost
 
-_TREES: dict[int, Trees] = {}
 
+def read_trees(paths: list[str]) -> dict[int, Tree]:
+    """The trees of a block, by the number of their language."""
+    table = read_files(paths, ["number", "gram", "n"])
+    number, gram, n = (table[c].to_numpy() for c in ("number", "gram", "n"))
+    return {int(k): Tree(gram[number == k].astype(np.uint32), n[number == k]) for k in np.unique(number)}
 
-def _trees(held) -> Trees:
-    counts = held.value
-    if id(counts) not in _TREES:
-        _TREES.clear()
-        _TREES[id(counts)] = Trees(counts)
-    return _TREES[id(counts)]
+
+_HELD: dict[str, tuple[list[str], dict[int, Tree]]] = {}
+
+
+class Trees:
+    """The languages, in order, and the blocks that hold their trees."""
+
+    def __init__(self, langs: list[str], blocks: Blocks):
+        self.langs, self.blocks = langs, blocks
+
+    @property
+    def chunk(self) -> int:
+        return CHUNK if len(self.blocks) > 1 else BATCH_BYTES
+
+    def _block(self, paths: list[str]) -> dict[int, Tree]:
+        if "trees" not in _HELD or _HELD["trees"][0] != paths:
+            _HELD["trees"] = (paths, read_trees(paths))
+        return _HELD["trees"][1]
+
+    def code_lengths(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+        """Language by language, the bits that its frozen tree needs for each text."""
+        pieces = None
+        for _, paths in self.blocks:
+            block = self._block(paths)
+            totals = {number: np.zeros(len(texts)) for number in block}
+            if pieces is None or len(self.blocks) > 1:
+                pieces = _pieces(texts)
+            for row, start, grams in pieces:
+                kinds, which = np.unique(grams, return_inverse=True)
+                for number, tree in block.items():
+                    np.add.at(totals[number], row, np.add.reduceat(tree.code_lengths(kinds)[which], start))
+            yield from totals.items()
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and posterior of each text."""
+        asked = [i for i, t in enumerate(texts) if t and self.langs and LETTER.search(t)]
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        if not asked:
+            return names, scores
+        data = [texts[i].encode() for i in asked]
+        length = np.array([len(d) for d in data], float)
+        trust = np.minimum(length, EVIDENCE) / length
+        best, chosen, weights = np.full(len(data), np.inf), np.zeros(len(data), int), np.zeros(len(data))
+        for number, bits in self.code_lengths(data):  # in order of the languages, so ties stay with the first
+            gain = np.exp2(-np.abs(bits - best) * trust)  # 0 against nothing
+            better = bits < best
+            weights = np.where(better, weights * gain + 1, weights + gain)
+            best, chosen = np.where(better, bits, best), np.where(better, number, chosen)
+        for i, number, weight in zip(asked, chosen.tolist(), weights):
+            names[i], scores[i] = self.langs[number], 1 / weight
+        return names, scores
+
+
+def learn(docs: DataFrame) -> Trees:
+    """The trees of all languages, as files."""
+    counted = written(gram_counts(docs), "grams")
+    langs = sorted(row.lang for row in counted.select("lang").distinct().collect())  # a name for each language
+    if not langs:
+        return Trees([], [])
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(langs)), "number long, lang string")
+    numbered = written(counted.join(numbers, "lang").select("number", "gram", "n"), "numbered")
+    return Trees(langs, in_blocks(numbered, "number", BLOCK, "trees"))
 
 
-def predict(docs: DataFrame, grams: dict[str, dict[int, int]]) -> DataFrame:
+def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) per row of ``docs`` (doc_id, text)."""
-    held = docs.sparkSession.sparkContext.broadcast(grams)  # LANGUAGES x GRAMS pairs of numbers
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        trees = _trees(held)
-        made = [trees.predict(t) for t in batch.column(1).to_pylist()]
-        columns = [batch.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        names, scores = trees.predict(chunk["text"].to_pylist())
+        return pa.table({"doc_id": chunk["doc_id"], "lang_pred": pa.array(names, pa.string()), "score": scores})
 
-    made = map_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), per_batch, "doc_id bigint, lang_pred string, score double")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    made = map_chunks(texts, per_chunk, "doc_id bigint, lang_pred string, score double", trees.chunk)
     return made.select("doc_id", in_fold("doc_id", PARTS, HELD).alias("held_out"), "lang_pred", "score")
 
 
-def drop_unknown(docs: DataFrame, grams: dict[str, dict[int, int]], least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a posterior of ``least`` or more, with all their columns."""
-    held = docs.sparkSession.sparkContext.broadcast(grams)
+def drop_unknown(docs: DataFrame, trees: Trees, least: float = LEAST, wanted: set[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is found with a posterior of ``least`` or more and is ``wanted``, with all their columns."""
     at = docs.columns.index("text")
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        trees = _trees(held)
-        found = [trees.predict(t) for t in batch.column(at).to_pylist()]
-        return batch.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in found]))
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        names, scores = trees.predict(chunk.column(at).to_pylist())
+        return chunk.filter(pa.array([n != UNKNOWN and p >= least and (wanted is None or n in wanted) for n, p in zip(names, scores)]))
 
-    return map_texts(docs, per_batch, docs.schema)
+    return map_chunks(docs, per_chunk, docs.schema, trees.chunk)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -34,21 +36,87 @@ def slow_bits(grams, data):
     return total
 
 
-def test_code_lengths_equal_brute_force():
-    texts = {"x": "the cat and the hat, then that", "y": "der hut und die katze, über öl", "z": "日本語のテキスト"}
-    counts = {}
-    for lang, t in texts.items():
-        g, n = np.unique(L._grams(t.encode()), return_counts=True)
-        counts[lang] = dict(zip(g.tolist(), n.tolist()))
-    trees = L.Trees(counts)
-    for t in [*texts.values(), "that über 語 ??", "q", "\x00\x01", "the\n" * 50_000]:
-        want = [slow_bits(counts[lang], t.encode()) for lang in sorted(counts)]
-        assert trees.code_lengths(t.encode()) == pytest.approx(want, rel=1e-4)
-
-
-def test_smaller_trees_when_the_table_would_be_large():
-    counts = {"x": {int(g): 5 for g in L._grams(b"abcdefghij" * 3)}, "y": {int(g): 2 for g in L._grams(b"klmnopq" * 3)}}
-    assert L.Trees(counts, 400).bits.nbytes < L.Trees(counts).bits.nbytes
+def counted(text):
+    g, n = np.unique(L._grams(text.encode()), return_counts=True)
+    return g, n, dict(zip(g.tolist(), n.tolist()))
+
+
+def bits(trees, text):
+    return {trees.langs[k]: b[0] for k, b in trees.code_lengths([text.encode()])}
+
+
+def test_code_lengths_equal_brute_force(monkeypatch):
+    texts = ["the cat and the hat, then that", "der hut und die katze, über öl", "日本語のテキスト"]
+    for learnt in texts:
+        g, n, counts = counted(learnt)
+        tree = L.Tree(g, n)
+        for t in [*texts, "that über 語 ??", "q", "\x00\x01", "the\n" * 5000]:
+            found = tree.code_lengths(L._grams(t.encode()))
+            assert found.sum() == pytest.approx(slow_bits(counts, t.encode()))
+    monkeypatch.setattr(L, "PIECE", 7)  # pieces of a text know the bytes before them
+    whole = L._grams(texts[1].encode())
+    pieces = list(L._pieces([b"", texts[1].encode(), b"x"]))
+    assert np.concatenate([p[2] for p in pieces])[:-1].tolist() == whole.tolist() and len(pieces) > 3
+
+
+def many_languages(n, rows=3):
+    """Each language has words of its own, made of letters that all share, and some common words."""
+    found = []
+    for k in range(n):
+        rng = random.Random(k)
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 8))) for _ in range(30)] + ["and", "the"]
+        for r in range(rows + 1):
+            found.append((k, r, " ".join(rng.choice(words) for _ in range(120))))
+    return found
+
+
+def test_seventy_languages_with_all_their_grams(spark, monkeypatch):
+    found = many_languages(70)
+    ids = [i for i in range(2000) if fold(i, 4) != 2]
+    learnt = [(ids[i], t, f"l{k:02}") for i, (k, r, t) in enumerate(found) if r]
+    asked = [(5000 + k, t) for k, r, t in found if not r]
+    trees = L.learn(frame(spark, learnt))
+    assert len(trees.langs) == 70 and len(trees.blocks) == 1
+    made = {r.doc_id: r.lang_pred for r in L.predict(frame(spark, asked), trees).collect()}
+    assert made == {5000 + k: f"l{k:02}" for k in range(70)}
+    by_lang = {}
+    for _, t, lang in learnt:
+        for g, n in counted(t)[2].items():
+            own = by_lang.setdefault(lang, {})
+            own[g] = own.get(g, 0) + n
+    text = asked[3][1] + " über"
+    whole = bits(trees, text)
+    for lang in sorted(by_lang)[:30]:
+        assert whole[lang] == pytest.approx(slow_bits(by_lang[lang], text.encode()))
+    monkeypatch.setattr(L, "BLOCK", 1000)  # many blocks: the same code lengths and predictions
+    parts = L.learn(frame(spark, learnt))
+    assert len(parts.blocks) > 10 and bits(parts, text) == pytest.approx(whole)
+    again = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(frame(spark, asked), parts).collect()}
+    assert {k: v[0] for k, v in again.items()} == made
+    assert all(again[r.doc_id][1] == pytest.approx(r.score) for r in L.predict(frame(spark, asked), trees).collect())
+
+
+def test_posteriors_sum_to_one(spark):
+    learnt = [(i, t, lang) for i, (t, lang) in enumerate([("abab abba", "x"), ("abac abca", "y"), ("zz top zz", "z")] * 8)]
+    trees = L.learn(frame(spark, learnt))
+    for text in ("ab", "abab zz", "qq", "a" * 100):
+        cost = bits(trees, text)
+        n = len(text)
+        best = min(cost.values())
+        want = 1 / sum(2 ** (-(b - best) / n * min(n, L.EVIDENCE)) for b in cost.values())
+        (name,), (score,) = trees.predict([text])
+        assert score == pytest.approx(want) and cost[name] == best
+
+
+def test_a_stage_keeps_wanted_languages_above_a_posterior(spark):
+    learnt = [(i, t, lang) for i in range(12) for t, lang in (("the cat and the hat", "en"), ("die Katze und der Hut", "de"), ("le chat et le chapeau", "fr"))]
+    trees = L.learn(frame(spark, learnt))
+    docs = frame(spark, [(1, "the hat"), (2, "der Hut"), (3, "le chat"), (4, "W"), (5, "12"), (6, None)])
+    ids = lambda df: sorted(r.doc_id for r in df.collect())
+    assert ids(L.drop_unknown(docs, trees)) == [1, 2, 3]  # of one strange letter no language is likelier than the others
+    assert ids(L.drop_unknown(docs, trees, 0.0)) == [1, 2, 3, 4]
+    assert ids(L.drop_unknown(docs, trees, wanted={"en", "fr"})) == [1, 3]
+    assert L.drop_unknown(docs, trees).columns == docs.columns
 
 
 def test_held_out_on_the_sample(spark):
@@ -78,7 +146,7 @@ def test_odd_rows(spark):
     made = {r.doc_id: (r.lang_pred, r.held_out) for r in L.predict(frame(spark, odd), grams).collect()}
     assert {k: v[0] for k, v in made.items() if k != 104} == {100: "und", 101: "und", 102: "und", 103: "en", None: "de", 105: "en"}
     assert made[None][1] and made[104][0] in ("de", "en")
-    kept = L.drop_unknown(frame(spark, odd), grams)
+    kept = L.drop_unknown(frame(spark, odd), grams, 0.0)
     assert kept.columns == frame(spark, odd).columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 103, 104, 105]
 
