@@ -15,7 +15,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found go: null texts and texts without letters."""
+    """Documents of which no learnt language is likely go: texts that every tree finds strange, texts without letters, nulls."""
     return language.drop_unknown(docs, language.learn(docs))
 
 
