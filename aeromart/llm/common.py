@@ -127,13 +127,13 @@ def opened(path: str) -> pa.NativeFile:
 Blocks = list[tuple[int, list[str]]]
 
 
-def in_blocks(df: DataFrame, group: str, rows: int, name: str) -> Blocks:
-    """``df``, a written table, as files in blocks of about ``rows`` rows that tasks read one after another.
+def in_blocks(df: DataFrame, group: str, rows: int, name: str, weight: Column | None = None) -> Blocks:
+    """``df``, a written table, as files in blocks of about ``rows`` rows (or of that ``weight``) that tasks read one after another.
 
     Rows of one ``group`` (a column of at most 2^16 numbers, in whose order they are dealt) stand in one block. Of each block: the
     first group that it may hold, up to that of the next one, and its files.
     """
-    counts = df.groupBy(group).count().orderBy(group).collect()
+    counts = df.groupBy(group).agg(F.sum(F.lit(1) if weight is None else weight)).orderBy(group).collect()
     firsts, held, dealt = [0], 0, []
     for value, count in counts:
         if held and held + count > rows:

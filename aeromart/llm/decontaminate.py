@@ -4,31 +4,33 @@ Texts are lower-cased (A-Z) and cut into words: ASCII letters and digits, and ev
 ``WINDOW`` words (all words of a shorter item) between spaces, so it matches whole words only. Match ends give word
 positions, and word positions give offsets in the original text.
 
-The automaton goes to every executor, so its patterns have a bound: items are dealt, in id order, into blocks of at most
-``BLOCK_BYTES`` of patterns, and the texts are scanned once per block. A benchmark of ordinary size is one block.
-
-Null and empty texts have no words and are never contaminated. Items without words have no window. Items without id are
-left out, as nothing can name them; items that share an id are one item. Repeated document rows each give a row.
+Windows are cut in the tasks that read the benchmark and written as files, in blocks of about ``BLOCK_BYTES`` of patterns, by a hash
+of the pattern. A task builds the automaton of one block at a time; a benchmark of ordinary size is one block, built once by each
+Python worker, and of a larger one every block goes over ``CHUNK`` bytes of texts before the next is built. Nothing of it
+passes through the driver.
+
+Null and empty texts have no words and are never contaminated. Items without words have no window. Items without id hit words like
+others, but nothing can name them, so they are not among the items; items that share an id are one item. Repeated
+document rows each give a row.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import map_texts
+from aeromart.llm.common import BATCH_BYTES, Blocks, in_blocks, map_chunks, map_texts, read_files, written
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES, CHUNK = 32 << 20, 64 << 20
+#: What a pattern costs beside its bytes.
+OVERHEAD = 64
 WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 #: Byte by byte: A-Z to a-z, bytes of words to themselves, all others to a space.
@@ -46,22 +48,20 @@ def windows_of(text: str | None, window: int = WINDOW) -> set[bytes]:
     return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
-def pattern_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[dict[bytes, list[int]]]:
-    """Patterns with the ids of their items, in blocks of bounded size; the items pass through one at a time."""
-    block: dict[bytes, list[int]] = {}
-    size = 0
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null")
-    for row in items.orderBy("item_id", "text").toLocalIterator():
-        for pattern in windows_of(row.text, window):
-            ids = block.setdefault(pattern, [])
-            size += (len(pattern) + 64) if not ids else 8
-            if not ids or ids[-1] != row.item_id:
-                ids.append(row.item_id)
-        if size >= block_bytes:
-            yield block
-            block, size = {}, 0
-    if block:
-        yield block
+def patterns(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(pattern, item_id, part): the different windows of all items, and the number that blocks are made of."""
+
+    def cut(batch: pa.RecordBatch) -> pa.Table:
+        ids, found = [], []
+        for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = windows_of(text, window)
+            ids += [item_id] * len(own)
+            found += own
+        return pa.table({"pattern": pa.array(found, pa.binary()), "item_id": pa.array(ids, pa.int64())})
+
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string"))
+    made = map_texts(items, cut, "pattern binary, item_id bigint").distinct()
+    return made.withColumn("part", F.pmod(F.xxhash64("pattern"), F.lit(1 << 16)))
 
 
 class Scanner:
@@ -107,21 +107,30 @@ def spans_of(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_BUILT: dict[str, Scanner] = {}
+_BUILT: dict[str, tuple[list[str], Scanner]] = {}
 
 
-def _scanner(block: tuple[str, Broadcast]) -> Scanner:
-    """One automaton per Python worker and block in turn."""
-    name, patterns = block
-    if name not in _BUILT:
+def _scanner(paths: list[str]) -> Scanner:
+    """One automaton per Python worker, of one block at a time."""
+    if "scanner" not in _BUILT or _BUILT["scanner"][0] != paths:
         _BUILT.clear()
-        _BUILT[name] = Scanner(patterns.value)
-    return _BUILT[name]
+        table = read_files(paths, ["pattern", "item_id"])
+        block: dict[bytes, list[int]] = {}
+        for pattern, item_id in zip(table["pattern"].to_pylist(), table["item_id"].to_pylist()):
+            ids = block.setdefault(pattern, [])
+            if item_id is not None:
+                ids.append(item_id)
+        _BUILT["scanner"] = (paths, Scanner(block))
+    return _BUILT["scanner"][1]
+
+
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Blocks:
+    made = written(patterns(benchmark, window), "patterns")
+    return in_blocks(made, "part", block_bytes, "blocks", F.octet_length("pattern") + OVERHEAD)
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[tuple[str, Broadcast]]:
-    context = benchmark.sparkSession.sparkContext
-    return [(uuid.uuid4().hex, context.broadcast(b)) for b in pattern_blocks(benchmark, window, block_bytes)]
+def _chunk(blocks: Blocks) -> int:
+    return CHUNK if len(blocks) > 1 else BATCH_BYTES
 
 
 def scan(
@@ -131,29 +140,30 @@ def scan(
     blocks = _blocks(benchmark, window, block_bytes)
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"] + ["spans"] * spans
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).to_pylist()
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        texts = chunk["text"].to_pylist()
         found = [(len(words_of(t)), np.empty(0, np.int64), set()) for t in texts] if not blocks else []
         found = found or [(0, np.empty(0, np.int64), set())] * len(texts)
-        for block in blocks:
-            scanner = _scanner(block)
+        for _, paths in blocks:
+            scanner = _scanner(paths)
             found = [
                 (n, np.union1d(hit, more) if len(more) else hit, items | new if new else items)
                 for (_, hit, items), (n, more, new) in zip(found, map(scanner.scan, texts))
             ]
         digest = [hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest() for _, _, items in found]
         columns = [
-            batch.column(0), pa.array([f[0] for f in found], pa.int64()), pa.array([len(f[1]) for f in found], pa.int64()),
+            chunk["doc_id"], pa.array([f[0] for f in found], pa.int64()), pa.array([len(f[1]) for f in found], pa.int64()),
             pa.array([len(f[2]) for f in found], pa.int64()), pa.array(digest, pa.string()),
             pa.array([len(f[1]) > 0 for f in found], pa.bool_()),
         ]
         if spans:
             pairs = [[list(s) for s in spans_of(t or "", f[1])] for t, f in zip(texts, found)]
             columns.append(pa.array(pairs, pa.list_(pa.list_(pa.int64()))))
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        return pa.table(columns, names=names)
 
     schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    return map_texts(docs.select(F.col("doc_id").cast("bigint"), "text"), per_batch, schema + ", spans array<array<bigint>>" * spans)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return map_chunks(rows, per_chunk, schema + ", spans array<array<bigint>>" * spans, _chunk(blocks))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -161,12 +171,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = _blocks(benchmark, WINDOW, BLOCK_BYTES)
     at = docs.columns.index("text")
 
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(at).to_pylist()
+    def per_chunk(chunk: pa.Table) -> pa.Table:
+        texts = chunk.column(at).to_pylist()
         clean = np.ones(len(texts), bool)
-        for block in blocks:
-            scanner = _scanner(block)
+        for _, paths in blocks:
+            scanner = _scanner(paths)
             clean &= [not len(scanner.scan(t)[1]) for t in texts]
-        return batch.filter(pa.array(clean))
+        return chunk.filter(pa.array(clean))
 
-    return map_texts(docs, per_batch, docs.schema)
+    return map_chunks(docs, per_chunk, docs.schema, _chunk(blocks))

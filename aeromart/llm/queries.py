@@ -99,7 +99,7 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 
 SQL = {
     "op8_decontaminate": f"""
-WITH items AS (SELECT item_id, regexp_extract_all({_LOWERED}, '{_WORDS}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH items AS (SELECT item_id, regexp_extract_all({_LOWERED}, '{_WORDS}') AS w FROM benchmark),
 patterns AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i + 1 : i + least(len(w), 10)], ' ') AS p
   FROM (SELECT item_id, w, unnest(range(greatest(1, len(w) - 9))) AS i FROM items WHERE len(w) > 0)
@@ -114,7 +114,7 @@ found AS (SELECT r, i, n, item_id FROM windows JOIN patterns USING (n, p)),
 hits AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM found) GROUP BY r),
 named AS (
   SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found) GROUP BY r
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -219,22 +219,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates: the one with the smallest id.
+    """``docs`` with one row of each group of near duplicates: of the smallest id in it, and of its texts the one with the smallest hash.
 
-    A document is an id and a text: rows that repeat both stay or go together, and an id with several texts is a document for
-    each. Of several texts of the smallest id in one group, the one with the smallest hash stays. Of a group without any id,
-    one row stays.
+    An id with several texts is a document for each. Rows that repeat both id and text are copies like any others: one of them
+    stays (if other columns differ, any). Of a group without any id, one row stays.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keys = ("_row_id", "_row_a", "_row_b")
+    keys = ["_row_none", "_row_id", "_row_a", "_row_b"]
     keyed = docs.withColumns({
-        "_row_id": F.col("doc_id").cast("bigint"), "_row_a": F.xxhash64(text, F.lit(3)), "_row_b": F.xxhash64(F.lit(4), text)
+        "_row_none": F.col("doc_id").cast("bigint").isNull(), "_row_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
+        "_row_a": F.xxhash64(text, F.lit(3)), "_row_b": F.xxhash64(F.lit(4), text),
     })
-    marked = fingerprints(keyed, shingle, keys[1:])
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_row_id"), *keys[1:])
+    marked = fingerprints(keyed, shingle, ("_row_id", "_row_a", "_row_b"))
+    row = F.struct(F.col("doc_id").isNull().alias("_row_none"), *keys[1:])
     rooted = _rooted(written(marked.groupBy("fp").agg(F.min(row).alias("first")), "nodes"), max_bits)
     kept = written(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*"), "kept")
-    named = keyed.join(kept.where("not none").select(*keys), list(keys), "left_semi")
-    # copies in one task become one row before they are shuffled, so a group of many copies is no hot key
-    bare = keyed.where("_row_id is null").join(kept.where("none").select(*keys[1:]), list(keys[1:]), "left_semi")
-    return named.unionByName(bare.dropDuplicates(list(keys[1:]))).select(docs.columns)
+    # repeated rows of one task become one before they are shuffled, so a row that is there many times is no hot key
+    return keyed.dropDuplicates(keys).join(kept, keys, "left_semi").select(docs.columns)

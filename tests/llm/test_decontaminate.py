@@ -32,7 +32,7 @@ def brute(docs, items):
     return sorted(found, key=repr)
 
 
-ITEMS = [(1, words(1, 25)), (10, words(9, 12)), (2, "one"), (3, "w1 w2"), (4, ""), (5, None), (6, "Déjà VU, ça"), (7, words(1, 12))]
+ITEMS = [(1, words(1, 25)), (10, words(9, 12)), (2, "one"), (3, "w1 w2"), (4, ""), (5, None), (6, "Déjà VU, ça"), (7, words(1, 12)), (None, words(3, 11)), (None, "déjà"), (1, words(1, 25))]
 
 
 def benchmark(spark, items):
@@ -44,6 +44,17 @@ def test_odd_rows_equal_brute_force(spark, block_bytes):
     docs = [r for r in odd_rows() if r[0] != 10] + [(20, "x " + words(9, 12).upper() + " y"), (21, "oneone w1w2 w1 w2w")]
     made = D.scan(frame(spark, docs), benchmark(spark, ITEMS), block_bytes=block_bytes)
     assert rows(made) == brute(docs, ITEMS)
+    assert len(D._blocks(benchmark(spark, ITEMS), 10, block_bytes)) > 20 or block_bytes > 1
+    hit = {r.doc_id: (r.n_hit, r.n_items) for r in made.collect()}
+    assert hit[11] == (11, 0)  # all hit by an item that has no id
+
+
+def test_dropping_with_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(D, "CHUNK", 200)
+    docs = frame(spark, [(i, ("w0 " + words(9, 12)) if i % 3 == 0 else words(100 + i, 30)) for i in range(30)])
+    kept = D.drop_contaminated(docs, benchmark(spark, [(10, words(9, 12)), (11, words(8, 40)), (None, words(101, 10))]))
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(30) if i % 3 and i != 1]
 
 
 def test_whole_table_equals_sql(spark):

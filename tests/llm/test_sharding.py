@@ -3,6 +3,7 @@ from collections import Counter
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 from aeromart.llm import sharding as S
 from aeromart.llm.queries import op5_sharding
@@ -39,6 +40,25 @@ def test_odd_rows(spark, shards):
     assert_law(S.shuffle_into_shards(frame(spark, odd_rows()), shards).collect(), odd_rows(), shards)
 
 
+def test_copies_are_spread_over_blocks_and_ranges(spark, tmp_path, monkeypatch):
+    """Nine rows of ten are one row: no block, and no range of a shard, is above twice the mean."""
+    written, seen = S.written, {}
+
+    def keep(df, name="step"):
+        seen[name] = written(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(S, "written", keep)
+    docs = spark.range(0, 64_000, numPartitions=5).selectExpr("if(id % 10 = 0, id, 7) as doc_id", "if(id % 10 = 0, cast(id as string), 'same') as text")
+    made = S.shuffle_into_shards(docs)
+    blocks = seen["sized"].groupBy(F.pmod(F.xxhash64(F.lit(S.SEED), "nth"), F.lit(S.FEWEST))).count().collect()
+    assert len(blocks) == S.FEWEST and max(r["count"] for r in blocks) < 1.2 * 1000
+    ranges = seen["dealt"].groupBy("shard", F.pmod(F.shiftright(F.xxhash64(F.lit(S.SEED + 2), "nth"), 32), F.lit(4))).count().collect()
+    assert len(ranges) == 64 and max(r["count"] for r in ranges) < 1.3 * 1000
+    counts = Counter((r.shard, r.text_crc32 == zlib.crc32(b"same")) for r in made.collect())
+    assert all(abs(counts[s, True] - 3600) < 6 * 20 and counts[s, True] + counts[s, False] == 4000 for s in range(16))
+
+
 def test_empty_table(spark):
     assert S.shuffle_into_shards(frame(spark, [])).count() == 0
 
