@@ -56,6 +56,44 @@ def test_marks_and_forms_around_the_article_say_nothing():
     assert H.main_text(f"<body><article><p>{PARAGRAPH}</p></article>{comments}</body>") == PARAGRAPH
 
 
+LONG = " ".join([PARAGRAPH] * 5)
+
+
+def test_side_parts_go_however_long_they_are():
+    two = "Two sentences stand here, no more. This is the second one, and the last."
+    for name in ("class=comments", "id=disqus_thread", "id=cookie-notice", "class='ad banner'", "class=newsletter-signup", "id=respond", "role=alert"):
+        side = f"<div {name}><p>{LONG}</p><p>{LONG}</p></div>"
+        for page in (f"<article><p>{two}</p>{side}</article>", f"<main><p>{two}</p>{side}</main>", f"<div id=content><p>{two}</p></div>{side}",
+                     f"<main>{side}<article><p>{two}</p></article></main>", f"<div class=wrap>{side}<div><p>{two}</p></div></div>"):
+            assert H.main_text(f"<body>{page}</body>") == two, page
+    assert H.main_text(f"<body><div><p>{two}</p></div><form><p>{LONG}</p></form></body>") == two
+    assert H.main_text(f"<body><div><p>{two}</p></div><div class=sidebar><p>{LONG}</p></div></body>") == two
+
+
+def test_headers():
+    page = f"<body><main><header>SITE NAME, and more</header><article><header><h1>Title</h1></header><p>{PARAGRAPH}</p></article></main></body>"
+    assert H.main_text(page) == f"Title {PARAGRAPH}"
+    assert H.main_text(f"<body><header>Site</header><main><header><h1>Title</h1></header><p>{PARAGRAPH}</p></main></body>") == f"Title {PARAGRAPH}"
+
+
+def test_marks_inside_marks_still_count_on_a_page_that_marks_all():
+    page = f"<body><div class='advert-frame'><div><p>{LONG}</p></div><div id=comments><p>{LONG} no</p></div></div></body>"
+    assert H.main_text(page) == LONG
+
+
+def test_time_is_in_proportion_to_the_page():
+    import time
+
+    n = 100_000
+    deep = "<p><table>" + "<b>" * n + "</p>" * n
+    for page in ("<a " * n, "<!--" * n, "<article>" * n, "<a b='" * n, '<a b="' * (n + 1), "<" * n, "</" * n, "<!" * n, "<script>" * n, deep,
+                 "<div class=comments>" * n, "<li>" * n, "<p>" * n, "<form>" * n + "x", "&#" * n, "<a" + " " * n + "<" * n, "<main><header>" * n,
+                 "<article><p>" * n + PARAGRAPH):
+        start = time.process_time()
+        assert isinstance(H.main_text(page), str)
+        assert time.process_time() - start < 3, page[:20]
+
+
 def test_broken_pages():
     cases = {
         "": "", None: "", "plain": "plain", "<p>x": "x", "</p></div>z": "z", "<![if x]>a<b": "a<b", "<script>var a='<p>'": "",
