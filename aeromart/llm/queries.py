@@ -60,7 +60,9 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = warc.build(table(spark, sf_dir, "pages")).read_all()
+    """Every page found again by its address: through the sparse directory, a block of the index and a range read."""
+    pages = table(spark, sf_dir, "pages")
+    read = warc.build(pages).lookup(pages, payload=False)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

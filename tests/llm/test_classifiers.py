@@ -83,6 +83,40 @@ def test_dictionaries_learn_from_whole_texts(spark):
     assert model.dictionaries and all(b"junk64tail junk81tail" in bad and b"junk" not in good for good, bad in model.dictionaries)
 
 
+def test_quality_scores_equal_brute_force(spark):
+    """Sizes from plain calls of the library, folds by hand, and weights at which the penalised likelihood has no slope."""
+    import zstandard
+
+    docs, marks = corpus(600)
+    docs = [(d, t if y else t.upper() + " spam offer" * (d % 7)) for (d, t), (_, y) in zip(docs, marks)]
+    model = C.train(frame(spark, docs), labels(spark, marks))
+    assert len(model.dictionaries) == C.PAIRS
+
+    def size(dictionary, data):
+        held = zstandard.ZstdCompressionDict(dictionary)
+        held.precompute_compress(C.LEVEL)
+        plain = zstandard.ZstdCompressor(level=C.LEVEL, dict_data=held, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(plain.compress(data))
+
+    def features(text):
+        data = text.encode()
+        good, bad = (sum(size(p[k], data) for p in model.dictionaries) / C.PAIRS for k in (0, 1))
+        return [(bad - good) / len(data), (bad - good) / max(good, bad), math.log(max(good, bad) / len(data))]
+
+    label = dict(marks)
+    fits = [(features(t), label[d]) for d, t in docs if fold(d, 5) == 1]
+    x, y = np.array([f for f, _ in fits]), np.array([v for _, v in fits], float)
+    z = np.c_[np.ones(len(x)), (x - x.mean(axis=0)) / x.std(axis=0)]
+    w = model.score.weights
+    slope = z.T @ (y - 1 / (1 + np.exp(-z @ w))) - np.r_[1e-6, [1e-2] * 3] * w
+    assert np.abs(slope).max() < 1e-4
+    made = {r.doc_id: r for r in C.score(frame(spark, docs), model).collect()}
+    for d, t in docs[::7]:
+        f = (np.array(features(t)) - x.mean(axis=0)) / x.std(axis=0)
+        assert made[d].score == pytest.approx(1 / (1 + math.exp(-(w[0] + f @ w[1:]))), rel=1e-6)
+        assert made[d].held_out == (fold(d, 5) == 0) and made[d].predicted == int(made[d].score >= 0.3)
+
+
 def test_pieces_are_the_whole_text_or_a_sample_by_hash(spark):
     texts = spark.createDataFrame([(1, 0, "é" * 10_000), (2, 0, ""), (3, 1, "b" * 8_000)], "doc_id bigint, label int, text string")
     made = sorted(tuple(r) for r in C.pieces(texts).collect())

@@ -47,6 +47,13 @@ def test_odd_rows(spark):
     assert stored == {(h or "").encode() for _, _, h in PAGES}
 
 
+def test_lookup_of_all_addresses_finds_every_record_once(spark):
+    given = PAGES + [(100 + i, None if i % 3 else "http://hot.org/", f"body {i} " * 40) for i in range(200)]
+    archive = W.build(pages(spark, given))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert rows(archive.lookup(pages(spark, given), payload=False), *names) == expected(given) == rows(archive.read_all(), *names)
+
+
 def test_lookup_finds_the_captures_of_an_address(spark):
     archive = W.build(pages(spark))
     found = archive.lookup(spark.createDataFrame([("http://a.org/x",), ("http://nowhere.org/",)], "url string"))
