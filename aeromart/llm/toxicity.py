@@ -119,7 +119,7 @@ def lefts(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 def phrase_hash(left: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One number for two pieces."""
+    """One number for a piece and the 32-bit hash of the one to its left."""
     mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + word * np.uint64(0xC2B2AE3D27D4EB4F)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return mixed ^ (mixed >> np.uint64(32))
@@ -250,7 +250,7 @@ class Evidence:
         parts = [(at, upto, keys, row, *np.unique(keys, return_inverse=True)) for at, upto, keys, row in words(texts)]
         kinds = np.unique(np.concatenate([p[4] for p in parts])) if parts else np.zeros(0, np.uint64)
         known = _over_blocks(Models, self.stems, kinds)
-        pairs = [np.unique(phrase_hash(lefts(keys, row), keys), return_inverse=True) for _, _, keys, row, _, _ in parts]
+        pairs = [np.unique(phrase_hash(short_hash(lefts(keys, row), 32), keys), return_inverse=True) for _, _, keys, row, _, _ in parts]
         hashes = np.unique(np.concatenate([p[0] for p in pairs])) if pairs else kinds
         phrased = _over_blocks(Phrases, self.phrases, hashes)
         for (at, upto, keys, row, own, which), (said, place) in zip(parts, pairs):
@@ -267,24 +267,30 @@ class Evidence:
         return out
 
 
+def short_hash(keys: np.ndarray, bits: int) -> np.ndarray:
+    return keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)
+
+
 def phrase_counts(rows: DataFrame) -> DataFrame:
     """(left, word, ordinary, toxic) from (text, label): before how many different pieces a pair of pieces stands, by class.
 
-    Tasks hand on pieces as numbers and the piece before the pair as a hash; triples are told apart before pairs are
-    counted, and pairs before pieces are, so a frequent word is no hot key.
+    Tasks hand on a piece as its number, and in a second number a hash of the piece to its left (32 bits, which is ``left``), one
+    of the piece before both (31 bits) and the class. Triples are told apart before pairs are counted, and pairs before pieces
+    are, so a frequent word is no hot key.
     """
 
     def triples(batch: pa.RecordBatch) -> pa.Table:
         label, made = batch.column(1).to_numpy(zero_copy_only=False), []
         for at, _, keys, row in words(batch.column(0)):
             left = lefts(keys, row)
-            second = (lefts(left, row) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            columns = {"second": second, "left": left.view(np.int64), "word": keys.view(np.int64), "toxic": label[at + row] == 1}
-            made.append(pa.table(columns))
+            before = short_hash(left, 32) << np.uint64(32) | short_hash(lefts(left, row), 31) << np.uint64(1)
+            before |= (label[at + row] == 1).astype(np.uint64)
+            made.append(pa.table({"before": before.view(np.int64), "word": keys.view(np.int64)}))
         return pa.concat_tables(made)
 
-    found = map_texts(rows.select("text", "label"), triples, "second int, left bigint, word bigint, toxic boolean").distinct()
-    return found.groupBy("left", "word").agg(F.count_if(~F.col("toxic")).alias("ordinary"), F.count_if("toxic").alias("toxic"))
+    found = map_texts(rows.select("text", "label"), triples, "before bigint, word bigint").distinct()
+    left, toxic = F.shiftrightunsigned("before", 32).alias("left"), F.col("before").bitwiseAND(F.lit(1))
+    return found.groupBy(left, "word").agg((F.count("*") - F.sum(toxic)).alias("ordinary"), F.sum(toxic).alias("toxic"))
 
 
 def stem_counts(pairs: DataFrame) -> DataFrame:
