@@ -54,6 +54,8 @@ BLOCK, CHUNK = 1 << 20, 64 << 20
 ALPHABET = 64
 #: An inner piece: its first byte, the bytes before the new ones, the new bytes.
 INNER, BEFORE, NEW = 1, 3, 4
+#: Of the hash that tells apart the pieces before a phrase.
+BEFORE_BITS = 19
 #: Texts that are worked on at once, in bytes; a longer text is one piece.
 PIECE = 2 << 20
 #: The first k bytes of a word.
@@ -275,22 +277,31 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
     """(left, word, ordinary, toxic) from (text, label): before how many different pieces a pair of pieces stands, by class.
 
     Tasks hand on a piece as its number, and in a second number a hash of the piece to its left (32 bits, which is ``left``), one
-    of the piece before both (31 bits) and the class. Triples are told apart before pairs are counted, and pairs before pieces
-    are, so a frequent word is no hot key.
+    of the piece before both (``BEFORE_BITS``) and the class. Triples are told apart before pairs are counted, and pairs before
+    pieces are, so a frequent word is no hot key. They are sorted by piece in the tasks, which halves what the shuffles write.
     """
 
     def triples(batch: pa.RecordBatch) -> pa.Table:
         label, made = batch.column(1).to_numpy(zero_copy_only=False), []
         for at, _, keys, row in words(batch.column(0)):
             left = lefts(keys, row)
-            before = short_hash(left, 32) << np.uint64(32) | short_hash(lefts(left, row), 31) << np.uint64(1)
-            before |= (label[at + row] == 1).astype(np.uint64)
-            made.append(pa.table({"before": before.view(np.int64), "word": keys.view(np.int64)}))
+            before = short_hash(left, 32) << np.uint64(32) | short_hash(lefts(left, row), BEFORE_BITS) << np.uint64(32 - BEFORE_BITS)
+            before |= (label[at + row] == 1).astype(np.uint64) << np.uint64(31 - BEFORE_BITS)
+            order = np.lexsort((before, keys))
+            before, keys = before[order], keys[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (before[1:] != before[:-1]) | (keys[1:] != keys[:-1])
+            made.append(pa.table({"before": before[new].view(np.int64), "word": keys[new].view(np.int64)}))
         return pa.concat_tables(made)
 
     found = map_texts(rows.select("text", "label"), triples, "before bigint, word bigint").distinct()
-    left, toxic = F.shiftrightunsigned("before", 32).alias("left"), F.col("before").bitwiseAND(F.lit(1))
-    return found.groupBy(left, "word").agg((F.count("*") - F.sum(toxic)).alias("ordinary"), F.sum(toxic).alias("toxic"))
+    left = F.shiftright("before", 32).cast("int").alias("left")
+    # both counts in one sum
+    toxic = F.shiftright("before", 31 - BEFORE_BITS).bitwiseAND(F.lit(1))
+    both = F.sum(F.when(toxic == 1, 1 << 32).otherwise(1))
+    counted = found.groupBy(left, "word").agg(both.alias("both"))
+    ordinary = F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return counted.select("left", "word", ordinary.alias("ordinary"), F.shiftright("both", 32).cast("int").alias("toxic"))
 
 
 def stem_counts(pairs: DataFrame) -> DataFrame:
