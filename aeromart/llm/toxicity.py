@@ -367,7 +367,8 @@ def phrases(pairs: DataFrame) -> DataFrame:
     rows = told.select("left", "word", difference.alias("difference"))
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        numbers = phrase_hash(*(batch.column(i).to_numpy().view(np.uint64) for i in (0, 1)))
+        left = batch.column(0).to_numpy().view(np.uint32).astype(np.uint64)
+        numbers = phrase_hash(left, batch.column(1).to_numpy().view(np.uint64))
         part = (numbers >> np.uint64(48)).astype(np.int64)
         columns = [pa.array(numbers.view(np.int64)), batch.column(2), pa.array(part)]
         return pa.RecordBatch.from_arrays(columns, names=["phrase", "difference", "part"])
