@@ -277,7 +277,7 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
     """(left, word, ordinary, toxic) from (text, label): before how many different pieces a pair of pieces stands, by class.
 
     Tasks hand on a piece as its number, and in a second number a hash of the piece to its left (32 bits, which is ``left``), one
-    of the piece before both (``BEFORE_BITS``) and the class. Triples are told apart before pairs are counted, and pairs before
+    of the piece before both (``BEFORE_BITS``; none before an inner piece, which makes no phrase) and the class. Triples are told apart before pairs are counted, and pairs before
     pieces are, so a frequent word is no hot key. They are sorted by piece in the tasks, which halves what the shuffles write.
     """
 
@@ -285,7 +285,8 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
         label, made = batch.column(1).to_numpy(zero_copy_only=False), []
         for at, _, keys, row in words(batch.column(0)):
             left = lefts(keys, row)
-            before = short_hash(left, 32) << np.uint64(32) | short_hash(lefts(left, row), BEFORE_BITS) << np.uint64(32 - BEFORE_BITS)
+            second = np.where(keys >> np.uint64(56) == INNER, np.uint64(0), short_hash(lefts(left, row), BEFORE_BITS))
+            before = short_hash(left, 32) << np.uint64(32) | second << np.uint64(32 - BEFORE_BITS)
             before |= (label[at + row] == 1).astype(np.uint64) << np.uint64(31 - BEFORE_BITS)
             order = np.lexsort((before, keys))
             before, keys = before[order], keys[order]
@@ -304,9 +305,13 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
     return counted.select("left", "word", ordinary.alias("ordinary"), F.shiftright("both", 32).cast("int").alias("toxic"))
 
 
-def stem_counts(pairs: DataFrame) -> DataFrame:
-    """(length, stem, ordinary, toxic) from ``phrase_counts``: how many different pairs have a word that begins with the stem."""
-    counted = pairs.groupBy("word").agg(F.count_if(F.col("ordinary") > 0).alias("ordinary"), F.count_if(F.col("toxic") > 0).alias("toxic"))
+def word_counts(pairs: DataFrame) -> DataFrame:
+    """(word, ordinary, toxic) from ``phrase_counts``: to the right of how many different pieces a piece stands, by class."""
+    return pairs.groupBy("word").agg(F.count_if(F.col("ordinary") > 0).alias("ordinary"), F.count_if(F.col("toxic") > 0).alias("toxic"))
+
+
+def stem_counts(counted: DataFrame) -> DataFrame:
+    """(length, stem, ordinary, toxic) from ``word_counts``: the counts of all words that begin with the stem."""
 
     def stems(batch: pa.RecordBatch) -> pa.Table:
         keys = batch.column(0).to_numpy().view(np.uint64)
@@ -351,10 +356,10 @@ def models(stems: DataFrame) -> DataFrame:
     return told.withColumn("part", F.when(F.col("length") > 1, F.shiftrightunsigned("stem", 48)).otherwise(-1))
 
 
-def phrases(pairs: DataFrame) -> DataFrame:
+def phrases(pairs: DataFrame, counted: DataFrame) -> DataFrame:
     """(phrase, difference, part): of every pair that is not wholly discounted, how much likelier its word is in toxic texts, given the left one."""
     left = pairs.groupBy("left").agg(F.sum("ordinary").alias("all_ordinary"), F.sum("toxic").alias("all_toxic"), *_given())
-    word = pairs.groupBy("word").agg(F.count("*").alias("pairs"))
+    word = counted.select("word", (F.col("ordinary") + F.col("toxic")).alias("pairs"))
     total = word.agg(F.sum("pairs")).scalar()
     o, t = F.col("ordinary"), F.col("toxic")
     told = pairs.where(F.greatest(o, t) >= len(DISCOUNTS) - 1).join(left.where("all_ordinary > 0 and all_toxic > 0"), "left").join(word, "word")
@@ -379,11 +384,12 @@ def phrases(pairs: DataFrame) -> DataFrame:
 def learn(known: DataFrame) -> Evidence:
     """Both models from (text, label), as files."""
     pairs = written(phrase_counts(known), "pairs")
-    stored = written(models(written(stem_counts(pairs), "stems")), "models")
+    counted = written(word_counts(pairs), "words")
+    stored = written(models(written(stem_counts(counted), "stems")), "models")
     common, own = stored.where("part < 0"), stored.where("part >= 0")
     short = written(common, "short").inputFiles()  # at most 257 rows
     stems = [(first, short + paths) for first, paths in in_blocks(written(own, "long"), "part", BLOCK, "stems")] or [(0, short)]
-    return Evidence(stems, in_blocks(written(phrases(pairs), "phrases"), "part", BLOCK, "phrases"))
+    return Evidence(stems, in_blocks(written(phrases(pairs, counted), "phrases"), "part", BLOCK, "phrases"))
 
 
 class Classifier:

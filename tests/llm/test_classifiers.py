@@ -151,7 +151,7 @@ def slow_counts(labelled_words):
     triples = set()
     for words, y in labelled_words:
         p = [x for w in words for x in pieces(w)]
-        triples |= {(a, b, c, y) for a, b, c in zip([None, None, *p], [None, *p], p)}
+        triples |= {(None if c[:1] == b"\1" else a, b, c, y) for a, b, c in zip([None, None, *p], [None, *p], p)}
     pairs, stems = {}, {}
     for _, b, c, y in triples:
         pairs.setdefault((b, c), [0, 0])[y] += 1
@@ -173,7 +173,7 @@ def test_continuation_counts_equal_brute_force(spark):
     found = {(r.left % (1 << 32), key(r.word)): (r.ordinary, r.toxic) for r in made.collect()}
     left = lambda b: int(T.short_hash(np.array([int.from_bytes((b or b"").ljust(8, b"\0"), "big")], np.uint64), 32)[0])
     assert found == {(left(b), c.ljust(8, b"\0")): tuple(n) for (b, c), n in pairs.items()}
-    counted = {(r.length, key(r.stem)): (r.ordinary, r.toxic) for r in T.stem_counts(made).collect()}
+    counted = {(r.length, key(r.stem)): (r.ordinary, r.toxic) for r in T.stem_counts(T.word_counts(made)).collect()}
     assert counted == {k: tuple(n) for k, n in stems.items()}
     made.unpersist()
 
