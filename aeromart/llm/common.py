@@ -163,6 +163,21 @@ def read_files(paths: list[str], columns: list[str]) -> pa.Table:
     return pa.concat_tables(tables)
 
 
+_HELD: dict[str, dict[str, tuple[list[str], object]]] = {}
+
+
+def held(owner: str, kind: str, paths: list[str], load: Callable[[list[str]], object]) -> object:
+    """What ``load`` makes of some files, kept in the Python worker: one block of each kind, and of the last operator alone."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = {}
+    own = _HELD[owner]
+    if kind not in own or own[kind][0] != paths:
+        own.pop(kind, None)
+        own[kind] = (paths, load(paths))
+    return own[kind][1]
+
+
 def map_chunks(
     df: DataFrame, per_chunk: Callable[[pa.Table], pa.Table], schema: str, chunk_bytes: int = BATCH_BYTES
 ) -> DataFrame:
@@ -170,15 +185,16 @@ def map_chunks(
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        kept, size = [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append(batch)
+                kept.append(batch)
                 size += batch.nbytes
             if size >= chunk_bytes:
-                yield from per_chunk(pa.Table.from_batches(held)).to_batches()
-                held, size = [], 0
-        if held:
-            yield from per_chunk(pa.Table.from_batches(held)).to_batches()
+                yield from per_chunk(pa.Table.from_batches(kept)).to_batches()
+                kept, size = [], 0
+        if kept:
+            yield from per_chunk(pa.Table.from_batches(kept)).to_batches()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

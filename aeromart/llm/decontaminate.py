@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import BATCH_BYTES, Blocks, in_blocks, map_chunks, map_texts, read_files, written
+from aeromart.llm.common import BATCH_BYTES, Blocks, held, in_blocks, map_chunks, map_texts, read_files, written
 
 WINDOW = 10
 BLOCK_BYTES, CHUNK = 32 << 20, 64 << 20
@@ -107,21 +107,19 @@ def spans_of(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_BUILT: dict[str, tuple[list[str], Scanner]] = {}
+def _read(paths: list[str]) -> Scanner:
+    table = read_files(paths, ["pattern", "item_id"])
+    block: dict[bytes, list[int]] = {}
+    for pattern, item_id in zip(table["pattern"].to_pylist(), table["item_id"].to_pylist()):
+        ids = block.setdefault(pattern, [])
+        if item_id is not None:
+            ids.append(item_id)
+    return Scanner(block)
 
 
 def _scanner(paths: list[str]) -> Scanner:
     """One automaton per Python worker, of one block at a time."""
-    if "scanner" not in _BUILT or _BUILT["scanner"][0] != paths:
-        _BUILT.clear()
-        table = read_files(paths, ["pattern", "item_id"])
-        block: dict[bytes, list[int]] = {}
-        for pattern, item_id in zip(table["pattern"].to_pylist(), table["item_id"].to_pylist()):
-            ids = block.setdefault(pattern, [])
-            if item_id is not None:
-                ids.append(item_id)
-        _BUILT["scanner"] = (paths, Scanner(block))
-    return _BUILT["scanner"][1]
+    return held("benchmark", "scanner", paths, _read)
 
 
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Blocks:

@@ -25,14 +25,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import BATCH_BYTES, Blocks, in_blocks, in_fold, map_chunks, map_texts, read_files, written
+from aeromart.llm.common import BATCH_BYTES, Blocks, held, in_blocks, in_fold, map_chunks, map_texts, read_files, written
 
 PARTS, HELD = 4, 2
 ORDER = 3
 #: Grams of the languages that are held at once; a language with more is a block of its own.
 BLOCK = 4 << 20
 #: Bytes of text that are worked on at once, and those that go through the blocks together where there are several.
-PIECE, CHUNK = 2 << 20, 16 << 20
+PIECE, CHUNK = 1 << 20, 16 << 20
 #: How far a posterior trusts a text: bytes that count as independent evidence at most.
 EVIDENCE = 40.0
 #: A text of which no language is this likely is of none.
@@ -53,19 +53,19 @@ def _grams(data: bytes, before: bytes = b" " * ORDER) -> np.ndarray:
 
 def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The grams of texts, ``PIECE`` bytes or so at a time: which texts, where each begins, all grams. A long text is in several."""
-    rows, starts, held, size = [], [], [], 0
+    rows, starts, made, size = [], [], [], 0
     for row, data in enumerate(texts):
         for at in range(0, len(data), PIECE):
             part = data[at : at + PIECE]
             rows.append(row)
             starts.append(size)
-            held.append(_grams(part, data[at - ORDER : at] if at else b" " * ORDER))
+            made.append(_grams(part, data[at - ORDER : at] if at else b" " * ORDER))
             size += len(part)
             if size >= PIECE:
-                yield np.array(rows), np.array(starts), np.concatenate(held)
-                rows, starts, held, size = [], [], [], 0
-    if held:
-        yield np.array(rows), np.array(starts), np.concatenate(held)
+                yield np.array(rows), np.array(starts), np.concatenate(made)
+                rows, starts, made, size = [], [], [], 0
+    if made:
+        yield np.array(rows), np.array(starts), np.concatenate(made)
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -127,9 +127,6 @@ def read_trees(paths: list[str]) -> dict[int, Tree]:
     return {int(k): Tree(gram[number == k].astype(np.uint32), n[number == k]) for k in np.unique(number)}
 
 
-_HELD: dict[str, tuple[list[str], dict[int, Tree]]] = {}
-
-
 class Trees:
     """The languages, in order, and the blocks that hold their trees."""
 
@@ -140,16 +137,11 @@ class Trees:
     def chunk(self) -> int:
         return CHUNK if len(self.blocks) > 1 else BATCH_BYTES
 
-    def _block(self, paths: list[str]) -> dict[int, Tree]:
-        if "trees" not in _HELD or _HELD["trees"][0] != paths:
-            _HELD["trees"] = (paths, read_trees(paths))
-        return _HELD["trees"][1]
-
     def code_lengths(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """Language by language, the bits that its frozen tree needs for each text."""
         pieces = None
         for _, paths in self.blocks:
-            block = self._block(paths)
+            block = held("language", "trees", paths, read_trees)
             totals = {number: np.zeros(len(texts)) for number in block}
             if pieces is None or len(self.blocks) > 1:
                 pieces = _pieces(texts)

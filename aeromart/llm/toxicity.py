@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import Blocks, block_of, in_blocks, in_fold, map_chunks, map_texts, read_files, written
+from aeromart.llm.common import Blocks, block_of, held, in_blocks, in_fold, map_chunks, map_texts, read_files, written
 from aeromart.llm.labelled import fit, labelled
 from aeromart.llm.logistic import Logistic
 
@@ -57,7 +57,7 @@ INNER, BEFORE, NEW = 1, 3, 4
 #: Of the hash that tells apart the pieces before a phrase.
 BEFORE_BITS = 19
 #: Texts that are worked on at once, in bytes; a longer text is one piece.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: The first k bytes of a word.
 MASKS = np.array([((1 << (8 * k)) - 1) << (8 * (ORDER - k)) for k in range(ORDER + 1)], np.uint64)
 
@@ -209,9 +209,6 @@ class Phrases:
         return np.where(self.numbers[at] == keys, self.difference[at], 0.0)
 
 
-_HELD: dict[type, tuple[list[str], object]] = {}
-
-
 def _over_blocks(kind: type, blocks: Blocks, keys: np.ndarray) -> np.ndarray:
     """Differences of keys, each from the block for its first two bytes. A worker holds one block of each kind."""
     total = np.zeros(len(keys))
@@ -220,9 +217,7 @@ def _over_blocks(kind: type, blocks: Blocks, keys: np.ndarray) -> np.ndarray:
         own = np.flatnonzero(where == number)
         if not len(own):
             continue
-        if kind not in _HELD or _HELD[kind][0] != paths:
-            _HELD[kind] = (paths, kind.read(paths))
-        total[own] = _HELD[kind][1].differences(keys[own])
+        total[own] = held("toxicity", kind.__name__, paths, kind.read).differences(keys[own])
     return total
 
 
@@ -249,7 +244,15 @@ class Evidence:
         """Per text: mean difference, the strongest, mean of the excess over ``STRONG``; the strongest phrases, mean of their excess."""
         out = np.zeros((len(texts), WIDTH))
         out[:, 1 : 1 + STRONGEST] = WEAKEST
-        parts = [(at, upto, keys, row, *np.unique(keys, return_inverse=True)) for at, upto, keys, row in words(texts)]
+        if self.chunk == PIECE:  # blocks that stay: one part of the texts after another
+            for part in words(texts):
+                self._fill(out, [part])
+        else:
+            self._fill(out, list(words(texts)))
+        return out
+
+    def _fill(self, out: np.ndarray, cut: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
+        parts = [(*part, *np.unique(part[2], return_inverse=True)) for part in cut]
         kinds = np.unique(np.concatenate([p[4] for p in parts])) if parts else np.zeros(0, np.uint64)
         known = _over_blocks(Models, self.stems, kinds)
         pairs = [np.unique(phrase_hash(short_hash(lefts(keys, row), 32), keys), return_inverse=True) for _, _, keys, row, _, _ in parts]
@@ -266,7 +269,6 @@ class Evidence:
             each = phrased[np.searchsorted(hashes, said)][place.reshape(-1)]
             here[:, -1] = np.bincount(row, np.maximum(each - PHRASE, 0), upto - at) / n
             strongest(row, each, PHRASES, 0.0, here[:, -1 - PHRASES : -1])
-        return out
 
 
 def short_hash(keys: np.ndarray, bits: int) -> np.ndarray:
