@@ -114,10 +114,21 @@ def _cut(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def lefts(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """The piece to the left of each, 0 at the start of a text."""
+    """The piece to the left of each, 0 at the start of a text; of an inner piece, that mixed with the one to the left of its word."""
+    inner = keys >> np.uint64(56) == INNER
     left = np.concatenate((np.zeros(1, np.uint64), keys[:-1])) if len(keys) else keys
     left[np.flatnonzero(np.diff(row, prepend=-1))] = 0
-    return left
+    if not len(keys):
+        return left
+    outside = left[np.maximum.accumulate(np.where(inner, 0, np.arange(len(keys))))]
+    return np.where(inner, left ^ outside * np.uint64(0xC2B2AE3D27D4EB4F), left)
+
+
+def _shifted(left: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """What stood to the left of the piece before, 0 at the start of a text."""
+    before = np.concatenate((np.zeros(1, np.uint64), left[:-1])) if len(left) else left
+    before[np.flatnonzero(np.diff(row, prepend=-1))] = 0
+    return before
 
 
 def phrase_hash(left: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -287,7 +298,7 @@ def phrase_counts(rows: DataFrame) -> DataFrame:
         label, made = batch.column(1).to_numpy(zero_copy_only=False), []
         for at, _, keys, row in words(batch.column(0)):
             left = lefts(keys, row)
-            second = np.where(keys >> np.uint64(56) == INNER, np.uint64(0), short_hash(lefts(left, row), BEFORE_BITS))
+            second = np.where(keys >> np.uint64(56) == INNER, np.uint64(0), short_hash(_shifted(left, row), BEFORE_BITS))
             before = short_hash(left, 32) << np.uint64(32) | second << np.uint64(32 - BEFORE_BITS)
             before |= (label[at + row] == 1).astype(np.uint64) << np.uint64(31 - BEFORE_BITS)
             order = np.lexsort((before, keys))

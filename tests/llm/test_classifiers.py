@@ -150,8 +150,17 @@ def slow_counts(labelled_words):
     """(left, word) pairs by class, counted by the different pieces before them, and the stems of their words."""
     triples = set()
     for words, y in labelled_words:
-        p = [x for w in words for x in pieces(w)]
-        triples |= {(None if c[:1] == b"\1" else a, b, c, y) for a, b, c in zip([None, None, *p], [None, *p], p)}
+        left, said = 0, []  # of each piece, the one before it, mixed with the one before its word if it is an inner one
+        for w in words:
+            found = pieces(w)
+            numbers = [int.from_bytes(c.ljust(8, b"\0"), "big") for c in found]
+            said += [(left, found[0])]
+            said += [(n ^ left * 0xC2B2AE3D27D4EB4F % (1 << 64), c) for n, c in zip(numbers, found[1:])]
+            left = numbers[-1]
+        before = 0
+        for b, c in said:
+            triples.add((0 if c[:1] == b"\1" else before, b, c, y))
+            before = b
     pairs, stems = {}, {}
     for _, b, c, y in triples:
         pairs.setdefault((b, c), [0, 0])[y] += 1
@@ -171,7 +180,7 @@ def test_continuation_counts_equal_brute_force(spark):
     made = T.phrase_counts(known.repartition(4)).cache()
     key = lambda n: (n % (1 << 64)).to_bytes(8, "big")
     found = {(r.left % (1 << 32), key(r.word)): (r.ordinary, r.toxic) for r in made.collect()}
-    left = lambda b: int(T.short_hash(np.array([int.from_bytes((b or b"").ljust(8, b"\0"), "big")], np.uint64), 32)[0])
+    left = lambda b: int(T.short_hash(np.array([b], np.uint64), 32)[0])
     assert found == {(left(b), c.ljust(8, b"\0")): tuple(n) for (b, c), n in pairs.items()}
     counted = {(r.length, key(r.stem)): (r.ordinary, r.toxic) for r in T.stem_counts(T.word_counts(made)).collect()}
     assert counted == {k: tuple(n) for k, n in stems.items()}
@@ -213,7 +222,7 @@ def caught(spark, docs, marks, new):
 def test_bytes_beyond_the_first_eight_decide(spark):
     docs, marks = corpus()
     docs = [(d, t.replace("zorbl", "abcdefgh" + "zorbl") + " abcdefghpleasant" * 3) for d, t in docs]
-    new = [(1000, docs[1][1] + " abcdefghzorbla abcdefghzorble"), (1001, docs[2][1] + " abcdefghpleasant abcdefgh")]
+    new = [(1000, docs[1][1] + "".join(f" w{k} abcdefghzorbl{k}" for k in "aeio")), (1001, docs[2][1] + "".join(f" w{k} abcdefghpleasant" for k in "aeio"))]
     assert caught(spark, docs, marks, new) == {1000: 1, 1001: 0}
 
 
