@@ -7,10 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.common import checked_bytes, in_fold
+from aeromart.llm.common import checked_bytes, in_fold, written
 from aeromart.llm.logistic import Logistic
 
-#: Rows of labels that a classifier learns from at most, about; beyond it a sample by hash of the id is taken.
+#: Rows of labels that the weights of a classifier are fitted on at most, about; beyond it a sample by hash of the id is taken.
 LABEL_ROWS = 200_000
 SAMPLE_BYTES = 16 << 20
 
@@ -28,12 +28,17 @@ def share(rows: int, bound: int, seed: int) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < math.ceil(1_000_000 * bound / rows)
 
 
-def known_labels(labels: DataFrame, target: str, parts: int, held: int, bound: int = LABEL_ROWS) -> DataFrame:
-    """(doc_id, label) outside the held-out fold whose ``target`` is 0 or 1. Several labels of one id: the larger counts."""
+def known_labels(labels: DataFrame, target: str, parts: int, held: int, bound: int | None = LABEL_ROWS) -> DataFrame:
+    """(doc_id, label) outside the held-out fold whose ``target`` is 0 or 1. Several labels of one id: the larger counts. No ``bound``: all."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(target).cast("int").alias("label"))
     known = known.where(~in_fold("doc_id", parts, held) & F.col("label").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return known.where(share(known.count(), bound, 0))
+    return known if bound is None else known.where(share(known.count(), bound, 0))
+
+
+def all_labels(labels: DataFrame, target: str, parts: int, held: int) -> DataFrame:
+    """``known_labels`` without a bound, written: of a known size, so Spark broadcasts them only if that is small."""
+    return written(known_labels(labels, target, parts, held, None), "labels")
 
 
 def texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -45,8 +50,3 @@ def texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
     checked_bytes(known.count() * 24, SAMPLE_BYTES, "the sample of labels")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
     return texts.join(F.broadcast(known), "doc_id")
-
-
-def labelled(docs: DataFrame, labels: DataFrame, target: str, parts: int, held: int) -> DataFrame:
-    """(doc_id, text, label) of the labelled documents outside the held-out fold, about ``LABEL_ROWS`` ids at most."""
-    return texts_of(docs, known_labels(labels, target, parts, held))

@@ -13,7 +13,7 @@ The log-likelihoods of a text are compared per piece, so length plays no part: t
 differences of its ``STRONGEST`` strongest pieces, since a few words make a long text toxic, the mean of what exceeds ``STRONG``, and the same
 for phrases. A logistic function of these, fitted on labelled rows that gave no counts, is the score.
 
-Both models hold all counts of the labelled rows that they learn from. Stems that occur with two different left pieces at most, in both
+Both models count all labelled rows outside the held-out fold but those that the weights are fitted on. Stems that occur with two different left pieces at most, in both
 classes together, are not stored: their whole counts are discounted, so they and all that they begin have the probability of a
 stem that was never seen, and what they hand to the backoff is part of the stems that they end. Phrases seen less than three times in
 each class say nothing either. Stems and phrases are files in the shared folder, in blocks of ``BLOCK`` rows; a task holds one block of each and
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeromart.llm.common import Blocks, block_of, held, in_blocks, in_fold, map_chunks, map_texts, read_files, written
-from aeromart.llm.labelled import fit, labelled
+from aeromart.llm.labelled import LABEL_ROWS, all_labels, fit, share, texts_of
 from aeromart.llm.logistic import Logistic
 
 PARTS, HELD = 4, 2
@@ -414,16 +414,18 @@ class Classifier:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Counts from two thirds of the labelled rows, the score from the other third."""
-    known = labelled(docs, labels, "toxic", PARTS, HELD)
+    """Counts from all rows of two thirds of the labelled ids, the weights of the score from ``LABEL_ROWS`` of the other third at most."""
+    known = all_labels(labels, "toxic", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
-    evidence = learn(known.where(~fits))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
+    evidence = learn(texts.join(known.where(~fits), "doc_id"))
 
     def features(chunk: pa.Table) -> pa.Table:
         made = pa.array(evidence.features(chunk["text"]).tolist(), pa.list_(pa.float64()))
         return pa.table({"doc_id": chunk["doc_id"], "x": made, "label": chunk["label"]})
 
-    rows = known.where(fits).select("doc_id", "text", "label")
+    sample = known.where(fits)
+    rows = texts_of(docs, sample.where(share(sample.count(), LABEL_ROWS, 0))).select("doc_id", "text", "label")
     return Classifier(evidence, fit(map_chunks(rows, features, "doc_id bigint, x array<double>, label int", evidence.chunk), WIDTH))
 
 

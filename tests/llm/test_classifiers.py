@@ -214,6 +214,18 @@ def test_stored_models_score_as_all_counts_do(spark, monkeypatch):
     assert parts.features(texts) == pytest.approx(whole.features(texts))
 
 
+def test_counts_grow_with_the_labels_beyond_the_sample_for_the_weights(spark, monkeypatch):
+    docs, marks = corpus(400)
+    asked, fitted = [], []
+    learn, fit = T.learn, T.fit
+    monkeypatch.setattr(T, "LABEL_ROWS", 20)
+    monkeypatch.setattr(T, "learn", lambda known: (asked.append(known.count()), learn(known))[1])
+    monkeypatch.setattr(T, "fit", lambda rows, width: (fitted.append(rows.count()), fit(rows, width))[1])
+    T.train(frame(spark, docs), labels(spark, marks))
+    assert asked == [sum(fold(d, T.PARTS) in (0, 3) for d, _ in docs)]
+    assert 5 < fitted[0] < 45 < sum(fold(d, T.PARTS) == 1 for d, _ in docs)
+
+
 def caught(spark, docs, marks, new):
     model = T.train(frame(spark, docs), labels(spark, marks))
     return {r.doc_id: r.predicted for r in T.score(frame(spark, new), model).collect()}
