@@ -56,6 +56,10 @@ ALPHABET = 64
 INNER, BEFORE, NEW = 1, 3, 4
 #: Of the hash that tells apart the pieces before a phrase.
 BEFORE_BITS = 19
+#: A pair of pieces with this part of all triples is counted in so many parts. A sample of about so many texts finds them.
+HOT, HOT_PARTS, HOT_TEXTS = 1 << 10, 1 << 10, 2_000
+#: Texts whose triples are sorted together, in bytes.
+SORTED = 16 << 20
 #: Texts that are worked on at once, in bytes; a longer text is one piece.
 PIECE = 1 << 20
 #: The first k bytes of a word.
@@ -286,36 +290,85 @@ def short_hash(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)
 
 
-def phrase_counts(rows: DataFrame) -> DataFrame:
-    """(left, word, ordinary, toxic) from (text, label): before how many different pieces a pair of pieces stands, by class.
+def triples(texts: pa.Array | pa.ChunkedArray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different triples of some texts, by piece: the piece, and in a second number the piece to its left (a hash of 32 bits), the
+    one before both (``BEFORE_BITS``; none before an inner piece, which makes no phrase) and the class."""
+    made = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+    for at, _, keys, row in words(texts):
+        left = lefts(keys, row)
+        second = np.where(keys >> np.uint64(56) == INNER, np.uint64(0), short_hash(_shifted(left, row), BEFORE_BITS))
+        toxic = (label[at + row] == 1).astype(np.uint64)
+        made.append((keys, short_hash(left, 32) << np.uint64(BEFORE_BITS + 1) | second << np.uint64(1) | toxic))
+    keys, before = (np.concatenate(m) for m in zip(*made))
+    order = np.lexsort((before, keys))
+    keys, before = keys[order], before[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (before[1:] != before[:-1]) | (keys[1:] != keys[:-1])
+    return keys[new], before[new]
 
-    Tasks hand on a piece as its number, and in a second number a hash of the piece to its left (32 bits, which is ``left``), one
-    of the piece before both (``BEFORE_BITS``; none before an inner piece, which makes no phrase) and the class. Triples are told apart before pairs are counted, and pairs before
-    pieces are, so a frequent word is no hot key. They are sorted by piece in the tasks, which halves what the shuffles write.
-    """
 
-    def triples(batch: pa.RecordBatch) -> pa.Table:
-        label, made = batch.column(1).to_numpy(zero_copy_only=False), []
-        for at, _, keys, row in words(batch.column(0)):
-            left = lefts(keys, row)
-            second = np.where(keys >> np.uint64(56) == INNER, np.uint64(0), short_hash(_shifted(left, row), BEFORE_BITS))
-            before = short_hash(left, 32) << np.uint64(32) | second << np.uint64(32 - BEFORE_BITS)
-            before |= (label[at + row] == 1).astype(np.uint64) << np.uint64(31 - BEFORE_BITS)
-            order = np.lexsort((before, keys))
-            before, keys = before[order], keys[order]
-            new = np.ones(len(keys), bool)
-            new[1:] = (before[1:] != before[:-1]) | (keys[1:] != keys[:-1])
-            made.append(pa.table({"before": before[new].view(np.int64), "word": keys[new].view(np.int64)}))
-        return pa.concat_tables(made)
+def hot_pairs(rows: DataFrame, known: int) -> np.ndarray:
+    """Hashes of the pairs of pieces that hold about one in ``HOT`` of the triples of a sample, ``HOT`` at most.
+
+    They decide where triples are counted, never what the counts are.
+    """
 
-    found = map_texts(rows.select("text", "label"), triples, "before bigint, word bigint").distinct()
-    left = F.shiftright("before", 32).cast("int").alias("left")
-    # both counts in one sum
-    toxic = F.shiftright("before", 31 - BEFORE_BITS).bitwiseAND(F.lit(1))
-    both = F.sum(F.when(toxic == 1, 1 << 32).otherwise(1))
-    counted = found.groupBy(left, "word").agg(both.alias("both"))
+    def frequent(chunk: pa.Table) -> pa.Table:
+        keys, before = triples(chunk["text"], chunk["label"].to_numpy())
+        pair, count = np.unique(phrase_hash(before >> np.uint64(BEFORE_BITS + 1), keys), return_counts=True)
+        some = count * 4 * HOT >= len(keys)
+        pair, count = pa.array(pair[some].view(np.int64)), pa.array(count[some])
+        every = pa.table({"pair": pa.array([None], pa.int64()), "n": pa.array([len(keys)], pa.int64())})
+        return pa.concat_tables([every, pa.table({"pair": pair, "n": count})])
+
+    some = rows.select("text", "label")
+    if known > HOT_TEXTS:
+        some = some.where(F.pmod(F.xxhash64("text"), F.lit(known)) < HOT_TEXTS)
+    found = map_chunks(some, frequent, "pair bigint, n bigint", SORTED).groupBy("pair").agg(F.sum("n").alias("n"))
+    found = written(found, "hot")
+    total = found.where("pair is null").first()
+    if total is None:
+        return np.zeros(0, np.uint64)
+    hot = found.where((F.col("n") * HOT >= total.n) & F.col("pair").isNotNull()).orderBy(F.desc("n")).limit(HOT)
+    return np.sort(np.array([r.pair for r in hot.collect()], np.int64).view(np.uint64))
+
+
+def phrase_counts(rows: DataFrame, known: int = 0) -> DataFrame:
+    """(left, word, ordinary, toxic) from (text, label), about ``known`` rows: before how many different pieces a pair of pieces stands, by class.
+
+    Triples are told apart and counted where their pair is, after one shuffle. Tasks hand on different triples only, sorted by piece,
+    which halves what the shuffle writes. A pair that holds many of the triples is dealt in ``HOT_PARTS`` parts by the piece before it, and its
+    parts are added up in the end, so a frequent pair is no hot key. Pairs are counted before pieces are, so neither is a frequent piece.
+    """
+    hot = hot_pairs(rows, known)
+    held_hot = rows.sparkSession.sparkContext.broadcast(hot)  # HOT numbers at most
+
+    def dealt(chunk: pa.Table) -> pa.Table:
+        keys, before = triples(chunk["text"], chunk["label"].to_numpy())
+        left, rest = before >> np.uint64(BEFORE_BITS + 1), before & np.uint64((2 << BEFORE_BITS) - 1)
+        place = left.astype(np.int64)
+        hot = held_hot.value
+        if len(hot):
+            pair = phrase_hash(left, keys)
+            split = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, pair), len(hot) - 1)] == pair)
+            place[split] |= ((rest[split] >> np.uint64(1)) % np.uint64(HOT_PARTS) + np.uint64(1)).astype(np.int64) << 32
+        return pa.table({"place": place, "word": keys.view(np.int64), "rest": rest.astype(np.int32)})
+
+    found = map_chunks(rows.select("text", "label"), dealt, "place bigint, word bigint, rest int", SORTED)
+    # dealt by the pair before triples are told apart, so one shuffle serves both
+    found = found.repartition("place", "word").distinct()
+    both = F.sum(F.when(F.col("rest").bitwiseAND(F.lit(1)) == 1, 1 << 32).otherwise(1))  # both counts in one sum
+    counted = found.groupBy("place", "word").agg(both.alias("both"))
     ordinary = F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-    return counted.select("left", "word", ordinary.alias("ordinary"), F.shiftright("both", 32).cast("int").alias("toxic"))
+    left = F.shiftright(F.shiftleft("place", 32), 32).cast("int")
+    counted = counted.select(
+        left.alias("left"), "word", ordinary.alias("ordinary"), F.shiftright("both", 32).cast("int").alias("toxic"), (F.col("place") >= 1 << 32).alias("part")
+    )
+    if not len(hot):
+        return written(counted.drop("part"), "pairs")
+    stored = written(counted, "pairs")
+    whole = stored.where("part").groupBy("left", "word").agg(*(F.sum(c).cast("int").alias(c) for c in ("ordinary", "toxic")))
+    return stored.where("not part").drop("part").union(whole)
 
 
 def word_counts(pairs: DataFrame) -> DataFrame:
@@ -394,9 +447,9 @@ def phrases(pairs: DataFrame, counted: DataFrame) -> DataFrame:
     return map_texts(rows, hashed, "phrase bigint, difference double, part bigint")
 
 
-def learn(known: DataFrame) -> Evidence:
-    """Both models from (text, label), as files."""
-    pairs = written(phrase_counts(known), "pairs")
+def learn(rows: DataFrame, known: int = 0) -> Evidence:
+    """Both models from (text, label), about ``known`` rows, as files."""
+    pairs = phrase_counts(rows, known)
     counted = written(word_counts(pairs), "words")
     stored = written(models(written(stem_counts(counted), "stems")), "models")
     common, own = stored.where("part < 0"), stored.where("part >= 0")
@@ -418,7 +471,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     known = all_labels(labels, "toxic", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
-    evidence = learn(texts.join(known.where(~fits), "doc_id"))
+    counted = known.where(~fits)
+    evidence = learn(texts.join(counted, "doc_id"), counted.count())
 
     def features(chunk: pa.Table) -> pa.Table:
         made = pa.array(evidence.features(chunk["text"]).tolist(), pa.list_(pa.float64()))

@@ -172,11 +172,16 @@ def slow_counts(labelled_words):
     return pairs, stems
 
 
-def test_continuation_counts_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [1, 300, 1 << 20])
+def test_continuation_counts_equal_brute_force(spark, monkeypatch, hot):
+    """The same counts with no pair dealt in parts, with some and with all."""
+    monkeypatch.setattr(T, "HOT", hot)
+    monkeypatch.setattr(T, "SORTED", 5_000)
     docs, marks = corpus(60)
     docs = [(d, t + " été longerword exactly8 ninebytes unspacedtextofmanybytes" * 2) for d, t in docs]
     known = spark.createDataFrame([(t, y) for (_, t), (_, y) in zip(docs + docs, marks + marks)], "text string, label int")
     pairs, stems = slow_counts([(t.split(), y) for (_, t), (_, y) in zip(docs, marks)])
+    assert (len(T.hot_pairs(known, 0)) > 0) == (hot > 1)
     made = T.phrase_counts(known.repartition(4)).cache()
     key = lambda n: (n % (1 << 64)).to_bytes(8, "big")
     found = {(r.left % (1 << 32), key(r.word)): (r.ordinary, r.toxic) for r in made.collect()}
@@ -187,6 +192,17 @@ def test_continuation_counts_equal_brute_force(spark):
     made.unpersist()
 
 
+def test_a_hot_pair_is_counted_in_parts(spark):
+    """A third of all triples are one pair of words after different words."""
+    texts = [" ".join(f"a{i * 97 + k} hot pair" for k in range(97)) for i in range(40)]
+    known = spark.createDataFrame([(t, 0) for t in texts], "text string, label int")
+    number = lambda w: next(T.words(pa.array([w])))[2]
+    assert int(T.phrase_hash(T.short_hash(number("hot"), 32), number("pair"))[0]) in set(T.hot_pairs(known, 0).tolist())
+    made = T.phrase_counts(known)
+    assert made.where("ordinary > 3000").count() == 1 and made.agg({"ordinary": "sum"}).first()[0] >= 3 * 3000
+    assert made.groupBy("left", "word").count().where("count > 1").count() == 0
+
+
 def all_counts(stems):
     """Models that hold every stem there is."""
     keys = list(stems)
@@ -219,10 +235,10 @@ def test_counts_grow_with_the_labels_beyond_the_sample_for_the_weights(spark, mo
     asked, fitted = [], []
     learn, fit = T.learn, T.fit
     monkeypatch.setattr(T, "LABEL_ROWS", 20)
-    monkeypatch.setattr(T, "learn", lambda known: (asked.append(known.count()), learn(known))[1])
+    monkeypatch.setattr(T, "learn", lambda rows, known: (asked.append((rows.count(), known)), learn(rows, known))[1])
     monkeypatch.setattr(T, "fit", lambda rows, width: (fitted.append(rows.count()), fit(rows, width))[1])
     T.train(frame(spark, docs), labels(spark, marks))
-    assert asked == [sum(fold(d, T.PARTS) in (0, 3) for d, _ in docs)]
+    assert asked == [(sum(fold(d, T.PARTS) in (0, 3) for d, _ in docs),) * 2]
     assert 5 < fitted[0] < 45 < sum(fold(d, T.PARTS) == 1 for d, _ in docs)
 
 
