@@ -12,7 +12,8 @@ from aeromart.llm.logistic import Logistic
 
 #: Rows of labels that the weights of a classifier are fitted on at most, about; beyond it a sample by hash of the id is taken.
 LABEL_ROWS = 200_000
-SAMPLE_BYTES = 16 << 20
+#: What labels that are broadcast may take, and one of them.
+SAMPLE_BYTES, LABEL_BYTES = 16 << 20, 24
 
 
 def fit(rows: DataFrame, width: int) -> Logistic:
@@ -37,7 +38,7 @@ def known_labels(labels: DataFrame, target: str, parts: int, held: int, bound: i
 
 
 def all_labels(labels: DataFrame, target: str, parts: int, held: int) -> DataFrame:
-    """``known_labels`` without a bound, written: of a known size, so Spark broadcasts them only if that is small."""
+    """``known_labels`` without a bound, written."""
     return written(known_labels(labels, target, parts, held, None), "labels")
 
 
@@ -47,6 +48,12 @@ def texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
     The sample of labels (an id and a flag each) is broadcast, its size checked, so that texts are filtered where they
     are read and never shuffled.
     """
-    checked_bytes(known.count() * 24, SAMPLE_BYTES, "the sample of labels")
+    checked_bytes(known.count() * LABEL_BYTES, SAMPLE_BYTES, "the sample of labels")
+    return all_texts_of(docs, known)
+
+
+def all_texts_of(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The same of any number of labels. Beyond ``SAMPLE_BYTES`` of them, texts meet their labels by a shuffled join."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
-    return texts.join(F.broadcast(known), "doc_id")
+    few = known.count() * LABEL_BYTES <= SAMPLE_BYTES
+    return texts.join(F.broadcast(known) if few else known, "doc_id")

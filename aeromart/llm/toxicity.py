@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeromart.llm.common import Blocks, block_of, held, in_blocks, in_fold, map_chunks, map_texts, read_files, written
-from aeromart.llm.labelled import LABEL_ROWS, all_labels, fit, share, texts_of
+from aeromart.llm.labelled import LABEL_ROWS, all_labels, all_texts_of, fit, share, texts_of
 from aeromart.llm.logistic import Logistic
 
 PARTS, HELD = 4, 2
@@ -470,9 +470,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     """Counts from all rows of two thirds of the labelled ids, the weights of the score from ``LABEL_ROWS`` of the other third at most."""
     known = all_labels(labels, "toxic", PARTS, HELD)
     fits = F.crc32(F.col("doc_id").cast("string")) % PARTS == 1
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
     counted = known.where(~fits)
-    evidence = learn(texts.join(counted, "doc_id"), counted.count())
+    evidence = learn(all_texts_of(docs, counted), counted.count())
 
     def features(chunk: pa.Table) -> pa.Table:
         made = pa.array(evidence.features(chunk["text"]).tolist(), pa.list_(pa.float64()))

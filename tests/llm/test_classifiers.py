@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from aeromart.llm import compression as C
+from aeromart.llm import labelled as L
 from aeromart.llm import toxicity as T
 from aeromart.llm.logistic import Logistic
 from aeromart.llm.queries import op1_toxicity, op4_compression
@@ -242,6 +243,20 @@ def test_counts_grow_with_the_labels_beyond_the_sample_for_the_weights(spark, mo
     assert 5 < fitted[0] < 45 < sum(fold(d, T.PARTS) == 1 for d, _ in docs)
 
 
+def test_many_labels_meet_their_texts_by_a_shuffled_join(spark, monkeypatch):
+    docs, marks = corpus(50)
+    docs += [(3, None), (None, "x y"), (4, "again")]
+    known = L.all_labels(labels(spark, [*marks, (None, 1)]), "toxic", T.PARTS, T.HELD)
+    rows = lambda: sorted(tuple(r) for r in L.all_texts_of(frame(spark, docs), known).collect())
+    want = rows()
+    label = dict(marks)
+    assert want == sorted((d, t, label[d]) for d, t in docs if d is not None and t is not None and fold(d, T.PARTS) != T.HELD)
+    monkeypatch.setattr(L, "SAMPLE_BYTES", 0)
+    assert rows() == want
+    with pytest.raises(ValueError):
+        L.texts_of(frame(spark, docs), known)
+
+
 def caught(spark, docs, marks, new):
     model = T.train(frame(spark, docs), labels(spark, marks))
     return {r.doc_id: r.predicted for r in T.score(frame(spark, new), model).collect()}
