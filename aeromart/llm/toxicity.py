@@ -59,7 +59,7 @@ BEFORE_BITS = 19
 #: A pair of pieces with this part of all triples is counted in so many parts. A sample of about so many texts finds them.
 HOT, HOT_PARTS, HOT_TEXTS = 1 << 10, 1 << 10, 2_000
 #: Texts whose triples are sorted together, in bytes.
-SORTED = 16 << 20
+SORTED = 8 << 20
 #: Texts that are worked on at once, in bytes; a longer text is one piece.
 PIECE = 1 << 20
 #: The first k bytes of a word.
