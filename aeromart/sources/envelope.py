@@ -104,12 +104,13 @@ def _spread_elements(bodies: DataFrame, element_schema: str, keep: tuple[str, ..
     dealt = parsed.select(*keep, F.inline(items)).hint("rebalance")
     is_object = F.coalesce(F.substring(F.trim(text), 1, 1) == "{", F.lit(False)) & F.col(whole).isNull()
     problem = F.when(~is_object, F.coalesce(whole, F.lit(NOT_AN_OBJECT)))
-    return dealt.select(
-        *keep,
+    typed = F.struct(
         F.when(is_object, F.from_json(text, element_schema, {"mode": "PERMISSIVE"})).alias(ELEMENT),
         problem.alias(PROBLEM),
         F.when(~is_object, F.coalesce(F.col(text), F.lit("null"))).alias(RAW),
     )
+    # A generator, not a projection: through one, each check on a field would go below the dealing, with a parse of its own.
+    return dealt.select(*keep, F.inline(F.array(typed)))
 
 
 def _checked(rows: DataFrame, fail_fast: bool) -> DataFrame:

@@ -286,6 +286,13 @@ def test_spread_elements_equal_the_others(spark):
         P.extract_locations(df.where("body = 'garbage'"), spread=True, fail_fast=True).collect()
 
 
+def test_spread_elements_are_typed_once_after_they_are_dealt(spark):
+    bodies = spark.createDataFrame([('{"results":[]}',)], "body string")
+    optimized = P.good(P.extract_measurements(bodies, spread=True))._jdf.queryExecution().optimizedPlan().toString()
+    after, before = optimized.split("RebalancePartitions")
+    assert (after.count("from_json("), before.count("from_json(")) == (1, 1)
+
+
 def test_one_huge_body_is_typed_by_several_tasks(spark, tmp_path):
     import json
 
