@@ -35,13 +35,16 @@ def extract(
     flat = flatten(found.select(*origin, f"{ELEMENT}.*"), lower=True, keep=origin)
     checked = apply_rules(flat, rules, origin, in_bytes, earliest, latest)
     ok = F.col(PROBLEM).isNull() & F.col(OK)
-    return checked.select(
+    rows = checked.select(
         *[r.name for r in rules],
         ok.alias(OK),
         F.coalesce(PROBLEM, REASONS).alias(REASONS),
         F.when(~ok, F.coalesce(F.col(RAW), F.to_json(ELEMENT))).alias(RAW),
         *keep,
     )
+    # A generator, which filters stay above: below, they would work out all casts and checks a second time, in one method that is
+    # too long for the JVM to compile.
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
 def good(extracted: DataFrame) -> DataFrame:
@@ -76,7 +79,6 @@ def extract_measurements(
     if start is None and end is None:
         return rows
     inside = in_window(F.col("date_utc"), start or datetime.min, end or datetime.max)
-    # The window first: for the rows inside it, the other side is never worked out.
     return rows.where(inside | ~F.col(OK))
 
 

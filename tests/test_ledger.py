@@ -1,6 +1,7 @@
 """What loads keep beside the fact: sums, a log, what is missing, a quarantine that can be replayed."""
 
 import random
+import re
 from collections import Counter
 from dataclasses import replace
 from datetime import datetime, timedelta
@@ -227,6 +228,14 @@ def test_a_backfill_loads_only_what_is_missing(spark, tmp_path, store, ledger):
     assert kept(ledger) == recomputed(store)
 
 
+def test_the_checks_of_a_load_are_short_enough_to_be_compiled(spark):
+    bodies = spark.createDataFrame([('{"results":[]}',)], "body string")
+    extracted = P.extract_measurements(bodies, FIRST, FIRST + DAY)
+    for found in (extracted, P.good(extracted), P.within(extracted, [(FIRST, FIRST + HOUR), (FIRST + 2 * HOUR, FIRST + DAY)])):
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan(found, "codegen"))]
+        assert sizes and max(sizes) < 8000  # the JVM leaves longer methods to its interpreter
+
+
 # --- Quarantine ----------------------------------------------------------------------------------
 
 
